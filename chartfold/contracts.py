@@ -68,22 +68,13 @@ class Contract:
         return next((f.type for f in self.fields if f.name == column), "string")
 
     def staging_schema(self) -> T.StructType:
-        fields = [
-            T.StructField(c, T._parse_datatype_string(self.typed(c))) for c in self.silver_columns
-        ]
-        return T.StructType(fields + [T.StructField("ingested_at", T.TimestampNTZType())])
+        columns = [f"{c} {self.typed(c)}" for c in self.silver_columns]
+        return T.StructType.fromDDL(", ".join([*columns, "ingested_at timestamp_ntz"]))
 
     def history_schema(self) -> T.StructType:
-        fields = [T.StructField("vitals_hash_key", T.StringType())]
-        fields += [f for f in self.staging_schema().fields if f.name != "ingested_at"]
-        return T.StructType(
-            fields
-            + [
-                T.StructField("start_time", T.TimestampNTZType()),
-                T.StructField("end_time", T.TimestampNTZType()),
-                T.StructField("is_current", T.BooleanType()),
-            ]
-        )
+        columns = [f"{c} {self.typed(c)}" for c in self.silver_columns]
+        audit = ["start_time timestamp_ntz", "end_time timestamp_ntz", "is_current boolean"]
+        return T.StructType.fromDDL(", ".join(["vitals_hash_key string", *columns, *audit]))
 
     def keyed_by(self, *key: str) -> Contract:
         return replace(self, key=key)

@@ -67,7 +67,7 @@ def object_key(path: Column | str, root: str) -> Column:
     A folder ``object=<name>`` holds one object that a Spark job wrote in several parts;
     all of its parts share the key.
     """
-    whole = F.regexp_replace(plain_path(path), r"(/object=[^/]+)/[^/]+$", "$1")
+    whole = F.regexp_replace(plain_path(path), _PARTS_FOLDER, "/$1")
     return F.substring_index(whole, root.rstrip("/") + "/", -1)
 
 
