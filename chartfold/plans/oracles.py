@@ -89,7 +89,78 @@ batch AS (
 
 _GOOD_ROW = "trim(patient_id) <> ''"
 
+# Equal spans of load time, as the fold queries cut them.
+_SLICED = history_ctes(
+    "(SELECT count(*) FROM cuts WHERE ingested_at >= cut)"
+)
+_CUTS = """cuts AS (
+  SELECT min(ts) + to_microseconds((epoch_us(max(ts)) - epoch_us(min(ts))) * i // 3) AS cut
+  FROM events, (VALUES (1), (2)) AS parts(i) GROUP BY i)"""
+
+_OBJECT = "source_vendor || '__vitals__' || strftime(landed_on, '%Y%m') || '__u' || strftime(landed_on, '%Y%m')"
+_SILVER = f"""
+SELECT encounter_id, {_hmac("patient_id")} AS hashed_patient_id, enrollment_date,
+       CASE WHEN gpa = '' THEN '0.00' ELSE gpa END AS gpa,
+       source_vendor, 'u' || strftime(landed_on, '%Y%m') AS lineage_file_uuid
+FROM enrollment WHERE {_GOOD_ROW}"""
+_ROUTES = """
+WITH good AS (SELECT * FROM orders WHERE o_orderkey % 17 <> 0 AND o_orderkey % 19 <> 0),
+objects AS (
+  SELECT 'r' || o_orderkey AS receipt, 'clinic-bronze' AS bucket,
+         'v ' || o_orderstatus || '/x+' || o_orderkey || '.csv' AS object_key,
+         CAST(floor(o_totalprice) AS BIGINT) AS object_size FROM good
+  UNION ALL
+  SELECT 'r' || o_orderkey, 'clinic-bronze', 'v ' || o_orderstatus || '/x+' || o_orderkey || '.xml',
+         CAST(floor(o_totalprice) AS BIGINT) + 1 FROM good)
+SELECT *, CASE WHEN object_size >= 250000 OR object_key LIKE '%.xml' THEN 'bulk' ELSE 'small' END AS lane
+FROM objects"""
+
 ORACLES = {
+    "contract_gate": f"""
+WITH {_ENROLLMENT} {_SILVER} AND source_vendor <> 'vendor_P'""",
+    "ingest_silver": f"""
+WITH {_ENROLLMENT} {_SILVER} AND source_vendor <> 'vendor_P'""",
+    "landing_xml": f"""
+WITH {_ENROLLMENT} {_SILVER}""",
+    "ingest_outcomes": f"""
+WITH {_ENROLLMENT}, counts AS (
+  SELECT {_OBJECT} AS object, source_vendor = 'vendor_P' AS bad, count(*) AS seen,
+         count(*) FILTER (WHERE {_GOOD_ROW}) AS good
+  FROM enrollment GROUP BY 1, 2)
+SELECT object || '.csv' AS object_key,
+       CASE WHEN bad OR good = 0 THEN 'failed' ELSE 'success' END AS status,
+       CASE WHEN bad THEN 'HEADER_CONTRACT' WHEN good = 0 THEN 'NO_VALID_ROWS' END AS error,
+       CASE WHEN bad THEN 0 ELSE seen END AS rows_seen,
+       CASE WHEN bad THEN 0 ELSE good END AS rows_written,
+       CASE WHEN NOT bad AND good > 0 THEN 'silver-vitals/' || object || '_clean.csv' END AS target
+FROM counts""",
+    "quarantine": f"""
+WITH {_ENROLLMENT}, counted AS (
+  SELECT *, {_OBJECT} || '.csv' AS file_name,
+         count(*) FILTER (WHERE {_GOOD_ROW}) OVER (PARTITION BY {_OBJECT}) AS good
+  FROM enrollment)
+SELECT file_name,
+       CASE WHEN source_vendor = 'vendor_F' THEN concat_ws(',', CASE gpa WHEN '' THEN '""' ELSE gpa END,
+            CASE patient_id WHEN '' THEN '""' ELSE patient_id END, row_number, encounter_id, enrollment_date)
+       ELSE concat_ws(',', encounter_id, CASE patient_id WHEN '' THEN '""' ELSE patient_id END,
+            enrollment_date, CASE gpa WHEN '' THEN '""' ELSE gpa END) END AS value
+FROM counted WHERE source_vendor = 'vendor_P' OR good = 0""",
+    "raw_text": f"""
+WITH {_ENROLLMENT} SELECT {_OBJECT} || '.csv' AS object, count(*) AS lines FROM enrollment GROUP BY 1""",
+    "select_files_by_pattern": f"""
+WITH {_ENROLLMENT} SELECT encounter_id, enrollment_date FROM enrollment
+WHERE source_vendor = 'vendor_F' AND month(landed_on) <= 6""",
+    "silver_csv_roundtrip": f"WITH {_VITALS} SELECT {_PAYLOAD} FROM vitals",
+    "silver_parquet_roundtrip": f"WITH {_VITALS} SELECT {_PAYLOAD} FROM vitals",
+    "merge_lanes": f"WITH {_VITALS} SELECT {_PAYLOAD} FROM vitals",
+    "survivor_count": f"""
+WITH {_ENROLLMENT}
+SELECT count(*) AS rows_seen, count(*) FILTER (WHERE {_GOOD_ROW}) AS rows_written FROM enrollment""",
+    "read_notifications": _ROUTES,
+    "stream_notifications": _ROUTES,
+    "scd2_apply": f"WITH {_CUTS}, {_SLICED} SELECT * FROM history",
+    "stream_fold": f"WITH {_CUTS}, {_SLICED} SELECT * FROM history",
+    "read_current_versions": f"WITH {_CUTS}, {_SLICED} SELECT * FROM history WHERE is_current",
     "pseudonymize_hmac": f"""
 SELECT c_custkey, {_hmac("upper(trim(c_name))")} AS hashed_id FROM customer""",
     "pseudonymize_concat": f"""

@@ -69,13 +69,10 @@ def _position(header: Column, name: str) -> Column:
     return F.when(from_end > 0, F.size(header) - from_end).cast("int")
 
 
-def read_file_headers(spark: SparkSession, landing: Landing) -> DataFrame:
-    """``file_path, file_size, header_line`` of every CSV file that is not empty.
-
-    Small files come whole and are cut at the first line end. Of a bulk file, only the
-    first split is read; its first line is chosen before the shuffle.
-    """
-    small = (
+def _small_headers(spark: SparkSession, landing: Landing) -> DataFrame:
+    """First lines of small files, which come whole and are cut at their first line end."""
+    text = F.ltrim(F.col("content").cast("string"), F.lit("\r\n"))
+    return (
         landing.reader(spark)
         .format("binaryFile")
         .load(landing.root)
@@ -83,13 +80,15 @@ def read_file_headers(spark: SparkSession, landing: Landing) -> DataFrame:
         .select(
             F.col(_PATH).alias("file_path"),
             F.col("length").alias("file_size"),
-            F.substring_index(
-                F.ltrim(F.col("content").cast("string"), F.lit("\r\n")), "\n", 1
-            ).alias("header_line"),
+            F.substring_index(text, "\n", 1).alias("header_line"),
         )
     )
+
+
+def _bulk_headers(spark: SparkSession, landing: Landing) -> DataFrame:
+    """First lines of bulk files: only first splits count, and each task sends one line."""
     filled = F.trim("value") != ""
-    bulk = (
+    return (
         landing.reader(spark)
         .text(landing.root)
         .where(~is_xml(_NAME) & (F.col(_SIZE) >= landing.bulk_bytes))
@@ -97,40 +96,53 @@ def read_file_headers(spark: SparkSession, landing: Landing) -> DataFrame:
         .select(
             F.col(_PATH).alias("file_path"),
             F.col(_SIZE).alias("file_size"),
-            F.when(filled, F.col("value")).alias("value"),
-            F.monotonically_increasing_id().alias("row"),
+            "value",
+            F.when(filled, F.monotonically_increasing_id()).alias("line_number"),
         )
         .groupBy("file_path", "file_size")
-        .agg(F.min_by("value", F.when(F.col("value").isNotNull(), F.col("row"))).alias("header_line"))
+        .agg(F.min_by("value", "line_number").alias("header_line"))
     )
-    return small.unionByName(bulk)
 
 
-def list_files(spark: SparkSession, landing: Landing, contract: Contract) -> DataFrame:
-    """One row per landed file: object, lane, lineage, column positions, and the reason if
-    the file cannot be read. A fault in one part of an object rejects the whole object.
+def read_file_headers(spark: SparkSession, landing: Landing) -> DataFrame:
+    """``file_path, file_size, header_line`` of every file that is not empty; an XML file has
+    no header. Only lanes that hold files are opened.
     """
-    header = _header_names(F.coalesce("header_line", F.lit("")))
-    csv = read_file_headers(spark, landing).withColumn("header", header)
-    xml = (
+    listing = (
         landing.reader(spark)
         .format("binaryFile")
         .load(landing.root)
-        .where(is_xml(_NAME))
         .select(F.col(_PATH).alias("file_path"), F.col("length").alias("file_size"))
+        .withColumn("xml", is_xml(plain_path("file_path")))
     )
+    bulky = (F.col("file_size") >= landing.bulk_bytes).alias("bulky")
+    held = {tuple(row) for row in listing.select("xml", bulky).distinct().collect()}
+    xml = listing.where("xml").select("file_path", "file_size", F.lit("").alias("header_line"))
+    headers = xml
+    if (False, False) in held:
+        headers = headers.unionByName(_small_headers(spark, landing))
+    if (False, True) in held:
+        headers = headers.unionByName(_bulk_headers(spark, landing))
+    return headers
+
+
+def list_files(spark: SparkSession, landing: Landing, contract: Contract) -> DataFrame:
+    """One row per landed file: object, lane, lineage, column positions, and the reason if
+    the file cannot be read. A fault in one part of an object rejects the whole object.
+    """
+    header = _header_names(F.coalesce("header_line", F.lit("")))
     positions = F.struct(*[_position(F.col("header"), c).alias(c) for c in contract.columns])
     complete = reduce(
         Column.__and__, [F.col(f"positions.{c}").isNotNull() for c in contract.columns]
     )
-    files = csv.drop("header_line").unionByName(xml, allowMissingColumns=True)
-    files = files.select(
+    named = read_file_headers(spark, landing).withColumn("header", header)
+    files = named.select(
         "file_path",
         "file_size",
         object_key("file_path", landing.root).alias("object_key"),
         object_name("file_path").alias("object_name"),
         F.when(is_xml(plain_path("file_path")), "xml").otherwise("csv").alias("format"),
-        F.coalesce(F.size("header"), F.lit(0)).alias("width"),
+        F.size("header").alias("width"),
         positions.alias("positions"),
     )
     files = files.select(
@@ -166,17 +178,19 @@ def _lane_filter(landing: Landing, lane_name: str) -> Column:
 
 
 def read_landing_csv(
-    spark: SparkSession, landing: Landing, files: DataFrame, contract: Contract, lane_name: str
-) -> DataFrame | None:
-    """Contract columns, as text, of all readable CSV files of a lane; None without any.
+    spark: SparkSession,
+    landing: Landing,
+    files: DataFrame,
+    contract: Contract,
+    lane_name: str,
+    width: int,
+) -> DataFrame:
+    """Contract columns, as text, of all readable CSV files of a lane.
 
-    Small files may hold line breaks inside quotes and are read whole. Bulk files are
-    split by line, so that one giant file occupies many tasks.
+    ``width`` is the number of columns of the widest file. Small files may hold line
+    breaks inside quotes and are read whole. Bulk files are split by line, so that one
+    giant file occupies many tasks.
     """
-    mine = files.where((F.col("lane") == lane_name) & (F.col("format") == "csv"))
-    width = mine.where("reason is null").agg(F.max("width")).first()[0]
-    if width is None:
-        return None
     cells = [f"c{i}" for i in range(width)]
     scan = (
         landing.reader(spark)
@@ -186,6 +200,7 @@ def read_landing_csv(
         .where(_lane_filter(landing, lane_name))
         .select(F.col(_PATH).alias("file_path"), F.array(*cells).alias("cells"))
     )
+    mine = files.where((F.col("lane") == lane_name) & (F.col("format") == "csv"))
     placed = _with_file(scan, mine, [*_FILE_COLUMNS, "positions"])
     return placed.select(
         *[F.get("cells", F.col(f"positions.{c}")).alias(c) for c in contract.columns],
@@ -195,34 +210,49 @@ def read_landing_csv(
     )
 
 
-def read_landing_xml(
-    spark: SparkSession, landing: Landing, files: DataFrame, contract: Contract, tag: str = "record"
-) -> DataFrame:
-    """Contract columns, as text, of each ``<record>``; a broken record is all NULL and flagged."""
-    schema = ", ".join(f"{c} string" for c in contract.columns) + ", _malformed string"
-    options = {"rowTag": tag, "columnNameOfCorruptRecord": "_malformed"}
-    whole = (
+def _whole_xml(spark: SparkSession, landing: Landing, schema: str, options: dict) -> DataFrame:
+    return (
         landing.reader(spark)
         .format("xml")
         .options(**options)
         .schema(schema)
         .load(landing.root)
-        .where(is_xml(_NAME) & (F.col(_SIZE) <= landing.xml_split_bytes))
+        .where(is_xml(_NAME) & (F.col(_SIZE) < landing.xml_split_bytes))
         .select("*", F.col(_PATH).alias("file_path"))
     )
-    closing = f"</{tag}>"
+
+
+def _split_xml(spark: SparkSession, landing: Landing, schema: str, options: dict) -> DataFrame:
+    """Large files as text that ends with each record, which Spark can split."""
+    tag = options["rowTag"]
     fragment = F.regexp_extract("value", rf"(?s)(<{tag}[\s>].*)$", 1)
-    split = (
+    return (
         landing.reader(spark)
-        .option("lineSep", closing)
+        .option("lineSep", f"</{tag}>")
         .text(landing.root)
-        .where(is_xml(_NAME) & (F.col(_SIZE) > landing.xml_split_bytes))
+        .where(is_xml(_NAME) & (F.col(_SIZE) >= landing.xml_split_bytes))
         .select(F.col(_PATH).alias("file_path"), fragment.alias("fragment"))
         .where("fragment <> ''")
-        .withColumn("r", F.from_xml(F.concat("fragment", F.lit(closing)), schema, options))
+        .withColumn("r", F.from_xml(F.concat("fragment", F.lit(f"</{tag}>")), schema, options))
         .select("r.*", "file_path")
     )
-    rows = whole.unionByName(split)
+
+
+def read_landing_xml(
+    spark: SparkSession,
+    landing: Landing,
+    files: DataFrame,
+    contract: Contract,
+    split: bool,
+    tag: str = "record",
+) -> DataFrame:
+    """Contract columns, as text, of each ``<record>``; a broken record is all NULL and flagged.
+
+    ``split`` chooses between the files that one task reads whole and the larger ones.
+    """
+    schema = ", ".join(f"{c} string" for c in contract.columns) + ", _malformed string"
+    options = {"rowTag": tag, "columnNameOfCorruptRecord": "_malformed"}
+    rows = (_split_xml if split else _whole_xml)(spark, landing, schema, options)
     return _with_file(rows, files.where("format = 'xml'"), _FILE_COLUMNS).select(
         *contract.columns,
         *_FILE_COLUMNS,
@@ -234,10 +264,32 @@ def read_landing_xml(
 def read_landing(
     spark: SparkSession, landing: Landing, files: DataFrame, contract: Contract
 ) -> DataFrame:
-    """Rows of every readable file, whatever its lane and format."""
-    tables = [read_landing_csv(spark, landing, files, contract, name) for name in ("small", "bulk")]
-    tables.append(read_landing_xml(spark, landing, files, contract))
-    return reduce(DataFrame.unionByName, [t for t in tables if t is not None])
+    """Rows of every readable file. Only kinds of files that occur are scanned for."""
+    kinds = (
+        files.where("reason is null")
+        .groupBy(
+            "format", "lane", (F.col("file_size") >= landing.xml_split_bytes).alias("split")
+        )
+        .agg(F.max("width").alias("width"))
+        .collect()
+    )
+    widths = {}
+    for kind in kinds:
+        if kind.format == "csv":
+            widths[kind.lane] = max(kind.width, widths.get(kind.lane, 0))
+    tables = [
+        read_landing_csv(spark, landing, files, contract, name, width)
+        for name, width in sorted(widths.items())
+    ]
+    tables += [
+        read_landing_xml(spark, landing, files, contract, split)
+        for split in sorted({kind.split for kind in kinds if kind.format == "xml"})
+    ]
+    if not tables:
+        columns = [*contract.columns, *_FILE_COLUMNS, "lane"]
+        nothing = files.where("false").select(*[F.lit("").alias(c) for c in columns])
+        return nothing.withColumn("is_malformed", F.lit(False))
+    return reduce(DataFrame.unionByName, tables)
 
 
 def read_raw_text(spark: SparkSession, paths: list[str] | str) -> DataFrame:

@@ -33,7 +33,13 @@ def read_silver_csv(
     return silver_csv_rows(text.select(*names), contract)
 
 
-def read_silver_parquet(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
-    """Typed rows of a silver Parquet folder; a column it lacks is NULL."""
-    stored = spark.read.option("mergeSchema", "true").parquet(path)
-    return typed_columns(stored.select(*[c for c in contract.silver_columns if c in stored.columns]), contract)
+def read_silver_parquet(
+    spark: SparkSession, path: str, contract: Contract, mixed: bool = False
+) -> DataFrame:
+    """Typed rows of a silver Parquet folder; a column it lacks is NULL.
+
+    Where files differ in their columns, ``mixed`` looks into each of them first.
+    """
+    stored = spark.read.option("mergeSchema", str(mixed).lower()).parquet(path)
+    names = [c for c in contract.silver_columns if c in stored.columns]
+    return typed_columns(stored.select(*names), contract)

@@ -19,6 +19,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from chartfold.contracts import VITALS, Contract
@@ -70,8 +71,11 @@ class HistoryTable:
             return -1, -1
         return self._commit(spark, batches[-1]).base_version, batches[-1]
 
-    def _empty(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame([], self.contract.history_schema())
+    def _empty(self, spark: SparkSession, schema: T.StructType | None = None) -> DataFrame:
+        """No rows, in a form that the optimizer removes from joins and unions."""
+        fields = (schema or self.contract.history_schema()).fields
+        nothing = spark.range(1).where("false")
+        return nothing.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
 
     def _base(self, spark: SparkSession, version: int) -> DataFrame:
         if version < 0:
@@ -84,7 +88,7 @@ class HistoryTable:
         schema = self.contract.history_schema().add("kind", "string")
         paths = [f"{self.root}/delta/batch_id={n}" for n in range(after + 1, upto + 1)]
         if not paths:
-            return spark.createDataFrame([], schema)
+            return self._empty(spark, schema)
         reader = spark.read.schema(schema).option("basePath", f"{self.root}/delta")
         return reader.parquet(*paths).select(*schema.names)
 

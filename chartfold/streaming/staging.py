@@ -33,7 +33,7 @@ def stream_silver_parquet(
     max_files: int = 10_000,
 ) -> DataFrame:
     """``stored`` is the schema of the files; by default it is looked up in the folder."""
-    schema = stored or spark.read.option("mergeSchema", "true").parquet(folder).schema
+    schema = stored or spark.read.parquet(folder).schema
     wanted = [*contract.silver_columns, "ingested_at"]
     rows = (
         spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(folder)
