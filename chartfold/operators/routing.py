@@ -16,16 +16,19 @@ _BODY = (
 )
 
 
-def parse_notifications(messages: DataFrame) -> DataFrame:
-    """Messages ``(receipt, body)`` with the body parsed into ``parsed``."""
-    options = {"columnNameOfCorruptRecord": "_malformed"}
-    return messages.withColumn("parsed", F.from_json("body", _BODY, options))
+def parsed_body(body: Column | str = "body") -> Column:
+    """Message body as a struct, with the text in ``_malformed`` if it is no JSON object."""
+    return F.from_json(_col(body), _BODY, {"columnNameOfCorruptRecord": "_malformed"})
 
 
 def flatten_notifications(messages: DataFrame) -> DataFrame:
-    """One row per object named in a message; a message without records gives none."""
-    records = parse_notifications(messages).select(
-        "receipt", F.explode("parsed.Records.s3").alias("s3")
+    """One row per object named in a message; a message without records gives none.
+
+    The outer form of explode keeps Spark from testing the records for emptiness first,
+    for which it would parse every body twice.
+    """
+    records = messages.select(
+        "receipt", F.explode_outer(parsed_body().getField("Records").getField("s3")).alias("s3")
     )
     return records.select(
         "receipt",
@@ -35,21 +38,22 @@ def flatten_notifications(messages: DataFrame) -> DataFrame:
     ).where("bucket is not null and object_key is not null and object_size is not null")
 
 
-def notification_rejects(messages: DataFrame) -> DataFrame:
-    """Messages that are no JSON object, or that name an object incompletely."""
+def _is_broken(parsed: Column) -> Column:
     incomplete = F.exists(
-        F.coalesce(F.col("parsed.Records"), F.array()),
+        F.coalesce(parsed["Records"], F.array()),
         lambda r: r.isNull()
         | r["s3"]["bucket"]["name"].isNull()
         | r["s3"]["object"]["size"].isNull()
         | decode_key(r["s3"]["object"]["key"]).isNull(),
     )
-    broken = F.col("parsed").isNull() | F.col("parsed._malformed").isNotNull() | incomplete
-    return (
-        parse_notifications(messages)
-        .where(broken)
-        .select("receipt", "body", F.lit("MALFORMED").alias("reason"))
-    )
+    return parsed.isNull() | parsed["_malformed"].isNotNull() | incomplete
+
+
+def notification_rejects(messages: DataFrame) -> DataFrame:
+    """Messages that are no JSON object, or that name an object incompletely."""
+    # As the element of an array, the body is parsed once for all tests on it.
+    broken = F.exists(F.array(parsed_body()), _is_broken)
+    return messages.where(broken).select("receipt", "body", F.lit("MALFORMED").alias("reason"))
 
 
 def lane(size: Column | str, key: Column | str, bulk_bytes: int = BULK_BYTES) -> Column:

@@ -206,8 +206,10 @@ class HistoryTable:
         if batch_id - base >= self.compact_every:
             self._compact(spark, base, batch_id)
             base = batch_id
-        commit = spark.createDataFrame([(stream_id, base)], _COMMIT)
-        commit.coalesce(1).write.mode("overwrite").json(self._commit_path(batch_id))
+        commit = spark.range(0, 1, 1, 1).select(
+            F.lit(stream_id).alias("stream_id"), F.lit(base).alias("base_version")
+        )
+        commit.write.mode("overwrite").json(self._commit_path(batch_id))
 
     def _compact(self, spark: SparkSession, base: int, upto: int) -> None:
         active = history_layout(self._active(spark, base, upto), self.contract)
