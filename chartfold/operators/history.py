@@ -115,10 +115,10 @@ def chain_every_arrival(
     of the key's next slot. The second step sees one row per key and slot.
     """
     keys = list(contract.key)
-    distinct = dedup_latest(staging, [*keys, "ingested_at"])
-    slotted = distinct.withColumn("_slot", F.date_trunc(slot, "ingested_at"))
+    slotted = staging.withColumn("_slot", F.date_trunc(slot, "ingested_at"))
+    distinct = dedup_latest(slotted, [*keys, "ingested_at"])
     inside = Window.partitionBy(*keys, "_slot").orderBy("ingested_at")
-    linked = slotted.withColumn("_next", F.lead("ingested_at").over(inside))
+    linked = distinct.withColumn("_next", F.lead("ingested_at").over(inside))
     across = Window.partitionBy(*keys).orderBy("_slot")
     starts = slotted.groupBy(*keys, "_slot").agg(F.min("ingested_at").alias("_start"))
     following = starts.select(
@@ -126,11 +126,9 @@ def chain_every_arrival(
         F.col("_slot").alias("_key__slot"),
         F.lead("_start").over(across).alias("_next_slot"),
     )
-    same = [F.col(c).eqNullSafe(F.col(f"_key_{c}")) for c in [*keys, "_slot"]]
+    same = [F.col(c) == F.col(f"_key_{c}") for c in [*keys, "_slot"]]
     chained = linked.join(following, same, "left")
-    return chained.select(
-        *version_columns(contract, F.coalesce("_next", "_next_slot"))
-    )
+    return chained.select(*version_columns(contract, F.coalesce("_next", "_next_slot")))
 
 
 def current_state(history: DataFrame) -> DataFrame:

@@ -210,8 +210,9 @@ def _slices(rows: DataFrame) -> list[Column]:
     bounds = [None, *cuts, None]
     conditions = []
     for low, high in zip(bounds, bounds[1:]):
-        tests = [loaded >= F.lit(low)] if low else []
-        tests += [loaded < F.lit(high)] if high else []
+        # Zone-less literals, or Spark would convert the column and push nothing down.
+        tests = [loaded >= F.lit(low.isoformat()).cast("timestamp_ntz")] if low else []
+        tests += [loaded < F.lit(high.isoformat()).cast("timestamp_ntz")] if high else []
         conditions.append(reduce(Column.__and__, tests))
     return conditions
 

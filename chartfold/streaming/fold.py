@@ -160,8 +160,11 @@ class HistoryTable:
         return reduce(Column.__and__, same)
 
     def _changes(self, rows: DataFrame) -> DataFrame:
-        """Each joined row as the versions it closes and opens, or as a late row, in one pass."""
-        start = F.col("target.start_time")
+        """Each joined row as the versions it closes and opens, or as a late row, in one pass.
+
+        A row with the time and the values of the active version is a replay and changes
+        nothing; another one that is not newer is late.
+        """
 
         def tagged(kind: str, version: Column) -> Column:
             return F.struct(F.lit(kind).alias("kind"), version.alias("version"))
@@ -170,12 +173,16 @@ class HistoryTable:
         closed = tagged("closed", closed_version())
         late = tagged("late", opened_version(self.contract))
         nothing = F.filter(F.array(opened), lambda _: F.lit(False))
-        changes = F.when(F.col("action") == "INSERT", F.array(opened)).when(
-            F.col("ingested_at") == start, nothing
-        ).when(F.col("ingested_at") < start, F.array(late))
-        if self.skip_unchanged:
-            changes = changes.when(self._unchanged(), nothing)
-        exploded = rows.select(F.explode(changes.otherwise(F.array(closed, opened))).alias("change"))
+        newer = F.col("ingested_at") > F.col("target.start_time")
+        same_time = F.col("ingested_at") == F.col("target.start_time")
+        skipped = newer | same_time if self.skip_unchanged else same_time
+        changes = (
+            F.when(F.col("action") == "INSERT", F.array(opened))
+            .when(skipped & self._unchanged(), nothing)
+            .when(newer, F.array(closed, opened))
+            .otherwise(F.array(late))
+        )
+        exploded = rows.select(F.explode(changes).alias("change"))
         return exploded.select("change.version.*", "change.kind")
 
     def fold(self, spark: SparkSession, batch: DataFrame, batch_id: int, stream_id: str) -> None:
