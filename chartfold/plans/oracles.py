@@ -45,6 +45,14 @@ _PAYLOAD = (
     "encounter_id, hashed_patient_id, heart_rate, blood_pressure, temperature, "
     "source_vendor, lineage_file_uuid"
 )
+# The latest row first, and among rows of one time the one that Spark keeps, too.
+_LATEST = "ingested_at DESC, " + ", ".join(
+    f"{column} DESC NULLS LAST"
+    for column in (
+        "lineage_file_uuid", "encounter_id", "hashed_patient_id", "heart_rate",
+        "blood_pressure", "temperature", "source_vendor",
+    )
+)
 
 
 def history_ctes(batch: str) -> str:
@@ -52,7 +60,7 @@ def history_ctes(batch: str) -> str:
     return f"""{_VITALS},
 offered AS (
   SELECT *, {batch} AS batch FROM vitals
-  QUALIFY row_number() OVER (PARTITION BY encounter_id, {batch} ORDER BY ingested_at DESC) = 1),
+  QUALIFY row_number() OVER (PARTITION BY encounter_id, {batch} ORDER BY {_LATEST}) = 1),
 ended AS (
   SELECT *, lead(ingested_at) OVER (PARTITION BY encounter_id ORDER BY batch) AS end_time FROM offered),
 history AS (
@@ -82,10 +90,10 @@ active AS (
   SELECT {_HASH_KEY} AS vitals_hash_key, * FROM vitals
   WHERE ingested_at < TIMESTAMP '{HALF}'
     AND (CAST(substr(encounter_id, 2) AS BIGINT) % 2 = 0 OR CAST(substr(encounter_id, 2) AS BIGINT) > 100)
-  QUALIFY row_number() OVER (PARTITION BY encounter_id ORDER BY ingested_at DESC) = 1),
+  QUALIFY row_number() OVER (PARTITION BY encounter_id ORDER BY {_LATEST}) = 1),
 batch AS (
   SELECT * FROM vitals WHERE ingested_at >= TIMESTAMP '{HALF}'
-  QUALIFY row_number() OVER (PARTITION BY encounter_id ORDER BY ingested_at DESC) = 1)"""
+  QUALIFY row_number() OVER (PARTITION BY encounter_id ORDER BY {_LATEST}) = 1)"""
 
 _GOOD_ROW = "trim(patient_id) <> ''"
 
@@ -263,12 +271,12 @@ FROM counts""",
     "dedup_latest": f"""
 WITH {_VITALS}
 SELECT * FROM vitals
-QUALIFY row_number() OVER (PARTITION BY encounter_id ORDER BY ingested_at DESC) = 1""",
+QUALIFY row_number() OVER (PARTITION BY encounter_id ORDER BY {_LATEST}) = 1""",
     "dedup_latest_daily": f"""
 WITH {_VITALS}
 SELECT *, CAST(ingested_at AS DATE) AS day FROM vitals
 QUALIFY row_number() OVER (
-  PARTITION BY encounter_id, CAST(ingested_at AS DATE) ORDER BY ingested_at DESC) = 1""",
+  PARTITION BY encounter_id, CAST(ingested_at AS DATE) ORDER BY {_LATEST}) = 1""",
     "classify_action": f"""
 WITH {_HALVES}
 SELECT b.encounter_id, b.ingested_at AS stream_ingested_at, a.vitals_hash_key AS target_hash_key,
@@ -290,8 +298,10 @@ WITH {_DAILY}
 SELECT * FROM history WHERE start_time <= TIMESTAMP '{AS_OF}'
   AND (end_time IS NULL OR TIMESTAMP '{AS_OF}' < end_time)""",
     "chain_every_arrival": f"""
-WITH {_VITALS}
+WITH {_VITALS}, arrivals AS (
+  SELECT * FROM vitals
+  QUALIFY row_number() OVER (PARTITION BY encounter_id, ingested_at ORDER BY {_LATEST}) = 1)
 SELECT {_HASH_KEY} AS vitals_hash_key, {_PAYLOAD}, ingested_at AS start_time,
        lead(ingested_at) OVER w AS end_time, lead(ingested_at) OVER w IS NULL AS is_current
-FROM vitals WINDOW w AS (PARTITION BY encounter_id ORDER BY ingested_at)""",
+FROM arrivals WINDOW w AS (PARTITION BY encounter_id ORDER BY ingested_at)""",
 }

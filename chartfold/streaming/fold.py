@@ -8,8 +8,9 @@ Below the root of a history table::
     unusable/batch_id=N          rows without key or load time
     commits/batch_id=N           written last; what it does not name does not count
 
-A batch reads the active versions of its own keys only, and writes only what it changes.
-Every ``compact_every`` batches the deltas are merged into a new base.
+A batch looks up the active versions of its own keys and writes only what it changes. Now
+and then the deltas are merged into a new base: once they hold a fair share of its rows,
+so that the work of rewriting it stays in proportion to what arrived.
 """
 
 from __future__ import annotations
@@ -36,16 +37,22 @@ from chartfold.streaming.staging import staging_changes
 # Up to this many keys of a batch are broadcast (about 200 MB); more are joined by shuffle.
 BROADCAST_KEYS = 2_000_000
 
-_COMMIT = "stream_id string, base_version bigint"
+_COMMIT = "stream_id string, base_version bigint, base_rows bigint, delta_rows bigint"
 
 
 @dataclass(frozen=True)
 class HistoryTable:
-    """A history below ``root``. With ``skip_unchanged``, equal values open no version."""
+    """A history below ``root``. With ``skip_unchanged``, equal values open no version.
+
+    Deltas are merged once there are ``compact_every`` of them and they opened
+    ``compact_share`` of the rows in the base, or once there are ``most_deltas``.
+    """
 
     root: str
     contract: Contract = VITALS
     compact_every: int = 12
+    compact_share: float = 0.1
+    most_deltas: int = 480
     skip_unchanged: bool = False
 
     # Reading
@@ -131,8 +138,8 @@ class HistoryTable:
 
     # Folding
 
-    def _check(self, spark: SparkSession, batch_id: int, stream_id: str) -> int | None:
-        """Base version to fold onto, or None if the batch is committed already."""
+    def _check(self, spark: SparkSession, batch_id: int, stream_id: str) -> Row | None:
+        """Commit to fold onto, or None if the batch is committed already."""
         commit = self._commit(spark, batch_id)
         before = commit or (self._commit(spark, batch_id - 1) if batch_id else None)
         if before is None and (batch_id or self.committed_batches(spark)):
@@ -141,16 +148,25 @@ class HistoryTable:
             raise RuntimeError(f"the history belongs to stream {before.stream_id}")
         if commit:
             return None
-        return before.base_version if before else -1
+        return before or Row(stream_id=stream_id, base_version=-1, base_rows=0, delta_rows=0)
 
     def _touched(self, spark: SparkSession, latest: DataFrame, base: int, upto: int) -> DataFrame:
-        """Active versions of the keys in a batch, found without shuffling the base."""
+        """Active versions of the keys in a batch, found without shuffling the base.
+
+        The span of the keys goes into the scan: where new rows concern recent encounters,
+        it spares most of a base that is sorted by key.
+        """
         keys = list(self.contract.key)
-        wanted = latest.select(*keys)
-        if latest.count() <= BROADCAST_KEYS:
-            wanted = F.broadcast(wanted)
+        first = keys[0]
+        known = latest.agg(F.count("*").alias("n"), F.min(first), F.max(first)).first()
         opened = self._delta(spark, base, upto).where("kind = 'open'").drop("kind")
         candidates = self._base(spark, base).unionByName(opened)
+        if known.n == 0:
+            return candidates.where("false")
+        wanted = latest.select(*keys)
+        if known.n <= BROADCAST_KEYS:
+            wanted = F.broadcast(wanted)
+        candidates = candidates.where(F.col(first).between(known[1], known[2]))
         return dedup_latest(candidates.join(wanted, keys, "left_semi"), keys, "start_time")
 
     def _unchanged(self) -> Column:
@@ -189,9 +205,10 @@ class HistoryTable:
         """Fold one batch of staging rows. A committed batch is left alone; one that a lost
         driver left unfinished is written again from its start.
         """
-        base = self._check(spark, batch_id, stream_id)
-        if base is None:
+        before = self._check(spark, batch_id, stream_id)
+        if before is None:
             return
+        base = before.base_version
         keys = list(self.contract.key)
         schema = self.contract.staging_schema()
         rows = batch.select(*schema.names)
@@ -210,14 +227,24 @@ class HistoryTable:
         self._changes(joined).write.mode("overwrite").partitionBy("kind").parquet(
             f"{self.root}/delta/batch_id={batch_id}"
         )
-        if batch_id - base >= self.compact_every:
+        opened = self._delta(spark, batch_id - 1, batch_id).where("kind = 'open'").count()
+        state = {
+            "stream_id": stream_id,
+            "base_version": base,
+            "base_rows": before.base_rows,
+            "delta_rows": before.delta_rows + opened,
+        }
+        if self._is_due(batch_id - base, state["base_rows"], state["delta_rows"]):
             self._compact(spark, base, batch_id)
-            base = batch_id
-        commit = spark.range(0, 1, 1, 1).select(
-            F.lit(stream_id).alias("stream_id"), F.lit(base).alias("base_version")
-        )
+            held = self._base(spark, batch_id).count()
+            state |= {"base_version": batch_id, "base_rows": held, "delta_rows": 0}
+        commit = spark.range(0, 1, 1, 1).select(*[F.lit(v).alias(k) for k, v in state.items()])
         commit.write.mode("overwrite").json(self._commit_path(batch_id))
 
+    def _is_due(self, deltas: int, base_rows: int, delta_rows: int) -> bool:
+        grown = delta_rows > 0 and delta_rows >= base_rows * self.compact_share
+        return (deltas >= self.compact_every and grown) or deltas >= self.most_deltas
+
     def _compact(self, spark: SparkSession, base: int, upto: int) -> None:
         active = history_layout(self._active(spark, base, upto), self.contract)
         active.write.mode("overwrite").parquet(f"{self.root}/base/version={upto}")

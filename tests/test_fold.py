@@ -103,6 +103,27 @@ def test_skip_unchanged(spark, tmp_path):
     ]
 
 
+def test_compaction_waits_for_a_fair_share(spark, tmp_path):
+    table = HistoryTable(str(tmp_path), compact_every=1, compact_share=1.0, most_deltas=3)
+    versions = []
+    for number in range(6):
+        one = [reading(f"E{number}", "v", 70, at(number))] if number else BATCHES[0]
+        table.fold(spark, frame(spark, one), number, "s")
+        versions.append(table._commit(spark, number).base_version)
+    # Two rows in the base: one new row is too few, two are as many, three deltas too many.
+    assert versions == [0, 0, 2, 2, 2, 5]
+    assert table.current(spark).count() == 7
+
+
+def test_a_tie_with_other_values_is_set_aside(spark, tmp_path):
+    table = HistoryTable(str(tmp_path))
+    other = [reading("E102", "vendor_A", 99, at(0))]
+    for number, rows in enumerate([BATCHES[0], other, BATCHES[0]]):
+        table.fold(spark, frame(spark, rows), number, "s")
+    assert [(r.encounter_id, r.heart_rate) for r in table.late(spark).collect()] == [("E102", 99)]
+    assert table.history(spark).count() == 2
+
+
 def test_unfinished_batch_is_written_again(spark, tmp_path):
     table = HistoryTable(str(tmp_path))
     table.fold(spark, frame(spark, BATCHES[0]), 0, "s")
