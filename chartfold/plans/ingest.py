@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -38,11 +39,25 @@ class Lake:
         return f"{self.root}/quarantine/batch_id={batch_id}"
 
 
-def _work_table(df: DataFrame, path: str) -> DataFrame:
+def _work_table(spark: SparkSession, path: str, make: Callable[[], DataFrame]) -> DataFrame:
     """The table a former attempt of this batch finished, or a new one."""
-    if is_complete(df.sparkSession, path):
-        return df.sparkSession.read.schema(df.schema).parquet(path)
-    return write_work_table(df, path)
+    return spark.read.parquet(path) if is_complete(spark, path) else write_work_table(make(), path)
+
+
+def _batch_files(
+    spark: SparkSession, landing: Landing, contract: Contract, notified: DataFrame | None
+) -> DataFrame:
+    files = list_files(spark, landing, contract)
+    if notified is None:
+        return files
+    named = notified.select("object_key").distinct()
+    empty = F.when(F.col("file_path").isNull(), HEADER_CONTRACT)
+    return files.join(named, "object_key", "right").withColumns(
+        {
+            "reason": F.coalesce(empty, F.col("reason")),
+            "format": F.coalesce("format", F.lit("csv")),
+        }
+    )
 
 
 def _with_presence(rows: DataFrame, contract: Contract) -> DataFrame:
@@ -106,22 +121,20 @@ def ingest_batch(
     if is_complete(spark, done):
         return spark.read.parquet(done)
 
-    files = list_files(spark, landing, contract)
-    if notified is not None:
-        named = notified.select("object_key").distinct()
-        files = files.join(named, "object_key", "right").withColumns(
-            {
-                "reason": F.when(F.col("file_path").isNull(), HEADER_CONTRACT).otherwise(F.col("reason")),
-                "format": F.coalesce("format", F.lit("csv")),
-            }
-        )
-    files = _work_table(files, lake.work(batch_id, "files"))
-
-    landed = _with_presence(read_landing(spark, landing, files, contract), contract)
-    keep = ("object_key", "lane", "is_malformed", "present")
-    rows = _work_table(clean_rows(landed, contract, key, keep), lake.work(batch_id, "rows"))
-
-    outcomes = _work_table(object_outcomes(files, rows, contract), lake.work(batch_id, "outcomes"))
+    files = _work_table(
+        spark,
+        lake.work(batch_id, "files"),
+        lambda: _batch_files(spark, landing, contract, notified),
+    )
+
+    def cleaned() -> DataFrame:
+        landed = _with_presence(read_landing(spark, landing, files, contract), contract)
+        return clean_rows(landed, contract, key, ("object_key", "lane", "is_malformed", "present"))
+
+    rows = _work_table(spark, lake.work(batch_id, "rows"), cleaned)
+    outcomes = _work_table(
+        spark, lake.work(batch_id, "outcomes"), lambda: object_outcomes(files, rows, contract)
+    )
     failed = outcomes.where("status = 'failed'").select("object_key")
     accepted = rows.where("is_valid").join(failed, "object_key", "left_anti")
     write_silver_csv(accepted.where("lane = 'small'"), lake.silver("csv"), batch_id, contract)

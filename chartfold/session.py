@@ -21,6 +21,8 @@ def local_session(cores: int | str = 8, app: str = "chartfold") -> SparkSession:
         .config("spark.driver.memory", os.environ.get("CHARTFOLD_DRIVER_MEMORY", "12g"))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(cores))
+        # Listing local folders takes no job of its own.
+        .config("spark.sql.sources.parallelPartitionDiscovery.threshold", "100000")
         .config("spark.sql.redaction.string.regex", REDACTION)
         .getOrCreate()
     )
