@@ -10,14 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartfold.contracts import Contract
-from chartfold.functions.paths import silver_key
 from chartfold.operators.cleaning import clean_rows
 from chartfold.operators.quality import HEADER_CONTRACT, MALFORMED, NO_VALID_ROWS
 from chartfold.session import hide_secrets
 from chartfold.sinks.quarantine import quarantine_files
 from chartfold.sinks.silver import write_silver_csv, write_silver_parquet
 from chartfold.sources.landing import Landing, list_files, read_landing
-from chartfold.storage import is_complete, write_work_table
+from chartfold.storage import delete, is_complete, write_work_table
+
+# Up to this many notified objects are opened by name; beyond it, the folder is listed.
+NAMED_OBJECTS = 1_000
 
 
 @dataclass(frozen=True)
@@ -29,8 +31,8 @@ class Lake:
     def silver(self, kind: str) -> str:
         return f"{self.root}/silver/{kind}"
 
-    def work(self, batch_id: int, name: str) -> str:
-        return f"{self.root}/work/ingest/batch_id={batch_id}/{name}"
+    def work(self, batch_id: int) -> str:
+        return f"{self.root}/work/ingest/batch_id={batch_id}"
 
     def outcomes(self, batch_id: int) -> str:
         return f"{self.root}/outcomes/batch_id={batch_id}"
@@ -68,8 +70,13 @@ def _with_presence(rows: DataFrame, contract: Contract) -> DataFrame:
     return rows.withColumn("present", reduce(lambda a, b: a.bitwiseOR(b), bits))
 
 
-def object_outcomes(files: DataFrame, rows: DataFrame, contract: Contract) -> DataFrame:
-    """One verdict per object from its files and from the counts of its rows."""
+def object_outcomes(
+    files: DataFrame, rows: DataFrame, contract: Contract, batch_id: int
+) -> DataFrame:
+    """One verdict per object from its files and from the counts of its rows.
+
+    ``target`` names the silver folder with its rows, or both if its parts took both lanes.
+    """
     counts = rows.groupBy("object_key").agg(
         F.count("*").alias("rows_seen"),
         F.count_if("is_valid").alias("rows_kept"),
@@ -77,8 +84,15 @@ def object_outcomes(files: DataFrame, rows: DataFrame, contract: Contract) -> Da
         F.bit_or("present").alias("present"),
     )
     objects = files.groupBy("object_key").agg(
-        F.min("reason").alias("reason"), F.max("format").alias("format")
+        F.min("reason").alias("reason"),
+        F.max("format").alias("format"),
+        F.bool_or(F.col("lane") == "small").alias("in_csv"),
+        F.bool_or(F.col("lane") == "bulk").alias("in_parquet"),
     )
+    targets = [
+        F.when(F.col(f"in_{kind}"), f"silver/{kind}/batch_id={batch_id}")
+        for kind in ("csv", "parquet")
+    ]
     every_column = (1 << len(contract.columns)) - 1
     seen, kept = (F.coalesce(c, F.lit(0)).cast("bigint") for c in ("rows_seen", "rows_kept"))
     broken = F.coalesce("rows_malformed", F.lit(0)) > 0
@@ -95,7 +109,7 @@ def object_outcomes(files: DataFrame, rows: DataFrame, contract: Contract) -> Da
         error.alias("error"),
         seen.alias("rows_seen"),
         F.when(error.isNull(), kept).otherwise(0).cast("bigint").alias("rows_written"),
-        F.when(error.isNull(), silver_key("object_key")).alias("target"),
+        F.when(error.isNull(), F.concat_ws(",", *targets)).alias("target"),
     )
 
 
@@ -110,8 +124,9 @@ def ingest_batch(
 ) -> DataFrame:
     """Ingest the files of a landing folder and return one outcome per object.
 
-    ``notified``, with a column ``object_key``, limits the batch to the named objects; a
-    named object that holds no bytes fails, as nothing else in the folder tells of it.
+    ``notified``, with a column ``object_key``, limits the batch to the named objects. A few
+    are opened by name, so that a folder with years of files need not be listed. A named
+    object that is missing or holds no bytes fails.
     The raw files are parsed once, into a work table; counts and both silver folders come
     from there. A repeated call picks up where a lost one stopped, and changes nothing
     once the outcomes are written.
@@ -121,9 +136,14 @@ def ingest_batch(
     if is_complete(spark, done):
         return spark.read.parquet(done)
 
+    if notified is not None:
+        named = notified.select("object_key").distinct()
+        if named.count() <= NAMED_OBJECTS:
+            landing = landing.narrowed(spark, [row.object_key for row in named.collect()])
+    work = lake.work(batch_id)
     files = _work_table(
         spark,
-        lake.work(batch_id, "files"),
+        f"{work}/files",
         lambda: _batch_files(spark, landing, contract, notified),
     )
 
@@ -131,9 +151,11 @@ def ingest_batch(
         landed = _with_presence(read_landing(spark, landing, files, contract), contract)
         return clean_rows(landed, contract, key, ("object_key", "lane", "is_malformed", "present"))
 
-    rows = _work_table(spark, lake.work(batch_id, "rows"), cleaned)
+    rows = _work_table(spark, f"{work}/rows", cleaned)
     outcomes = _work_table(
-        spark, lake.work(batch_id, "outcomes"), lambda: object_outcomes(files, rows, contract)
+        spark,
+        f"{work}/outcomes",
+        lambda: object_outcomes(files, rows, contract, batch_id),
     )
     failed = outcomes.where("status = 'failed'").select("object_key")
     accepted = rows.where("is_valid").join(failed, "object_key", "left_anti")
@@ -143,4 +165,5 @@ def ingest_batch(
     quarantine_files(spark, landing, rejected, lake.quarantine(batch_id))
 
     outcomes.write.mode("overwrite").parquet(done)
-    return spark.read.schema(outcomes.schema).parquet(done)
+    delete(spark, work)
+    return spark.read.parquet(done)

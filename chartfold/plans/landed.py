@@ -14,8 +14,9 @@ from chartfold.operators.cleaning import clean_rows
 from chartfold.operators.quality import reject_empty_files, survivor_count
 from chartfold.operators.routing import flatten_notifications, route_files
 from chartfold.plans.ingest import Lake, ingest_batch
-from chartfold.plans.views import FIXTURE_KEY, enrollment, staged_vitals
+from chartfold.plans.views import FIXTURE_KEY, enrollment, staged_vitals, table
 from chartfold.session import fresh_folder
+from chartfold.sinks.history import history_layout
 from chartfold.sinks.silver import write_silver_csv, write_silver_parquet
 from chartfold.sources.landing import (
     Landing,
@@ -32,6 +33,7 @@ from chartfold.streaming.staging import (
     append_staging,
     merge_lanes,
     read_staging,
+    read_staging_rejects,
     stream_silver_csv,
     stream_silver_parquet,
 )
@@ -192,7 +194,7 @@ def q_merge_lanes(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_silver_parquet(rows.where(in_bulk), f"{lake}/parquet", 0, VITALS)
     lanes = merge_lanes(
         stream_silver_csv(spark, f"{lake}/csv", VITALS),
-        stream_silver_parquet(spark, f"{lake}/parquet", VITALS),
+        stream_silver_parquet(spark, f"{lake}/parquet", VITALS, rows.schema),
     )
     append_staging(lanes, f"{lake}/staging", f"{lake}/checkpoint", VITALS).awaitTermination()
     return read_staging(spark, f"{lake}/staging", VITALS).drop("ingested_at")
@@ -226,6 +228,70 @@ def q_scd2_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.history(spark)
 
 
+def q_replayed_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each batch is delivered twice: once more under its number, and again under the next."""
+    rows = staged_vitals(spark, sf_dir)
+    history = HistoryTable(fresh_folder(spark, "history"), compact_every=2)
+    for number, condition in enumerate(_slices(rows)):
+        batch = rows.where(condition)
+        for batch_id in (2 * number, 2 * number, 2 * number + 1):
+            history.fold(spark, batch, batch_id, "replayed_batches")
+    return history.history(spark)
+
+
+def q_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first slice of time arrives after the second; what it cannot change is late."""
+    rows = staged_vitals(spark, sf_dir)
+    history = HistoryTable(fresh_folder(spark, "history"))
+    slices = _slices(rows)
+    for number, condition in enumerate([slices[1], slices[0], slices[2]]):
+        history.fold(spark, rows.where(condition), number, "late_rows")
+    return history.late(spark)
+
+
+def q_skip_unchanged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings reduced to warm or not; only a change of that opens a version."""
+    warm = staged_vitals(spark, sf_dir).withColumns(
+        {
+            "heart_rate": (F.col("temperature") > 25).cast("bigint"),
+            "blood_pressure": F.lit(""),
+            "temperature": F.lit(0.0),
+            "source_vendor": F.lit("one"),
+        }
+    )
+    history = HistoryTable(fresh_folder(spark, "history"), skip_unchanged=True)
+    for number, condition in enumerate(_slices(warm)):
+        history.fold(spark, warm.where(condition), number, "skip_unchanged")
+    return history.history(spark)
+
+
+def q_history_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """History written in its layout, and a range of it read back."""
+    from chartfold.plans.queries import daily_history
+
+    folder = fresh_folder(spark, "layout")
+    rows = write_work_table(history_layout(daily_history(spark, sf_dir), VITALS), folder)
+    return rows.where("source_vendor = 'click' and encounter_id >= 'E5'")
+
+
+def q_staging_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings with a unit in a number column, as staging sets them aside."""
+    rate = F.col("value").cast("string")
+    rows = table(spark, sf_dir, "events").select(
+        F.col("event_id").cast("string").alias("encounter_id"),
+        F.when(F.col("event_id") % 10 == 0, F.concat(rate, F.lit(" bpm"))).otherwise(rate).alias("heart_rate"),
+        F.col("value").alias("temperature"),
+    )
+    lake = fresh_folder(spark, "lake")
+    rows.write.parquet(f"{lake}/silver")
+    silver = stream_silver_parquet(spark, f"{lake}/silver", VITALS, rows.schema)
+    append_staging(silver, f"{lake}/staging", f"{lake}/checkpoint", VITALS).awaitTermination()
+    rejects = read_staging_rejects(spark, f"{lake}/staging", VITALS)
+    return rejects.select(
+        "encounter_id", "heart_rate", "temperature", F.array_join("cast_errors", ",").alias("cast_errors")
+    )
+
+
 def q_stream_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same history from streams: each slice arrives as silver files, is staged and folded."""
     lake = fresh_folder(spark, "lake")
@@ -233,7 +299,7 @@ def q_stream_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     history = HistoryTable(f"{lake}/history")
     for number, condition in enumerate(_slices(rows)):
         rows.where(condition).write.parquet(f"{lake}/silver/batch_id={number}")
-        silver = stream_silver_parquet(spark, f"{lake}/silver", VITALS)
+        silver = stream_silver_parquet(spark, f"{lake}/silver", VITALS, rows.schema)
         append_staging(silver, f"{lake}/staging", f"{lake}/staging-checkpoint", VITALS).awaitTermination()
         fold_new_rows(spark, f"{lake}/staging", history, f"{lake}/fold-checkpoint").awaitTermination()
     return history.history(spark)
@@ -264,5 +330,10 @@ QUERIES = {
     "merge_lanes": q_merge_lanes,
     "scd2_apply": q_scd2_apply,
     "stream_fold": q_stream_fold,
+    "replayed_batches": q_replayed_batches,
+    "late_rows": q_late_rows,
+    "skip_unchanged": q_skip_unchanged,
+    "history_layout": q_history_layout,
+    "staging_rejects": q_staging_rejects,
     "read_current_versions": q_read_current,
 }

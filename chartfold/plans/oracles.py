@@ -140,7 +140,7 @@ SELECT object || '.csv' AS object_key,
        CASE WHEN bad THEN 'HEADER_CONTRACT' WHEN good = 0 THEN 'NO_VALID_ROWS' END AS error,
        CASE WHEN bad THEN 0 ELSE seen END AS rows_seen,
        CASE WHEN bad THEN 0 ELSE good END AS rows_written,
-       CASE WHEN NOT bad AND good > 0 THEN 'silver-vitals/' || object || '_clean.csv' END AS target
+       CASE WHEN NOT bad AND good > 0 THEN 'silver/csv/batch_id=0' END AS target
 FROM counts""",
     "quarantine": f"""
 WITH {_ENROLLMENT}, counted AS (
@@ -168,6 +168,35 @@ SELECT count(*) AS rows_seen, count(*) FILTER (WHERE {_GOOD_ROW}) AS rows_writte
     "stream_notifications": _ROUTES,
     "scd2_apply": f"WITH {_CUTS}, {_SLICED} SELECT * FROM history",
     "stream_fold": f"WITH {_CUTS}, {_SLICED} SELECT * FROM history",
+    "replayed_batches": f"WITH {_CUTS}, {_SLICED} SELECT * FROM history",
+    "late_rows": f"""
+WITH {_CUTS}, {_SLICED}
+SELECT {_HASH_KEY} AS vitals_hash_key, {_PAYLOAD}, ingested_at AS start_time,
+       CAST(NULL AS TIMESTAMP) AS end_time, TRUE AS is_current
+FROM offered
+WHERE batch = 0 AND encounter_id IN (SELECT encounter_id FROM offered WHERE batch = 1)""",
+    "skip_unchanged": f"""
+WITH {_CUTS}, {_VITALS}, warm AS (
+  SELECT encounter_id, hashed_patient_id, CAST(temperature > 25 AS BIGINT) AS heart_rate,
+         '' AS blood_pressure, CAST(0 AS DOUBLE) AS temperature, 'one' AS source_vendor,
+         lineage_file_uuid, ingested_at,
+         (SELECT count(*) FROM cuts WHERE ingested_at >= cut) AS batch
+  FROM vitals),
+offered AS (
+  SELECT * FROM warm
+  QUALIFY row_number() OVER (PARTITION BY encounter_id, batch ORDER BY {_LATEST}) = 1),
+compared AS (
+  SELECT *, lag(heart_rate) OVER (PARTITION BY encounter_id ORDER BY batch) AS warm_before FROM offered),
+changed AS (SELECT * FROM compared WHERE warm_before IS NULL OR warm_before <> heart_rate)
+SELECT {_HASH_KEY} AS vitals_hash_key, {_PAYLOAD}, ingested_at AS start_time,
+       lead(ingested_at) OVER w AS end_time, lead(ingested_at) OVER w IS NULL AS is_current
+FROM changed WINDOW w AS (PARTITION BY encounter_id ORDER BY ingested_at)""",
+    "history_layout": f"""
+WITH {_DAILY} SELECT * FROM history WHERE source_vendor = 'click' AND encounter_id >= 'E5'""",
+    "staging_rejects": """
+SELECT CAST(event_id AS VARCHAR) AS encounter_id, CAST(NULL AS BIGINT) AS heart_rate,
+       value AS temperature, 'heart_rate' AS cast_errors
+FROM events WHERE event_id % 10 = 0""",
     "read_current_versions": f"WITH {_CUTS}, {_SLICED} SELECT * FROM history WHERE is_current",
     "pseudonymize_hmac": f"""
 SELECT c_custkey, {_hmac("upper(trim(c_name))")} AS hashed_id FROM customer""",

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartfold.functions.paths import plain_path
 from chartfold.sources.landing import BROADCAST_FILES, Landing, read_raw_text
+from chartfold.storage import literal_path
 
 # Up to this many rejected files are opened by name; beyond it, the folder is scanned once.
 NAMED_FILES = 10_000
@@ -29,8 +28,7 @@ def quarantine_files(
         return 0
     if count <= NAMED_FILES:
         rows = found.select(plain_path("file_path").alias("path")).collect()
-        paths = [re.sub(r"([\[\]{}*?\\])", r"\\\1", row["path"]) for row in rows]
-        lines = read_raw_text(spark, paths)
+        lines = read_raw_text(spark, [literal_path(row.path) for row in rows])
     else:
         lines = read_raw_text(spark, landing.root)
     if count <= BROADCAST_FILES:

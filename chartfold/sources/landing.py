@@ -6,7 +6,7 @@ all by position, and a join with the table of file headers puts every cell under
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,6 +23,7 @@ from chartfold.functions.paths import (
 )
 from chartfold.operators.quality import HEADER_CONTRACT, NO_VENDOR
 from chartfold.operators.routing import BULK_BYTES, lane
+from chartfold.storage import exists, literal_path
 
 # A table of files up to this many rows is broadcast (about 100 MB); a longer one is
 # joined by shuffle, where Spark splits the rows of a giant file over several tasks.
@@ -37,18 +38,31 @@ _SIZE = "_metadata.file_size"
 
 @dataclass(frozen=True)
 class Landing:
-    """A landing folder. ``options`` go to the reader, such as ``modifiedAfter``."""
+    """A landing folder. ``options`` go to the reader, such as ``modifiedAfter``; ``paths``
+    limits it to some files or folders below the root, so that the rest is not listed.
+    """
 
     root: str
     options: dict[str, str] = field(default_factory=dict)
+    paths: tuple[str, ...] = ()
     bulk_bytes: int = BULK_BYTES
     xml_split_bytes: int = XML_SPLIT_BYTES
 
     def reader(self, spark: SparkSession):
         return spark.read.options(recursiveFileLookup="true", **self.options)
 
-    def key(self) -> Column:
-        return object_key(_PATH, self.root)
+    @property
+    def opened(self) -> list[str]:
+        return [literal_path(path) for path in self.paths] or [self.root]
+
+    def narrowed(self, spark: SparkSession, keys: list[str]) -> Landing:
+        """This folder limited to the objects of some keys, or whole if there are none."""
+        found = []
+        for key in keys:
+            folder, _, name = f"{self.root.rstrip('/')}/{key}".rpartition("/")
+            places = (f"{folder}/{name}", f"{folder}/object={name}")
+            found += [path for path in places if exists(spark, path)]
+        return replace(self, paths=tuple(found))
 
 
 def _header_names(line: Column) -> Column:
@@ -75,7 +89,7 @@ def _small_headers(spark: SparkSession, landing: Landing) -> DataFrame:
     return (
         landing.reader(spark)
         .format("binaryFile")
-        .load(landing.root)
+        .load(landing.opened)
         .where(~is_xml(_NAME) & (F.col("length") < landing.bulk_bytes))
         .select(
             F.col(_PATH).alias("file_path"),
@@ -90,7 +104,7 @@ def _bulk_headers(spark: SparkSession, landing: Landing) -> DataFrame:
     filled = F.trim("value") != ""
     return (
         landing.reader(spark)
-        .text(landing.root)
+        .text(landing.opened)
         .where(~is_xml(_NAME) & (F.col(_SIZE) >= landing.bulk_bytes))
         .where(F.col("_metadata.file_block_start") == 0)
         .select(
@@ -111,7 +125,7 @@ def read_file_headers(spark: SparkSession, landing: Landing) -> DataFrame:
     listing = (
         landing.reader(spark)
         .format("binaryFile")
-        .load(landing.root)
+        .load(landing.opened)
         .select(F.col(_PATH).alias("file_path"), F.col("length").alias("file_size"))
         .withColumn("xml", is_xml(plain_path("file_path")))
     )
@@ -196,7 +210,7 @@ def read_landing_csv(
         landing.reader(spark)
         .options(header="true", escape='"', multiLine=str(lane_name == "small").lower())
         .schema(", ".join(f"{c} string" for c in cells))
-        .csv(landing.root)
+        .csv(landing.opened)
         .where(_lane_filter(landing, lane_name))
         .select(F.col(_PATH).alias("file_path"), F.array(*cells).alias("cells"))
     )
@@ -216,7 +230,7 @@ def _whole_xml(spark: SparkSession, landing: Landing, schema: str, options: dict
         .format("xml")
         .options(**options)
         .schema(schema)
-        .load(landing.root)
+        .load(landing.opened)
         .where(is_xml(_NAME) & (F.col(_SIZE) < landing.xml_split_bytes))
         .select("*", F.col(_PATH).alias("file_path"))
     )
@@ -229,7 +243,7 @@ def _split_xml(spark: SparkSession, landing: Landing, schema: str, options: dict
     return (
         landing.reader(spark)
         .option("lineSep", f"</{tag}>")
-        .text(landing.root)
+        .text(landing.opened)
         .where(is_xml(_NAME) & (F.col(_SIZE) >= landing.xml_split_bytes))
         .select(F.col(_PATH).alias("file_path"), fragment.alias("fragment"))
         .where("fragment <> ''")

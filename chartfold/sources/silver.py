@@ -23,14 +23,10 @@ def silver_csv_rows(text: DataFrame, contract: Contract) -> DataFrame:
     return typed_columns(nullify_tokens(text, text.columns), contract)
 
 
-def read_silver_csv(
-    spark: SparkSession, path: str, contract: Contract, columns: list[str] | None = None
-) -> DataFrame:
-    """Typed rows of a silver CSV folder, whose files hold ``columns`` in that order."""
-    names = columns or contract.silver_columns
-    schema = ", ".join(f"{c} string" for c in names)
-    text = spark.read.options(header="true", multiLine="true", escape='"').schema(schema).csv(path)
-    return silver_csv_rows(text.select(*names), contract)
+def read_silver_csv(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
+    """Typed rows of a silver CSV folder, by the column names its files share."""
+    text = spark.read.options(header="true", multiLine="true", escape='"').csv(path)
+    return silver_csv_rows(text.select(*[c for c in contract.silver_columns if c in text.columns]), contract)
 
 
 def read_silver_parquet(

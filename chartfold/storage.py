@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -28,6 +30,11 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
+def literal_path(path: str) -> str:
+    """The path with characters escaped that Spark would take for a pattern."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
     """True once a Spark write to the folder has been committed."""
     return exists(spark, f"{path}/_SUCCESS")

@@ -240,6 +240,7 @@ class HistoryTable:
             state |= {"base_version": batch_id, "base_rows": held, "delta_rows": 0}
         commit = spark.range(0, 1, 1, 1).select(*[F.lit(v).alias(k) for k, v in state.items()])
         commit.write.mode("overwrite").json(self._commit_path(batch_id))
+        delete(spark, latest_path)
 
     def _is_due(self, deltas: int, base_rows: int, delta_rows: int) -> bool:
         grown = delta_rows > 0 and delta_rows >= base_rows * self.compact_share
@@ -260,13 +261,12 @@ class HistoryTable:
         kept = sorted(v for v in stored if v <= version)[-keep:]
         if not kept:
             return
-        for folder, name in (("base", "version"), ("delta", "batch_id"), ("work", "batch_id"), ("commits", "batch_id")):
+        for folder in ("base", "commits", "delta"):
+            # The oldest kept base stays, and so does its commit, but not the delta in it.
+            oldest = kept[0] + 1 if folder == "delta" else kept[0]
             for child in child_names(spark, f"{self.root}/{folder}"):
-                number = int(child.split("=")[1])
-                # The base itself stays, and so does its commit.
-                old = number < kept[0] if folder in ("base", "commits") else number <= kept[0]
-                if old:
-                    delete(spark, f"{self.root}/{folder}/{name}={number}")
+                if int(child.split("=")[1]) < oldest:
+                    delete(spark, f"{self.root}/{folder}/{child}")
 
 
 def stream_id_of(spark: SparkSession, checkpoint: str) -> str:

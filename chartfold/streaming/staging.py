@@ -32,8 +32,8 @@ def stream_silver_parquet(
     stored: T.StructType | None = None,
     max_files: int = 10_000,
 ) -> DataFrame:
-    """``stored`` is the schema of the files; by default it is looked up in the folder."""
-    schema = stored or spark.read.parquet(folder).schema
+    """``stored`` is the schema of the files; by default all text, as an ingest batch writes."""
+    schema = stored or contract.silver_text_schema
     wanted = [*contract.silver_columns, "ingested_at"]
     rows = (
         spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(folder)

@@ -191,3 +191,16 @@ def test_intervals_are_gap_free(spark):
     closed = rebuilt.where("not is_current")
     assert closed.join(starts, ["encounter_id", "end_time"], "left_anti").count() == 0
     assert rebuilt.where("end_time <= start_time").count() == 0
+
+
+def test_vendor_as_part_of_the_key(spark, tmp_path):
+    """Two vendors may use one encounter id without closing each other's versions."""
+    contract = VITALS.keyed_by("encounter_id", "source_vendor")
+    table = HistoryTable(str(tmp_path), contract, compact_every=2)
+    for number, rows in enumerate(BATCHES):
+        table.fold(spark, frame(spark, rows), number, "s")
+    assert shown(table.current(spark)) == [
+        ("E101", "vendor_A", 72, at(0, 1), None, True),
+        ("E101", "vendor_B", 75, at(10), None, True),
+        ("E102", "vendor_A", 80, at(0), None, True),
+    ]

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chartfold.contracts import ENROLLMENT
+from chartfold.plans import ingest
 from chartfold.plans.ingest import Lake, ingest_batch
 from chartfold.sources.landing import Landing, list_files, read_landing
 from chartfold.sources.silver import CSV_FILES, select_files_by_pattern
@@ -84,7 +85,7 @@ def silver_rows(spark, lake):
     schema = ", ".join(f"{c} string" for c in columns)
     text = spark.read.options(header="true", multiLine="true", escape='"').schema(schema)
     small = text.csv(lake.silver("csv")).select(*columns)
-    bulk = spark.read.parquet(lake.silver("parquet")).select(*columns)
+    bulk = spark.read.schema(schema).parquet(lake.silver("parquet")).select(*columns)
     return small, bulk
 
 
@@ -104,7 +105,8 @@ def test_verdicts(ingested):
     assert rows["vendor_C/vendor_C__vitals__20260614__mixed.csv"].rows_seen == 5
     assert rows["vendor_C/vendor_C__vitals__20260614__mixed.csv"].rows_written == 4
     good = rows["vendor_A/vendor_A__vitals__20260614__uuid123.csv"]
-    assert good.target == "silver-vitals/vendor_A__vitals__20260614__uuid123_clean.csv"
+    assert good.target == "silver/csv/batch_id=0"
+    assert rows["D/D__vitals__2026__x1.xml"].target == "silver/parquet/batch_id=0"
 
 
 def test_silver_rows(spark, ingested):
@@ -163,24 +165,49 @@ def test_an_empty_folder_is_an_empty_batch(spark, tmp_path):
     assert outcomes.count() == 0
 
 
-def test_a_lost_attempt_is_taken_up_again(spark, root, ingested, tmp_path):
-    """Outcomes missing, work tables and silver there: the same silver files stay."""
-    lake, landing, notified, outcomes = ingested
-    before = sorted(spark.read.parquet(lake.silver("parquet")).inputFiles())
-    import shutil
+def test_a_lost_attempt_is_taken_up_again(spark, root, ingested, tmp_path, monkeypatch):
+    """Lost after the silver folders were written: the same silver files stay."""
+    _, landing, notified, outcomes = ingested
+    lake = Lake(str(tmp_path / "lake"))
+
+    def lost(*_):
+        raise OSError("driver lost")
 
-    copy = Lake(str(tmp_path / "lake"))
-    shutil.copytree(lake.root, copy.root)
-    shutil.rmtree(copy.outcomes(0))
-    shutil.rmtree(copy.silver("csv"))
-    again = ingest_batch(spark, landing, copy, 0, ENROLLMENT, KEY, notified)
+    with monkeypatch.context() as patch, pytest.raises(OSError):
+        patch.setattr(ingest, "quarantine_files", lost)
+        ingest_batch(spark, landing, lake, 0, ENROLLMENT, KEY, notified)
+    before = sorted(spark.read.parquet(lake.silver("parquet")).inputFiles())
+    with monkeypatch.context() as patch:
+        patch.setattr(ingest, "list_files", lost)  # the raw files are not read again
+        patch.setattr(ingest, "read_landing", lost)
+        again = ingest_batch(spark, landing, lake, 0, ENROLLMENT, KEY, notified)
     assert sorted(again.collect()) == sorted(outcomes.collect())
-    after = sorted(spark.read.parquet(copy.silver("parquet")).inputFiles())
-    assert [f.rsplit("/", 1)[1] for f in after] == [f.rsplit("/", 1)[1] for f in before]
-    small, bulk = silver_rows(spark, copy)
+    assert sorted(spark.read.parquet(lake.silver("parquet")).inputFiles()) == before
+    small, bulk = silver_rows(spark, lake)
     assert {tuple(r) for r in small.unionByName(bulk).collect()} == EXPECTED
 
 
+def test_many_notified_objects_are_found_by_listing(spark, root, ingested, tmp_path, monkeypatch):
+    _, landing, notified, outcomes = ingested
+    monkeypatch.setattr(ingest, "NAMED_OBJECTS", 0)
+    lake = Lake(str(tmp_path / "lake"))
+    again = ingest_batch(spark, landing, lake, 0, ENROLLMENT, KEY, notified)
+    assert sorted(again.collect()) == sorted(outcomes.collect())
+
+
+def test_only_notified_objects_are_ingested(spark, root, tmp_path):
+    keys = ["X/X__vitals__2026__u1.CSV", "a b/a__b__vitals__2026__u+1.csv", "gone/x__vitals__1__u.csv"]
+    notified = spark.createDataFrame([(k,) for k in keys], "object_key string")
+    lake = Lake(str(tmp_path / "lake"))
+    found = ingest_batch(spark, Landing(root), lake, 0, ENROLLMENT, KEY, notified).collect()
+    assert {r.object_key: r.error for r in found} == {
+        keys[0]: None,
+        keys[1]: None,
+        keys[2]: "HEADER_CONTRACT",
+    }
+    assert silver_rows(spark, lake)[0].count() == 2
+
+
 def test_files_beyond_the_broadcast_limit(spark, root, monkeypatch):
     """The shuffle join and the scan of the whole folder give the same rows and copies."""
     from chartfold.sinks import quarantine
