@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from chartfold.functions.text import _col
+from chartfold.functions.text import as_column
 
 UNKNOWN_UUID = "UNKNOWN_UUID"  # fixed value for a name without a file id
 _EXTENSION = r"(?i)\.(csv|xml)$"
@@ -15,11 +15,11 @@ _PARTS_FOLDER = r"/object=([^/]+)/[^/]+$"
 
 def decode_key(key: Column | str) -> Column:
     """Undo URL encoding, once: ``+`` is a space, ``%2B`` a plus. NULL if it is malformed."""
-    return F.try_url_decode(_col(key))
+    return F.try_url_decode(as_column(key))
 
 
 def file_name(key: Column | str) -> Column:
-    return F.substring_index(_col(key), "/", -1)
+    return F.substring_index(as_column(key), "/", -1)
 
 
 def _name_parts(key: Column | str) -> Column:
@@ -38,11 +38,11 @@ def lineage_uuid(key: Column | str) -> Column:
 
 def vendor_from_path(key: Column | str) -> Column:
     """Bulk rule: what precedes ``__vitals__`` in the first path segment that has it."""
-    return F.regexp_extract(_col(key), r"([^/]+)__vitals__", 1)
+    return F.regexp_extract(as_column(key), r"([^/]+)__vitals__", 1)
 
 
 def _stem(name: Column | str) -> Column:
-    return F.regexp_replace(_col(name), _EXTENSION, "")
+    return F.regexp_replace(as_column(name), _EXTENSION, "")
 
 
 def object_vendor(name: Column | str) -> Column:
@@ -58,7 +58,7 @@ def object_uuid(name: Column | str) -> Column:
 
 def plain_path(path: Column | str) -> Column:
     """Path as text: Spark reports it URI-encoded, where ``+`` stands for itself."""
-    return F.try_url_decode(F.replace(_col(path), F.lit("+"), F.lit("%2B")))
+    return F.try_url_decode(F.replace(as_column(path), F.lit("+"), F.lit("%2B")))
 
 
 def object_key(path: Column | str, root: str) -> Column:
@@ -79,11 +79,11 @@ def object_name(path: Column | str) -> Column:
 
 
 def is_xml(name: Column | str) -> Column:
-    return F.lower(_col(name)).endswith(".xml")
+    return F.lower(as_column(name)).endswith(".xml")
 
 
 def silver_bucket(bucket: Column | str) -> Column:
-    return F.replace(_col(bucket), F.lit("-bronze"), F.lit("-silver"))
+    return F.replace(as_column(bucket), F.lit("-bronze"), F.lit("-silver"))
 
 
 def silver_key(name: Column | str) -> Column:

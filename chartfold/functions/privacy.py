@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chartfold.functions.text import _col, has_text, strip
+from chartfold.functions.text import as_column, has_text, strip
 
 KEY_VARIABLE = "CHARTFOLD_HMAC_KEY"
 _BLOCK = 64  # bytes in one SHA-256 block
@@ -47,16 +47,16 @@ def pseudonymize_hmac(column: Column | str, key: str) -> Column:
 
 def pseudonymize_concat(column: Column | str, salt: str) -> Column:
     """Compatibility form: plain digest of identifier followed by salt, nothing normalised."""
-    return F.sha2(F.concat(_col(column), F.lit(salt)), 256)
+    return F.sha2(F.concat(as_column(column), F.lit(salt)), 256)
 
 
 def timestamp_text(column: Column | str) -> Column:
-    return F.date_format(_col(column), "yyyy-MM-dd HH:mm:ss.SSS")
+    return F.date_format(as_column(column), "yyyy-MM-dd HH:mm:ss.SSS")
 
 
 def surrogate_key(encounter: Column | str, vendor: Column | str, loaded: Column | str) -> Column:
     """Digest naming one version of one encounter; NULL if any part is NULL."""
-    parts = [_col(encounter), F.lit("_"), _col(vendor), F.lit("_"), timestamp_text(loaded)]
+    parts = [as_column(encounter), F.lit("_"), as_column(vendor), F.lit("_"), timestamp_text(loaded)]
     return F.md5(F.concat(*parts))
 
 

@@ -18,13 +18,13 @@ WHITESPACE = (
 )
 
 
-def _col(column: Column | str) -> Column:
+def as_column(column: Column | str) -> Column:
     return F.col(column) if isinstance(column, str) else column
 
 
 def strip(column: Column | str) -> Column:
     """Remove surrounding white space, of any Unicode kind."""
-    return F.btrim(_col(column), F.lit(WHITESPACE))
+    return F.btrim(as_column(column), F.lit(WHITESPACE))
 
 
 def has_text(column: Column | str) -> Column:
@@ -39,15 +39,15 @@ def default_fill(column: Column | str, default: str) -> Column:
 
 def null_tokens(column: Column | str, tokens: Iterable[str] = NULL_TOKENS) -> Column:
     """NULL where the whole value is one of the tokens."""
-    return F.when(~_col(column).isin(*tokens), _col(column))
+    return F.when(~as_column(column).isin(*tokens), as_column(column))
 
 
 def to_bigint(column: Column | str) -> Column:
     """Number or numeric text to a whole number, halves away from zero; NULL if it is neither."""
-    return _col(column).try_cast("decimal(38,0)").try_cast("bigint")
+    return as_column(column).try_cast("decimal(38,0)").try_cast("bigint")
 
 
 def typed_cast(column: Column | str, type_name: str) -> Column:
     if type_name in ("bigint", "long"):
         return to_bigint(column)
-    return _col(column).try_cast(type_name)
+    return as_column(column).try_cast(type_name)

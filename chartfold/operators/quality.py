@@ -20,7 +20,7 @@ def file_row_counts(rows: DataFrame, file: str = "object_key") -> DataFrame:
     )
 
 
-def reject_empty_files(rows: DataFrame, file: str = "object_key") -> DataFrame:
+def reject_empty_files(rows: DataFrame) -> DataFrame:
     """Valid rows. A file without any has none to give, so no join back is needed."""
     return rows.where("is_valid")
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chartfold.functions.paths import decode_key, is_xml
-from chartfold.functions.text import _col
+from chartfold.functions.text import as_column
 
 BULK_BYTES = 50 * 1024 * 1024  # fixed value: from this size on, a file takes the bulk lane
 
@@ -18,7 +18,7 @@ _BODY = (
 
 def parsed_body(body: Column | str = "body") -> Column:
     """Message body as a struct, with the text in ``_malformed`` if it is no JSON object."""
-    return F.from_json(_col(body), _BODY, {"columnNameOfCorruptRecord": "_malformed"})
+    return F.from_json(as_column(body), _BODY, {"columnNameOfCorruptRecord": "_malformed"})
 
 
 def flatten_notifications(messages: DataFrame) -> DataFrame:
@@ -57,7 +57,7 @@ def notification_rejects(messages: DataFrame) -> DataFrame:
 
 
 def lane(size: Column | str, key: Column | str, bulk_bytes: int = BULK_BYTES) -> Column:
-    is_bulk = (_col(size) >= bulk_bytes) | is_xml(key)
+    is_bulk = (as_column(size) >= bulk_bytes) | is_xml(key)
     return F.when(is_bulk, "bulk").otherwise("small")
 
 

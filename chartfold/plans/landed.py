@@ -14,6 +14,7 @@ from chartfold.operators.cleaning import clean_rows
 from chartfold.operators.quality import reject_empty_files, survivor_count
 from chartfold.operators.routing import flatten_notifications, route_files
 from chartfold.plans.ingest import Lake, ingest_batch
+from chartfold.plans.queries import daily_history, order_messages
 from chartfold.plans.views import FIXTURE_KEY, enrollment, staged_vitals, table
 from chartfold.session import fresh_folder
 from chartfold.sinks.history import history_layout
@@ -158,8 +159,6 @@ def q_survivor_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _saved_messages(spark: SparkSession, sf_dir: str) -> str:
-    from chartfold.plans.queries import order_messages
-
     folder = fresh_folder(spark, "messages")
     order_messages(spark, sf_dir).write.json(folder)
     return folder
@@ -267,8 +266,6 @@ def q_skip_unchanged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_history_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """History written in its layout, and a range of it read back."""
-    from chartfold.plans.queries import daily_history
-
     folder = fresh_folder(spark, "layout")
     rows = write_work_table(history_layout(daily_history(spark, sf_dir), VITALS), folder)
     return rows.where("source_vendor = 'click' and encounter_id >= 'E5'")

@@ -14,6 +14,7 @@ from chartfold.session import local_session  # noqa: E402
 def spark(tmp_path_factory):
     session = local_session(8, "chartfold-tests")
     session.sparkContext.setLogLevel("ERROR")
+    session.conf.set("spark.sql.shuffle.partitions", "4")
     session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()
