@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chartfold.llm.text import space_words
+from chartfold.llm.text import space_words, spread
 from chartfold.session import fresh_folder
 from chartfold.storage import write_work_table
 
@@ -151,16 +151,17 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MO
     plan = plan.withColumn("shards", F.greatest(F.lit(1), F.ceil(
         F.sum("slots").over(Window.partitionBy()) / shard_slots))).where("slots > 0")
 
-    chunks = plan.withColumn("chunk", F.explode(F.sequence(
-        F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / CHUNK)))).repartition("key", "chunk")
+    chunks = spread(plan.withColumn("chunk", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / CHUNK)))), "key", "chunk")
     drawn = chunks.select("key", "source", "n_blocks", "shards", F.explode(F.sequence(
         F.col("chunk") * CHUNK, F.least(F.col("slots"), (F.col("chunk") + 1) * CHUNK) - 1)).alias("slot"))
     shard = F.pmod(F.xxhash64(F.lit(seed), "key", "slot"), F.col("shards"))
     counts = drawn.groupBy("key", "source", "n_blocks", shard.alias("shard")).agg(F.count("*").alias("drawn"))
     along = Window.partitionBy("key").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn("first", F.coalesce(F.sum("drawn").over(along), F.lit(0)))
+    counts = spread(counts, "key", "shard")
     slot = counts.select("key", "source", "n_blocks", "shard", F.explode(F.sequence(
-        F.col("first"), F.col("first") + F.col("drawn") - 1)).alias("slot")).repartition("key", "slot")
+        F.col("first"), F.col("first") + F.col("drawn") - 1)).alias("slot"))
     slot = slot.withColumn("epoch", F.floor(F.col("slot") / F.col("n_blocks"))).withColumn(
         "block", F.pmod("slot", "n_blocks"))
     slot = shuffled(slot, "block", "n_blocks", ["key", "epoch"], seed)
@@ -178,7 +179,8 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MO
     made = parts.groupBy("key", "block").agg(gathered.alias("pieces"), F.sum("n").alias("n_words"))
     if with_text:
         made = made.withColumn("text", F.array_join(F.col("pieces.part"), " "))
-    mixed = slot.join(made, ["key", "block"])
+    # The planner takes slots for as few as the sources they are made from.
+    mixed = slot.hint("merge").join(made, ["key", "block"])
     columns = ["shard", "position", "source", "key", "epoch", "block", "n_words", "pieces"]
     documents = placed.join(wanted.select("key", "source_size", "target"), "key")
     return mixed.select(*columns, *["text"] * with_text), documents

@@ -30,5 +30,11 @@ def name_words(text: str | Column) -> Column:
     return F.array_remove(cut, "")
 
 
+def spread(df, *columns: str):
+    """Deals rows out by columns to as many partitions as a shuffle has, however small they
+    are now, because each of them will become many."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)
+
+
 def table(spark, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
