@@ -6,13 +6,17 @@ from chartfold.llm.license_scan import op6_license_scan
 from chartfold.llm.mixing import op1_mix_sources
 from chartfold.llm.pu_quality import op3_pu_quality
 from chartfold.llm.quality_rules import op10_quality_rules
+from chartfold.llm.recompression import op5_recompression
+from chartfold.llm.suffixes import op8_suffix_array
 from chartfold.llm.url_rules import op2_url_rules
 
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_url_rules": op2_url_rules,
     "op3_pu_quality": op3_pu_quality,
+    "op5_recompression": op5_recompression,
     "op6_license_scan": op6_license_scan,
+    "op8_suffix_array": op8_suffix_array,
     "op10_quality_rules": op10_quality_rules,
 }
 ORACLES: dict[str, str] = {}
