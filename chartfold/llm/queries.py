@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from chartfold.llm import fixity
+from chartfold.llm.decontamination import op9_decontamination
+from chartfold.llm.fixity import op4_merkle_audit
 from chartfold.llm.license_scan import op6_license_scan
 from chartfold.llm.mixing import op1_mix_sources
+from chartfold.llm.near_duplicates import op7_minhash_bayes
 from chartfold.llm.pu_quality import op3_pu_quality
 from chartfold.llm.quality_rules import op10_quality_rules
 from chartfold.llm.recompression import op5_recompression
@@ -14,9 +18,12 @@ QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_url_rules": op2_url_rules,
     "op3_pu_quality": op3_pu_quality,
+    "op4_merkle_audit": op4_merkle_audit,
     "op5_recompression": op5_recompression,
     "op6_license_scan": op6_license_scan,
+    "op7_minhash_bayes": op7_minhash_bayes,
     "op8_suffix_array": op8_suffix_array,
+    "op9_decontamination": op9_decontamination,
     "op10_quality_rules": op10_quality_rules,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op4_merkle_audit": fixity.ORACLE}

@@ -48,7 +48,8 @@ def beginnings(words: np.ndarray, levels: int = LEVELS) -> np.ndarray:
     at = np.flatnonzero(np.concatenate([[True], words[1:] != words[:-1]])) if n else np.zeros(0, np.int64)
     names = words[at]
     for level in range(levels):
-        left = (mixed(names + U(level + 1) * U(0xC2B2AE3D27D4EB4F)) & U(1)).astype(bool)
+        salt = U((level + 1) * 0xC2B2AE3D27D4EB4F % (1 << 64))
+        left = (mixed(names + salt) & U(1)).astype(bool)
         joins = np.zeros(len(names), bool)
         joins[:-1] = left[:-1] & ~left[1:]
         second = np.zeros(len(names), bool)
