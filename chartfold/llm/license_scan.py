@@ -82,6 +82,8 @@ def votes(docs: DataFrame, grams: DataFrame) -> DataFrame:
     spots = F.concat(*(F.coalesce(f"{n}_spots", F.array().cast(
         "array<struct<template:string,at:int,label:string,size:int,k:int,exact:boolean>>")) for n in ("two", "three")))
     met = met.select("row", "doc_id", "n_words", "place", F.when(F.size(spots) > 0, spots).alias("spots"))
+    # Grams without a hit end here; each text's first one stays, so that every row remains.
+    met = met.where("spots IS NOT NULL OR place IS NULL OR place = 0")
     hits = met.select("row", "doc_id", "n_words", "place", F.explode_outer("spots").alias("spot"))
     hits = hits.select("row", "doc_id", "n_words", "place", "spot.*")
     return hits.groupBy("row", "doc_id", "n_words", "template", "label", "size", "k", "exact",
