@@ -29,7 +29,7 @@ _powers: dict[int, np.ndarray] = {}
 
 def powers(base: int, n: int) -> np.ndarray:
     """base^0 .. base^(n - 1) modulo 2^64, kept for the next call."""
-    if len(_powers.get(base, ())) < n:
+    if base not in _powers or len(_powers[base]) < n:
         p = np.full(1 << max(20, int(n).bit_length()), U(base))
         p[0] = 1
         _powers[base] = np.multiply.accumulate(p)

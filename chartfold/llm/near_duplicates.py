@@ -252,7 +252,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
 
 
 def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """docs without those that have a smaller id among their near-duplicates; one row of each id."""
+    """docs without those that have a smaller id among their near-duplicates."""
     gone = near_duplicates(docs, k, percent).where("NOT kept").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 

@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chartfold.llm.features import Features, Model, descend, sigmoid
 from chartfold.llm.grams import slices, texts
@@ -132,10 +133,9 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> bytes
     return bytes(made[0][0]) if made and made[0][0] is not None else None
 
 
-def score(docs: DataFrame, model: bytes | None) -> DataFrame:
-    """docs with `score`, the probability that a text is of the positive kind."""
-    names = [n for n in docs.columns if n != "score"]
-    schema = docs.select(*names).schema.add("score", "double")
+def score(docs: DataFrame, model: bytes | None, name: str = "score") -> DataFrame:
+    """docs with one more column, the probability that a text is of the positive kind."""
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Model.of(np.frombuffer(model, "<f8")[:-1]) if model else None
@@ -145,14 +145,14 @@ def score(docs: DataFrame, model: bytes | None) -> DataFrame:
             for i, j, d, o in slices(data, offsets):
                 found.append(sigmoid(scorer.scores(Features(d, o))) if scorer else np.full(j - i, 0.5))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(found))],
-                                             names=[*batch.schema.names, "score"])
+                                             names=[*batch.schema.names, name])
 
-    return docs.select(*names).mapInArrow(task, schema)
+    return docs.mapInArrow(task, schema)
 
 
 def accept(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that the classifier does not reject."""
-    kept = score(docs, train(docs, table(spark, sf_dir, "labels"))).where("score >= 0.5")
+    kept = score(docs, train(docs, table(spark, sf_dir, "labels")), "__score").where("__score >= 0.5")
     return kept.select(*docs.columns)
 
 

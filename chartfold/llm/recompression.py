@@ -101,7 +101,7 @@ def remove(docs: DataFrame) -> DataFrame:
     schema = docs.schema
 
     def finish(judge: Judge) -> pa.Table:
-        rows = judge.chunk.rows.drop_columns(["chunk"])
+        rows = judge.chunk.rows
         old = rows["text"].to_pylist()
         new = [old[row] if len(left) == len(raw) else b" ".join(left).decode() for row, raw, left in kept_words(judge)]
         return rows.set_column(rows.schema.get_field_index("text"), "text", pa.array(new, pa.string()))

@@ -31,6 +31,7 @@ from chartfold.llm.grams import U, mixed, owners, slices, texts, window_hash
 
 CHUNK_ROWS = 2048
 RANGE_ROWS = 4096
+CHUNK = "__chunk"  # added to the rows while they are judged
 ENTRIES = "bucket int, chunk int, phase int, names binary, wholes binary, of binary, ids binary"
 ANSWERS = "chunk int, phase int, bucket int, at binary, first binary, open binary"
 
@@ -62,6 +63,9 @@ class Records:
     name: np.ndarray
     whole: np.ndarray
 
+    def where(self, wanted: np.ndarray) -> Records:
+        return Records(*(getattr(self, n)[wanted] for n in ("of", "low", "high", "name", "whole")))
+
 
 def records(kind: Kind, items: np.ndarray, first: np.ndarray) -> Records:
     of = owners(first)
@@ -84,21 +88,22 @@ def records(kind: Kind, items: np.ndarray, first: np.ndarray) -> Records:
 
 
 class Chunk:
-    """A chunk's documents in the order of their ids, parsed once."""
+    """A chunk's documents in the order of their ids, parsed once; rows without id have no records."""
 
     def __init__(self, kind: Kind, rows: pa.Table):
-        ids = rows["doc_id"].combine_chunks()
-        self.known = ids.is_valid().to_numpy(zero_copy_only=False)
+        ids = rows["doc_id"].cast(pa.int64())
+        known = ids.is_valid().to_numpy()
         ids = ids.fill_null(0).to_numpy()
         order = np.argsort(ids, kind="stable")
-        self.rows = rows.take(pa.array(order))
-        self.ids, self.known = ids[order], self.known[order]
+        self.rows, self.ids = rows.take(pa.array(order)), ids[order]
+        known = known[order]
         self.kind = kind
         self.data, self.offsets = texts(self.rows["text"])
         made = []
         for i, j, d, o in slices(self.data, self.offsets):
             items, first = kind.parse(d, o)
             r = records(kind, items, first)
+            r = r.where(known[r.of + i])
             r.of += i
             made.append((i, j, first, r))
         self.slices = [(i, j, first) for i, j, first, _ in made]
@@ -213,7 +218,7 @@ class Judge:
             # Records stand in order, so a key's first record in a row is its least one.
             self.before |= ~earliest(self.keys.at, r.of)
         # A first record of an open name asks for its windows one by one.
-        asks = is_open[self.keys.at] & ~self.before & self.chunk.known[r.of]
+        asks = is_open[self.keys.at] & ~self.before
         self.asked = np.flatnonzero(asks)
         self.told = [a for a in told if a["phase"] == 2]
 
@@ -253,7 +258,7 @@ class Judge:
         for (i, j, places), size in zip(self.chunk.slices, self.chunk.sizes):
             cut = slice(at, at + size)
             at += size
-            hit = self.before[cut] & self.chunk.known[r.of[cut]]
+            hit = self.before[cut]
             edge = np.zeros(places[-1] + 1, np.int64)
             np.add.at(edge, r.low[cut][hit], 1)
             np.add.at(edge, r.high[cut][hit] + kind.window, -1)
@@ -274,9 +279,9 @@ def earliest(key: np.ndarray, of: np.ndarray) -> np.ndarray:
     return out
 
 
-def known_entries(keys: Keys, chunk: Chunk, number: int, phase: int) -> pa.Table:
-    rows = list(keys.entries(number, phase, chunk.ids))
-    return pa.Table.from_pylist(rows, schema=ENTRY_SCHEMA)
+def entry_table(keys: Keys, chunk: Chunk, phase: int) -> pa.Table:
+    number = chunk.rows[CHUNK][0].as_py()
+    return pa.Table.from_pylist(list(keys.entries(number, phase, chunk.ids)), schema=ENTRY_SCHEMA)
 
 
 def even_splitters(ranges: int) -> np.ndarray:
@@ -294,28 +299,28 @@ def judged(docs: DataFrame, kind: Kind, finish: Callable[[Judge], pa.Table], sch
     chunks, ranges = -(-n // CHUNK_ROWS) or 1, -(-n // RANGE_ROWS) or 1
     cuts = splitters(ranges)
     chunk = F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).cast("int")
-    dealt = docs.withColumn("chunk", chunk)
+    dealt = docs.withColumn(CHUNK, chunk)
 
     def first_pass(rows: pa.Table) -> pa.Table:
-        number = rows["chunk"][0].as_py()
-        rows = rows.filter(rows["doc_id"].is_valid())
         made = Chunk(kind, rows)
         r = made.records
-        return known_entries(Keys(r.name, r.whole, r.of, cuts), made, number, 1)
+        return entry_table(Keys(r.name, r.whole, r.of, cuts), made, 1)
 
     def second_pass(rows: pa.Table, answers: pa.Table) -> pa.Table:
         if not len(rows):
             return ENTRY_SCHEMA.empty_table()
         judge = Judge(kind, rows, answers, cuts)
-        return known_entries(judge.window_keys()[0], judge.chunk, rows["chunk"][0].as_py(), 2)
+        return entry_table(judge.window_keys()[0], judge.chunk, 2)
 
     def third_pass(rows: pa.Table, answers: pa.Table) -> pa.Table:
-        return finish(Judge(kind, rows, answers, cuts))
+        judge = Judge(kind, rows, answers, cuts)
+        judge.chunk.rows = judge.chunk.rows.drop_columns([CHUNK])
+        return finish(judge)
 
     def answers(entries: DataFrame) -> DataFrame:
         return entries.groupBy("bucket").applyInArrow(settle, ANSWERS)
 
-    groups = dealt.groupBy("chunk")
+    groups = dealt.groupBy(CHUNK)
     names = answers(groups.applyInArrow(first_pass, ENTRIES))
     windows = answers(groups.cogroup(names.groupBy("chunk")).applyInArrow(second_pass, ENTRIES))
     told = names.unionAll(windows)

@@ -94,7 +94,7 @@ def remove(docs: DataFrame) -> DataFrame:
 
     def finish(judge: Judge) -> pa.Table:
         chunk = judge.chunk
-        rows = chunk.rows.drop_columns(["chunk"])
+        rows = chunk.rows
         new = rows["text"].to_pylist()
         for i, j, places, gone in judge.covered():
             for row in range(i, j):
