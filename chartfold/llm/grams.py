@@ -7,6 +7,8 @@ times powers of another one; all arithmetic is modulo 2^64, and results are mixe
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,16 +26,21 @@ LOWERED[65:91] += 32
 NAME_WORD = np.array([c >= 128 or chr(c).isalnum() for c in range(256)])
 CONTINUES = (np.arange(256) & 0xC0) == 0x80
 
-_powers: dict[int, np.ndarray] = {}
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    """base^0 .. base^(n - 1) modulo 2^64, kept for the next call."""
-    if base not in _powers or len(_powers[base]) < n:
+    """base^0 .. base^(n - 1) modulo 2^64, kept for the next call.
+
+    Functions come to a worker anew with each task. What they keep in a module of the
+    worker's own is made once, and not once a task.
+    """
+    kept = vars(sys.modules.setdefault("_chartfold_powers", types.ModuleType("_chartfold_powers")))
+    name = f"p{base}"
+    if name not in kept or len(kept[name]) < n:
         p = np.full(1 << max(20, int(n).bit_length()), U(base))
         p[0] = 1
-        _powers[base] = np.multiply.accumulate(p)
-    return _powers[base][:n]
+        kept[name] = np.multiply.accumulate(p)
+    return kept[name][:n]
 
 
 def mixed(h: np.ndarray) -> np.ndarray:

@@ -26,12 +26,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chartfold.llm.grams import U, mixed, owners, slices, texts, window_hash
 
 CHUNK_ROWS = 2048
 RANGE_ROWS = 4096
-CHUNK = "__chunk"  # added to the rows while they are judged
+CHUNK, SIZE = "__chunk", "__size"  # added to the rows while they are judged
 ENTRIES = "bucket int, chunk int, phase int, names binary, wholes binary, of binary, ids binary"
 ANSWERS = "chunk int, phase int, bucket int, at binary, first binary, open binary"
 
@@ -95,7 +96,7 @@ class Chunk:
         known = ids.is_valid().to_numpy()
         ids = ids.fill_null(0).to_numpy()
         order = np.argsort(ids, kind="stable")
-        self.rows, self.ids = rows.take(pa.array(order)), ids[order]
+        self.rows, self.ids = unpacked(rows.take(pa.array(order))), ids[order]
         known = known[order]
         self.kind = kind
         self.data, self.offsets = texts(self.rows["text"])
@@ -140,8 +141,10 @@ class Keys:
         for bucket in np.flatnonzero(np.diff(self.edges)):
             cut = slice(self.edges[bucket], self.edges[bucket + 1])
             used, of = np.unique(self.least[cut], return_inverse=True)
-            yield {"bucket": int(bucket), "chunk": chunk, "phase": phase,
-                   "names": self.name[cut].astype(np.uint32).tobytes(), "wholes": self.whole[cut].tobytes(),
+            # A window's name is its content, which need not be sent twice.
+            names = self.name[cut].astype(np.uint32).tobytes() if phase == 1 else b""
+            yield {"bucket": int(bucket), "chunk": chunk, "phase": phase, "names": names,
+                   "wholes": self.whole[cut].tobytes(),
                    "of": of.astype(np.uint16 if len(used) <= 1 << 16 else np.uint32).tobytes(),
                    "ids": ids[used].tobytes()}
 
@@ -155,15 +158,36 @@ class Keys:
         return first, is_open
 
 
+def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed one by one, for the shuffle and the ways between the JVM and Python."""
+    codec = pa.Codec("zstd", 1)
+    for batch in batches:
+        raw = [None if x is None else x.encode() for x in batch.column("text").to_pylist()]
+        sizes = pa.array([None if x is None else len(x) for x in raw], pa.int64())
+        small = pa.array([None if x is None else codec.compress(x, asbytes=True) for x in raw], pa.binary())
+        at = batch.schema.get_field_index("text")
+        yield batch.set_column(at, "text", small).append_column(SIZE, sizes)
+
+
+def unpacked(rows: pa.Table) -> pa.Table:
+    codec = pa.Codec("zstd", 1)
+    pairs = zip(rows["text"].to_pylist(), rows[SIZE].to_pylist())
+    raw = [None if x is None else codec.decompress(x, n, asbytes=True) for x, n in pairs]
+    text = pa.array(raw, pa.large_binary()).cast(pa.large_string())
+    return rows.set_column(rows.schema.get_field_index("text"), "text", text).drop_columns([SIZE])
+
+
 def settle(whole: pa.Table) -> pa.Table:
-    """One range of names: answers for all entries whose name has another entry.
+    """One range of names: answers for all entries that are not the first of their content, or
+    whose name has several contents. An entry without an answer is the first.
 
     The sort goes key by key: by name, then equal names by content, then by document.
     """
     sent = whole.to_pylist()
-    names = np.concatenate([np.frombuffer(s["names"], np.uint32) for s in sent])
     wholes = np.concatenate([np.frombuffer(s["wholes"], U) for s in sent])
-    sizes = [len(s["names"]) // 4 for s in sent]
+    named = sent[0]["phase"] == 1
+    names = np.concatenate([np.frombuffer(s["names"], np.uint32) for s in sent]) if named else wholes
+    sizes = [len(s["wholes"]) // 8 for s in sent]
     docs = np.concatenate([
         np.frombuffer(s["ids"], np.int64)[np.frombuffer(s["of"], np.uint16 if len(s["ids"]) <= 8 << 16 else np.uint32)]
         for s in sent])
@@ -182,8 +206,11 @@ def settle(whole: pa.Table) -> pa.Table:
     first = docs[order][key_starts][key]
     keys_of_group = np.bincount(group[key_starts], minlength=group[-1] + 1 if len(group) else 0)
     is_open = keys_of_group[group] > 1
-    back = np.argsort(order)
-    at, first, is_open = order[back], first[back], is_open[back]
+    is_first = first == docs[order]
+    is_open &= is_first & named
+    told = np.flatnonzero(is_open | ~is_first)
+    told = told[np.argsort(order[told])]
+    at, first, is_open = order[told], first[told], is_open[told]
     ends = np.cumsum(sizes)
     cuts = np.searchsorted(at, np.concatenate([[0], ends]))
     rows = []
@@ -300,6 +327,8 @@ def judged(docs: DataFrame, kind: Kind, finish: Callable[[Judge], pa.Table], sch
     cuts = splitters(ranges)
     chunk = F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).cast("int")
     dealt = docs.withColumn(CHUNK, chunk)
+    fields = [T.StructField("text", T.BinaryType()) if f.name == "text" else f for f in dealt.schema.fields]
+    dealt = dealt.mapInArrow(packed, T.StructType([*fields, T.StructField(SIZE, T.LongType())]))
 
     def first_pass(rows: pa.Table) -> pa.Table:
         made = Chunk(kind, rows)
