@@ -9,10 +9,9 @@ survives is verified on the full sets. The pairs of BANDS x ROWS miss a pair at
 with a probability of 5e-5, the tests drop it with 1e-5 at most per batch.
 
 No bucket is expanded into pairs: links only matter until documents are connected. First
-every member of a bucket is compared with its least one; then, where a bucket still holds
-several components, members of different components are compared on signatures, tile by
-tile, and each tile gives a forest of its most similar pairs; last, all pairs that survive the
-test between components that are still apart. Links are verified after each of the steps.
+every member of a bucket is compared with its least one. Then, where a bucket still holds
+several components, members of different components meet in tiles, are tested on signatures
+and verified within the task, and a tile gives only the links that join components.
 
 Defined cases: null and empty texts have an empty set, are linked with nothing and kept; a
 text of fewer words than a shingle has its whole sequence as its one shingle; a row without
@@ -136,9 +135,16 @@ def prune(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
     return pairs.join(ends[0], "a").join(ends[1], "b").select("a", "b", "sig_a", "sig_b").mapInArrow(task, "a long, b long")
 
 
-def cross(buckets: DataFrame, classes: DataFrame, parts: DataFrame, threshold: float, forest: bool) -> DataFrame:
-    """Surviving pairs between different components of one bucket, found in tiles of bounded size."""
-    least = least_matches(threshold)
+def cross(buckets: DataFrame, classes: DataFrame, known: DataFrame, parts: DataFrame, k: int,
+          percent: int) -> DataFrame:
+    """Verified links (a, b) between components that still share a bucket.
+
+    Members of a bucket meet in tiles of bounded size, a pair only in the first band that it
+    shares. A tile tests pairs of different components on signatures, verifies the survivors
+    on full sets, the likeliest first, and gives one link for each two components that it
+    joins: pairs are never rows.
+    """
+    least = least_matches(percent / 100)
     named = buckets.join(parts.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn(
         "component", F.coalesce("component", "doc_id"))
     apart = named.groupBy("band").agg(F.count("*").alias("n"), F.min("component").alias("low"),
@@ -147,39 +153,57 @@ def cross(buckets: DataFrame, classes: DataFrame, parts: DataFrame, threshold: f
     members = named.join(apart, "band").withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("tiles")).cast("int"))
     members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     members = members.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
-    members = members.join(classes.select("doc_id", "signature"), "doc_id").select(
-        "band", "low", "high", "own", "doc_id", "component", "signature")
+    members = members.join(classes.select("doc_id", "signature", "bands"), "doc_id").join(known, "doc_id").select(
+        "band", "low", "high", "own", "doc_id", "component", "signature", "bands", "text")
 
     def tile(rows: pa.Table) -> pa.Table:
         own, low, high = (rows[c].to_numpy() for c in ("own", "low", "high"))
         ids, part, sig = rows["doc_id"].to_numpy(), rows["component"].to_numpy(), signed(rows["signature"])
+        bands = np.array(rows["bands"].to_pylist(), np.int64).reshape(-1, BANDS)
+        here = (bands == rows["band"].to_numpy()[:, None]).argmax(axis=1)
         lefts, rights = np.flatnonzero(own == low), np.flatnonzero(own == high)
         a, b, sure = [], [], []
         for i in lefts:
             js = rights[(part[rights] != part[i]) & ((low[0] != high[0]) | (ids[rights] > ids[i]))]
+            js = js[(bands[js] == bands[i]).argmax(axis=1) == here[i]]
             alive, agree = survivors(np.broadcast_to(sig[i], (len(js), HASHES)), sig[js], least)
             a.append(np.full(len(alive), i))
             b.append(js[alive])
             sure.append(agree)
         a, b, sure = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b, sure))
-        if forest:
-            keep, root = [], {}
+        links, root, full = [], {}, full_sets(rows["text"], np.union1d(a, b), k)
+
+        def find(x):
+            while root.get(x, x) != x:
+                root[x] = root.get(root[x], root[x])
+                x = root[x]
+            return x
+
+        for e in np.argsort(-sure, kind="stable"):
+            x, y = find(part[a[e]]), find(part[b[e]])
+            if x != y and linked(full[a[e]], full[b[e]], percent):
+                root[max(x, y)] = min(x, y)
+                links.append(e)
+        return pa.table({"a": pa.array(ids[a[links]], pa.int64()), "b": pa.array(ids[b[links]], pa.int64())})
+
+    links = members.groupBy("band", "low", "high").applyInArrow(tile, "a long, b long")
+    return links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
 
-            def find(x):
-                while root.get(x, x) != x:
-                    x = root[x]
-                return x
+def full_sets(column: pa.ChunkedArray, wanted: np.ndarray, k: int) -> dict[int, set]:
+    """The shingle hashes of some texts."""
+    data, offsets = texts(column.take(pa.array(wanted, pa.int64())))
+    found = {}
+    for i, j, d, o in slices(data, offsets):
+        h, first = shingles(d, o, k)
+        for t in range(i, j):
+            found[int(wanted[t])] = set(h[first[t - i]:first[t - i + 1]].tolist())
+    return found
 
-            for e in np.argsort(-sure, kind="stable"):
-                x, y = find(part[a[e]]), find(part[b[e]])
-                if x != y:
-                    root[max(x, y)] = min(x, y)
-                    keep.append(e)
-            a, b = a[keep], b[keep]
-        return pa.table({"a": pa.array(ids[a], pa.int64()), "b": pa.array(ids[b], pa.int64())})
 
-    pairs = members.groupBy("band", "low", "high").applyInArrow(tile, "a long, b long")
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def linked(a: set, b: set, percent: int) -> bool:
+    both = len(a & b)
+    return both > 0 and 100 * both >= percent * (len(a) + len(b) - both)
 
 
 def verify(pairs: DataFrame, found: DataFrame, k: int, percent: int) -> DataFrame:
@@ -231,13 +255,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     stars = buckets.where("least <> doc_id").select(F.col("least").alias("a"), F.col("doc_id").alias("b")).distinct()
     links = written(verify(prune(stars, classes, threshold), known, k, percent), "links")
     parts = components(links)
-    for forest in (True, False):
-        pairs = written(cross(buckets, classes, parts, threshold, forest), "pairs")
-        if not pairs.isEmpty():
-            more = written(verify(pairs, known, k, percent), "links")
-            if not more.isEmpty():
-                links = links.unionByName(more)
-                parts = components(links)
+    more = written(cross(buckets, classes, known, parts, k, percent), "links")
+    if not more.isEmpty():
+        links = links.unionByName(more)
+        parts = components(links)
     class_of = classes.select(*own, F.col("doc_id").alias("least"))
     out = every.select("doc_id", *own).join(class_of, own, "left")
     out = out.withColumn("least", F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id")))
