@@ -39,6 +39,7 @@ GRAM = 3
 ITEMS = 20000
 WALKS, DRAWS, BITS = 4, 8, 2
 PREFILTER = 20
+WINDOWS = 2048  # embedded at once
 FOUND = ("doc_id long, item_id long, n_item_words long, start_word long, end_word long, "
          "distance long, similarity double")
 
@@ -120,16 +121,19 @@ class Items:
 def embedded(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, steps: np.ndarray) -> np.ndarray:
     """Symbols of the walks from each start at the given steps; behind the end it is 0."""
     out = np.zeros(steps.shape, U)
-    longest = int(steps.max()) + 1 if steps.size else 0
-    for walk in range(WALKS):
-        at = starts.copy()
+    for low in range(0, len(starts), WINDOWS):
+        cut = slice(low, low + WINDOWS)
+        longest = int(steps[cut].max()) + 1
+        salts = [[U(((walk << 32) + step + 1) * 0x9E3779B97F4A7C15 % (1 << 64))] for step in range(longest)
+                 for walk in range(WALKS)]
+        salts = np.array(salts, U).reshape(longest, WALKS, 1)
+        at = np.repeat(starts[None, cut], WALKS, axis=0)
+        symbols = np.empty((longest, *at.shape), U)
         for step in range(longest):
-            inside = at < ends
-            symbol = np.where(inside, words[np.minimum(at, len(words) - 1)], U(0))
-            out[:, walk][steps[:, walk] == step] = np.repeat(symbol, (steps[:, walk] == step).sum(axis=1))
-            salt = U(((walk << 32) + step + 1) * 0x9E3779B97F4A7C15 % (1 << 64))
-            moves = mixed(symbol + salt) & U(1)
-            at = at + (inside & (moves == 1))
+            inside = at < ends[cut]
+            symbols[step] = np.where(inside, words[np.minimum(at, len(words) - 1)], U(0))
+            at = at + (inside & ((mixed(symbols[step] + salts[step]) & U(1)) == 1))
+        out[cut] = np.take_along_axis(symbols.transpose(2, 1, 0), steps[cut], axis=2)
     return out
 
 
@@ -165,17 +169,22 @@ def search(words: Words, items: Items) -> Iterator[tuple[int, int, int, int, int
     steps = items.samples[item]
     same = embedded(words.hashes, begin, np.minimum(begin + items.n[item], high), steps) == items.walks[item]
     drawn = same.reshape(len(of), WALKS * DRAWS, BITS).all(axis=2).any(axis=1)
+    of, item, begin = of[drawn], item[drawn], begin[drawn]
+    order = np.lexsort((begin, item, of))
+    of, item, begin = of[order], item[order], begin[order]
+    # Windows of an item that overlap are one region: its best passage is the best of them all.
+    new = np.ones(len(of), bool)
+    new[1:] = (of[1:] != of[:-1]) | (item[1:] != item[:-1]) | (begin[1:] > begin[:-1] + items.n[item[1:]])
+    first = np.flatnonzero(new)
     best = {}
-    for t, i, s in zip(of[drawn], item[drawn], begin[drawn]):
-        a = max(words.first[t], s - items.edits[i])
-        b = min(words.first[t + 1], s + items.n[i] + items.edits[i])
-        found = best.get((t, i))
-        if found and found[0] == 0:
-            continue
-        d, x, y = distance(items.words[i], words.hashes[a:b])
+    for x, y in zip(first, np.append(first[1:], len(of))):
+        t, i = of[x], item[x]
+        low = max(words.first[t], begin[x] - items.edits[i])
+        high = min(words.first[t + 1], begin[y - 1] + items.n[i] + items.edits[i])
+        d, a, b = distance(items.words[i], words.hashes[low:high])
         if d <= items.edits[i]:
-            offer = (d, int(a + x - words.first[t]), int(a + y - words.first[t]))
-            best[(t, i)] = min(found or offer, offer)
+            offer = (d, int(low + a - words.first[t]), int(low + b - words.first[t]))
+            best[(t, i)] = min(best.get((t, i), offer), offer)
     for (t, i), (d, x, y) in sorted(best.items()):
         yield int(t), int(i), x, y, d
 
