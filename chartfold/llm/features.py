@@ -15,6 +15,7 @@ from chartfold.llm.grams import (
     CONTINUES, SPACE_WORD, U, Words, covered, marks, mixed, owners, per_text, repeated, spans_hash)
 
 WORD_BITS, CHAR_BITS = 15, 15
+FIT_BYTES = 1 << 21  # texts to fit on are cut into larger slices, as each has a gradient
 SYMBOL = np.isin(np.arange(256), [ord(c) for c in "#*$%&|<>"])
 UPPER = np.array([65 <= c <= 90 for c in range(256)])
 LETTER = np.array([c >= 128 or chr(c).isalpha() for c in range(256)])

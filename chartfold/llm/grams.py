@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1_000_000
+SLICE_BYTES = 100_000
 U = np.uint64
 BASE, UNBASE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
 STEP, UNSTEP = 0xD6E8FEB86659FD93, pow(0xD6E8FEB86659FD93, -1, 1 << 64)
@@ -37,7 +37,7 @@ def powers(base: int, n: int) -> np.ndarray:
     kept = vars(sys.modules.setdefault("_chartfold_powers", types.ModuleType("_chartfold_powers")))
     name = f"p{base}"
     if name not in kept or len(kept[name]) < n:
-        p = np.full(1 << max(20, int(n).bit_length()), U(base))
+        p = np.full(1 << max(17, int(n).bit_length()), U(base))
         p[0] = 1
         kept[name] = np.multiply.accumulate(p)
     return kept[name][:n]
@@ -63,11 +63,12 @@ def texts(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def slices(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def slices(data: np.ndarray, offsets: np.ndarray,
+           size: int | None = None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Cuts texts into runs of about SLICE_BYTES: (first, last, bytes, offsets). Texts stay whole."""
     n, i = len(offsets) - 1, 0
     while i < n:
-        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + SLICE_BYTES, "right")) - 1)
+        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + (size or SLICE_BYTES), "right")) - 1)
         yield i, j, data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]
         i = j
 

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chartfold.llm.features import Features, Model, descend, sigmoid
+from chartfold.llm.features import FIT_BYTES, Features, Model, descend, sigmoid
 from chartfold.llm.grams import slices, texts
 from chartfold.llm.text import table
 
@@ -59,7 +59,8 @@ class Rows:
     """Features of the rows to fit on, slice by slice, with a mark for positives."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, positive: np.ndarray):
-        self.parts = [(Features(d, o), positive[i:j], np.arange(i, j)) for i, j, d, o in slices(data, offsets)]
+        self.parts = [(Features(d, o), positive[i:j], np.arange(i, j))
+                      for i, j, d, o in slices(data, offsets, FIT_BYTES)]
         self.positive, self.n = positive, len(positive)
 
     def scores(self, model: Model) -> np.ndarray:

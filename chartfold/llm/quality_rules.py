@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chartfold.llm.features import Features, Model, descend, sigmoid
+from chartfold.llm.features import FIT_BYTES, Features, Model, descend, sigmoid
 from chartfold.llm.grams import slices, texts
 from chartfold.llm.text import table
 
@@ -33,7 +33,7 @@ SCHEMA = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lin
 
 def fit(data: np.ndarray, offsets: np.ndarray, label: np.ndarray) -> bytes:
     """Weights, then the slope and shift of the calibration, as the bytes of a vector."""
-    parts = [(Features(d, o), label[i:j]) for i, j, d, o in slices(data, offsets)]
+    parts = [(Features(d, o), label[i:j]) for i, j, d, o in slices(data, offsets, FIT_BYTES)]
     unseen = np.arange(len(label)) % 5 == 0
     seen, at = [], 0
     for features, y in parts:

@@ -30,8 +30,8 @@ from pyspark.sql import types as T
 
 from chartfold.llm.grams import U, mixed, owners, slices, texts, window_hash
 
-CHUNK_ROWS = 2048
-RANGE_ROWS = 4096
+CHUNK_ROWS = 1024
+RANGE_ROWS = 2048
 CHUNK, SIZE = "__chunk", "__size"  # added to the rows while they are judged
 ENTRIES = "bucket int, chunk int, phase int, names binary, wholes binary, of binary, ids binary"
 ANSWERS = "chunk int, phase int, bucket int, at binary, first binary, open binary"
