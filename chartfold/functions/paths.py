@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from chartfold.functions.text import as_column
 
-UNKNOWN_UUID = "UNKNOWN_UUID"  # fixed value for a name without a file id
+# The grammar of object keys and names.
+UNKNOWN_UUID = "UNKNOWN_UUID"  # stands for a name without a file id
+SILVER_PREFIX = "silver-vitals/"
 _EXTENSION = r"(?i)\.(csv|xml)$"
 _NAMED = r"^(.+)__vitals__(.*)$"
-_PARTS_FOLDER = r"/object=([^/]+)/[^/]+$"
 
 
 def decode_key(key: Column | str) -> Column:
@@ -61,21 +62,30 @@ def plain_path(path: Column | str) -> Column:
     return F.try_url_decode(F.replace(as_column(path), F.lit("+"), F.lit("%2B")))
 
 
-def object_key(path: Column | str, root: str) -> Column:
-    """Key of a landed object below ``root``.
+def scan_path() -> Column:
+    """Path of the file that a scanned row comes from, in the form of a file listing."""
+    return F.regexp_replace(plain_path("_metadata.file_path"), "^file:/+", "file:/")
 
-    A folder ``object=<name>`` holds one object that a Spark job wrote in several parts;
-    all of its parts share the key.
+
+def _whole_object(path: Column | str, parts: str | None) -> Column:
+    """Path of the object a file belongs to: the file, or the folder `<parts>=<name>` around it."""
+    text = as_column(path)
+    return F.regexp_replace(text, rf"/{parts}=([^/]+)/[^/]+$", "/$1") if parts else text
+
+
+def object_key(path: Column | str, root: str, parts: str | None = None) -> Column:
+    """Key of a landed object: what follows the landing root, which `path` must begin with.
+
+    ``root`` is a qualified path. With ``parts``, a folder ``<parts>=<name>`` holds one object
+    that a Spark job wrote in several files; all of them share the key.
     """
-    whole = F.regexp_replace(plain_path(path), _PARTS_FOLDER, "/$1")
-    return F.substring_index(whole, root.rstrip("/") + "/", -1)
+    whole = _whole_object(path, parts)
+    return F.when(F.startswith(whole, F.lit(f"{root}/")), F.substring(whole, len(root) + 2, 1 << 20))
 
 
-def object_name(path: Column | str) -> Column:
+def object_name(path: Column | str, parts: str | None = None) -> Column:
     """File name of a landed object, see :func:`object_key`."""
-    text = plain_path(path)
-    folder = F.nullif(F.regexp_extract(text, _PARTS_FOLDER, 1), F.lit(""))
-    return F.coalesce(folder, file_name(text))
+    return file_name(_whole_object(path, parts))
 
 
 def is_xml(name: Column | str) -> Column:
@@ -89,4 +99,4 @@ def silver_bucket(bucket: Column | str) -> Column:
 def silver_key(name: Column | str) -> Column:
     """Target of a cleaned file; the extension is matched in any case."""
     clean = F.regexp_replace(file_name(name), r"(?i)\.csv$", "_clean.csv")
-    return F.concat(F.lit("silver-vitals/"), clean)
+    return F.concat(F.lit(SILVER_PREFIX), clean)

@@ -8,6 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chartfold.functions.text import as_column, has_text, strip
 
@@ -60,12 +61,29 @@ def surrogate_key(encounter: Column | str, vendor: Column | str, loaded: Column
     return F.md5(F.concat(*parts))
 
 
+def _texts(value: Column, kind: T.DataType) -> Column:
+    """All values inside a column, as an array of texts, whatever its nesting."""
+    if isinstance(kind, T.StructType):
+        return F.concat(*[_texts(value.getField(f.name), f.dataType) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        items = F.coalesce(value, F.array().cast(kind))
+        return F.flatten(F.transform(items, lambda x: _texts(x, kind.elementType)))
+    if isinstance(kind, T.MapType):
+        sides = ((F.map_keys(value), kind.keyType), (F.map_values(value), kind.valueType))
+        return F.concat(*[_texts(side, T.ArrayType(of)) for side, of in sides])
+    return F.array(value.cast("string"))
+
+
 def clear_identities(df: DataFrame, identities: DataFrame) -> DataFrame:
-    """Distinct clear identifiers that still occur as a text value anywhere in ``df``.
+    """Distinct clear identifiers that still occur anywhere in ``df``: as a value of any column
+    or nested field, number or text, or as a word of a longer text.
 
-    ``identities`` has one column ``identity``. Both sides are made distinct before the
-    join, so a frequent value costs no more than a rare one.
+    ``identities`` has one column ``identity``. Values are matched before they are made
+    distinct, so only leaks are shuffled.
     """
-    texts = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
-    values = df.select(F.explode(F.array(*texts)).alias("identity")).distinct()
-    return identities.select("identity").distinct().join(values, "identity", "left_semi")
+    known = identities.select("identity").distinct()
+    values = F.concat(*[_texts(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields])
+    each = df.select(F.explode(values).alias("value")).where("value IS NOT NULL")
+    words = F.array_union(F.array("value"), F.split("value", r"[^\p{L}\p{N}_-]+"))
+    found = each.select(F.explode(words).alias("identity"))
+    return found.join(known, "identity", "left_semi").distinct()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from chartfold.functions.paths import silver_key
@@ -11,6 +11,9 @@ HEADER_CONTRACT = "HEADER_CONTRACT"
 NO_VALID_ROWS = "NO_VALID_ROWS"
 NO_VENDOR = "NO_VENDOR"
 MALFORMED = "MALFORMED"
+ENCODING = "ENCODING"  # not UTF-8
+EMPTY = "EMPTY"  # no bytes
+MISSING = "MISSING"  # notified, not there
 
 
 def file_row_counts(rows: DataFrame, file: str = "object_key") -> DataFrame:
@@ -34,24 +37,33 @@ def survivor_count(rows: DataFrame, name: str = "survivors") -> tuple[DataFrame,
     return observed, observation
 
 
-def file_outcomes(files: DataFrame, counts: DataFrame, file: str = "object_key") -> DataFrame:
-    """One row per file: success with its counts, or failure with the reason.
+def verdict(
+    files: DataFrame, counts: DataFrame, target: Column, file: str = "object_key",
+    broken: Column | None = None,
+) -> DataFrame:
+    """One row per file: success with its counts and target, or failure with the reason.
 
-    ``files`` has a column ``reason``, set where a file failed before its rows were read.
+    ``files`` has a column ``reason``, set where a file failed before its rows were read;
+    ``broken`` is a reason that the counts give.
     """
-    joined = files.join(counts, file, "left").withColumns(
-        {
-            "rows_seen": F.coalesce("rows_seen", F.lit(0).cast("bigint")),
-            "rows_written": F.coalesce("rows_written", F.lit(0).cast("bigint")),
-        }
+    joined = files.join(counts, file, "left")
+    joined = joined.withColumns(
+        {c: F.coalesce(c, F.lit(0)).cast("bigint") for c in counts.columns if c.startswith("rows_")}
     )
-    error = F.coalesce("reason", F.when(F.col("rows_written") == 0, NO_VALID_ROWS))
+    reasons = [F.col("reason"), *([broken] if broken is not None else [])]
+    error = F.coalesce(*reasons, F.when(F.col("rows_written") == 0, NO_VALID_ROWS))
     failed = error.isNotNull()
-    return joined.select(
-        file,
-        F.when(failed, "failed").otherwise("success").alias("status"),
-        error.alias("error"),
-        "rows_seen",
-        F.when(failed, 0).otherwise(F.col("rows_written")).cast("bigint").alias("rows_written"),
-        F.when(~failed, silver_key(file)).alias("target"),
+    return joined.withColumns(
+        {
+            "status": F.when(failed, "failed").otherwise("success"),
+            "error": error,
+            "rows_written": F.when(failed, 0).otherwise(F.col("rows_written")).cast("bigint"),
+            "target": F.when(~failed, target),
+        }
     )
+
+
+def file_outcomes(files: DataFrame, counts: DataFrame, file: str = "object_key") -> DataFrame:
+    """The verdicts on single files, whose targets are cleaned files of the same name."""
+    judged = verdict(files, counts, silver_key(file), file)
+    return judged.select(file, "status", "error", "rows_seen", "rows_written", "target")

@@ -11,16 +11,22 @@ from pyspark.sql import functions as F
 
 from chartfold.contracts import Contract
 from chartfold.operators.cleaning import clean_rows
-from chartfold.operators.quality import HEADER_CONTRACT, MALFORMED, NO_VALID_ROWS
+from chartfold.operators.quality import HEADER_CONTRACT, MALFORMED, MISSING, verdict
 from chartfold.session import hide_secrets
 from chartfold.sinks.quarantine import quarantine_files
 from chartfold.sinks.silver import write_silver_csv, write_silver_parquet
 from chartfold.sources.landing import Landing, list_files, read_landing
-from chartfold.storage import delete, is_complete, write_work_table
+from chartfold.storage import child_names, delete, is_complete, qualified, write_work_table
 
-# Up to this many notified objects are opened by name; beyond it, the folder is listed.
+# Up to this many notified objects are looked up by name; beyond it, the folder is listed.
+# Both give the same table of files.
 NAMED_OBJECTS = 1_000
 
+OUTCOMES = (
+    "object_key string, object_version string, status string, error string, rows_seen bigint,"
+    " rows_written bigint, rows_malformed bigint, target string, redelivered boolean"
+)
+
 
 @dataclass(frozen=True)
 class Lake:
@@ -37,6 +43,9 @@ class Lake:
     def outcomes(self, batch_id: int) -> str:
         return f"{self.root}/outcomes/batch_id={batch_id}"
 
+    def identity(self, batch_id: int) -> str:
+        return f"{self.root}/batches/batch_id={batch_id}"
+
     def quarantine(self, batch_id: int) -> str:
         return f"{self.root}/quarantine/batch_id={batch_id}"
 
@@ -46,20 +55,41 @@ def _work_table(spark: SparkSession, path: str, make: Callable[[], DataFrame]) -
     return spark.read.parquet(path) if is_complete(spark, path) else write_work_table(make(), path)
 
 
-def _batch_files(
-    spark: SparkSession, landing: Landing, contract: Contract, notified: DataFrame | None
-) -> DataFrame:
-    files = list_files(spark, landing, contract)
-    if notified is None:
-        return files
-    named = notified.select("object_key").distinct()
-    empty = F.when(F.col("file_path").isNull(), HEADER_CONTRACT)
-    return files.join(named, "object_key", "right").withColumns(
-        {
-            "reason": F.coalesce(empty, F.col("reason")),
-            "format": F.coalesce("format", F.lit("csv")),
-        }
-    )
+def _check_identity(
+    spark: SparkSession, landing: Landing, lake: Lake, batch_id: int, keys: DataFrame | None
+) -> None:
+    """A batch id belongs to one landing folder and one set of objects for good."""
+    objects = "all"
+    if keys is not None:
+        digest = keys.agg(F.count("*"), F.sum(F.xxhash64("object_key").cast("decimal(38,0)"))).first()
+        objects = f"{digest[0]}:{digest[1]}"
+    now = (qualified(spark, landing.root), objects)
+    path = lake.identity(batch_id)
+    if is_complete(spark, path):
+        before = spark.read.schema("landing string, objects string").json(path).first()
+        if tuple(before) != now:
+            raise RuntimeError(f"batch {batch_id} belongs to {before.landing} with other objects or files")
+    else:
+        marker = spark.range(0, 1, 1, 1).select(F.lit(now[0]).alias("landing"), F.lit(now[1]).alias("objects"))
+        marker.write.mode("overwrite").json(path)
+
+
+def _listing(spark: SparkSession, landing: Landing, keys: DataFrame | None) -> DataFrame:
+    """Files of the batch; of notified objects only, if there are any."""
+    if keys is None:
+        return landing.files(spark)
+    if keys.count() <= NAMED_OBJECTS:
+        return landing.files(spark, [row.object_key for row in keys.collect()])
+    return landing.files(spark).join(keys, "object_key", "left_semi")
+
+
+def ledger(spark: SparkSession, lake: Lake, batch_id: int) -> DataFrame:
+    """Objects that other batches ingested, in the state in which they did."""
+    schema = f"{OUTCOMES}, batch_id bigint"
+    if not child_names(spark, f"{lake.root}/outcomes"):
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(schema).parquet(f"{lake.root}/outcomes")
+    return rows.where((F.col("batch_id") != batch_id) & (F.col("status") == "success") & ~F.col("redelivered"))
 
 
 def _with_presence(rows: DataFrame, contract: Contract) -> DataFrame:
@@ -79,11 +109,11 @@ def object_outcomes(
     """
     counts = rows.groupBy("object_key").agg(
         F.count("*").alias("rows_seen"),
-        F.count_if("is_valid").alias("rows_kept"),
+        F.count_if("is_valid").alias("rows_written"),
         F.count_if("is_malformed").alias("rows_malformed"),
         F.bit_or("present").alias("present"),
     )
-    objects = files.groupBy("object_key").agg(
+    objects = files.groupBy("object_key", "object_version").agg(
         F.min("reason").alias("reason"),
         F.max("format").alias("format"),
         F.bool_or(F.col("lane") == "small").alias("in_csv"),
@@ -94,23 +124,12 @@ def object_outcomes(
         for kind in ("csv", "parquet")
     ]
     every_column = (1 << len(contract.columns)) - 1
-    seen, kept = (F.coalesce(c, F.lit(0)).cast("bigint") for c in ("rows_seen", "rows_kept"))
-    broken = F.coalesce("rows_malformed", F.lit(0)) > 0
     incomplete = (F.col("format") == "xml") & (F.coalesce("present", F.lit(0)) != every_column)
-    error = (
-        F.when(F.col("reason").isNotNull(), F.col("reason"))
-        .when((kept == 0) & broken, MALFORMED)
-        .when(incomplete, HEADER_CONTRACT)
-        .when(kept == 0, NO_VALID_ROWS)
-    )
-    return objects.join(counts, "object_key", "left").select(
-        "object_key",
-        F.when(error.isNull(), "success").otherwise("failed").alias("status"),
-        error.alias("error"),
-        seen.alias("rows_seen"),
-        F.when(error.isNull(), kept).otherwise(0).cast("bigint").alias("rows_written"),
-        F.when(error.isNull(), F.concat_ws(",", *targets)).alias("target"),
-    )
+    # One broken record fails its object: what follows it may be lost with it.
+    broken = F.when(F.col("rows_malformed") > 0, MALFORMED).when(incomplete, HEADER_CONTRACT)
+    judged = verdict(objects, counts, F.concat_ws(",", *targets), broken=broken)
+    columns = [c.split()[0] for c in OUTCOMES.split(", ")]
+    return judged.withColumn("redelivered", F.lit(False)).select(*columns)
 
 
 def ingest_batch(
@@ -124,27 +143,36 @@ def ingest_batch(
 ) -> DataFrame:
     """Ingest the files of a landing folder and return one outcome per object.
 
-    ``notified``, with a column ``object_key``, limits the batch to the named objects. A few
-    are opened by name, so that a folder with years of files need not be listed. A named
-    object that is missing or holds no bytes fails.
+    ``notified``, with a column ``object_key``, limits the batch to the named objects; one
+    that is not there, or holds no bytes, fails. An object that another batch ingested in the
+    same state is not ingested again: if it was notified, its outcome is the earlier one,
+    marked ``redelivered``. A batch id belongs to its folder and its objects; another use of
+    it is an error.
     The raw files are parsed once, into a work table; counts and both silver folders come
     from there. A repeated call picks up where a lost one stopped, and changes nothing
     once the outcomes are written.
     """
     hide_secrets(spark)
+    keys = None if notified is None else notified.select("object_key").distinct()
+    _check_identity(spark, landing, lake, batch_id, keys)
     done = lake.outcomes(batch_id)
     if is_complete(spark, done):
         return spark.read.parquet(done)
 
-    if notified is not None:
-        named = notified.select("object_key").distinct()
-        if named.count() <= NAMED_OBJECTS:
-            landing = landing.narrowed(spark, [row.object_key for row in named.collect()])
     work = lake.work(batch_id)
-    files = _work_table(
+    listing = _work_table(spark, f"{work}/listing", lambda: _listing(spark, landing, keys))
+    state = ["object_key", "object_version"]
+    known = _work_table(
         spark,
-        f"{work}/files",
-        lambda: _batch_files(spark, landing, contract, notified),
+        f"{work}/known",
+        lambda: ledger(spark, lake, batch_id)
+        .join(listing.select(*state).distinct(), state, "left_semi")
+        .groupBy(*state)
+        .agg(*[F.min(c).alias(c) for c in ("rows_seen", "rows_written", "target")]),
+    )
+    fresh = listing.join(known, state, "left_anti")
+    files = _work_table(
+        spark, f"{work}/files", lambda: list_files(spark, landing, contract, fresh)
     )
 
     def cleaned() -> DataFrame:
@@ -152,16 +180,27 @@ def ingest_batch(
         return clean_rows(landed, contract, key, ("object_key", "lane", "is_malformed", "present"))
 
     rows = _work_table(spark, f"{work}/rows", cleaned)
-    outcomes = _work_table(
-        spark,
-        f"{work}/outcomes",
-        lambda: object_outcomes(files, rows, contract, batch_id),
-    )
+    def judged() -> DataFrame:
+        found = object_outcomes(files, rows, contract, batch_id)
+        if keys is None:
+            return found
+        again = known.select(
+            *state, F.lit("success").alias("status"), "rows_seen", "rows_written",
+            F.lit(0).cast("bigint").alias("rows_malformed"), "target", F.lit(True).alias("redelivered"),
+        )
+        gone = keys.join(listing.select("object_key").distinct(), "object_key", "left_anti").select(
+            "object_key", F.lit("failed").alias("status"), F.lit(MISSING).alias("error"),
+            *[F.lit(0).cast("bigint").alias(c) for c in ("rows_seen", "rows_written", "rows_malformed")],
+            F.lit(False).alias("redelivered"),
+        )
+        return found.unionByName(again, True).unionByName(gone, True)
+
+    outcomes = _work_table(spark, f"{work}/outcomes", judged)
     failed = outcomes.where("status = 'failed'").select("object_key")
     accepted = rows.where("is_valid").join(failed, "object_key", "left_anti")
     write_silver_csv(accepted.where("lane = 'small'"), lake.silver("csv"), batch_id, contract)
     write_silver_parquet(accepted.where("lane = 'bulk'"), lake.silver("parquet"), batch_id, contract)
-    rejected = files.where("file_path is not null").join(failed, "object_key", "left_semi")
+    rejected = files.join(failed, "object_key", "left_semi")
     quarantine_files(spark, landing, rejected, lake.quarantine(batch_id))
 
     outcomes.write.mode("overwrite").parquet(done)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import timedelta
 from functools import reduce
 
@@ -29,6 +30,7 @@ from chartfold.sources.landing import (
 )
 from chartfold.sources.silver import read_silver_csv, read_silver_parquet, select_files_by_pattern
 from chartfold.storage import write_work_table
+from chartfold.streaming.acknowledge import ingest_messages, read_acknowledged
 from chartfold.streaming.fold import HistoryTable, fold_new_rows
 from chartfold.streaming.staging import (
     append_staging,
@@ -67,7 +69,7 @@ def land_csv(spark: SparkSession, sf_dir: str) -> Landing:
         writer.options(header="true", escape='"', ignoreLeadingWhiteSpace="false").option(
             "ignoreTrailingWhiteSpace", "false"
         ).csv(root)
-    return Landing(root)
+    return Landing(root, parts="object")
 
 
 def land_xml(spark: SparkSession, sf_dir: str) -> Landing:
@@ -76,7 +78,7 @@ def land_xml(spark: SparkSession, sf_dir: str) -> Landing:
     gathered = rows.select(*ENROLLMENT.columns, "object").hint("rebalance", "object")
     writer = gathered.write.partitionBy("object").format("xml")
     writer.options(rootTag="records", rowTag="record").save(root)
-    return Landing(root)
+    return Landing(root, parts="object")
 
 
 def _read_and_clean(spark: SparkSession, landing: Landing) -> DataFrame:
@@ -98,7 +100,53 @@ def q_landing_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_ingest_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = Lake(fresh_folder(spark, "lake"))
-    return ingest_batch(spark, land_csv(spark, sf_dir), lake, 0, ENROLLMENT, FIXTURE_KEY)
+    outcomes = ingest_batch(spark, land_csv(spark, sf_dir), lake, 0, ENROLLMENT, FIXTURE_KEY)
+    return outcomes.select("object_key", "status", "error", "rows_seen", "rows_written", "target")
+
+
+def q_redelivered_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Current versions after the same objects were notified in three batches, staged and folded each time."""
+    lake = Lake(fresh_folder(spark, "lake"))
+    landing = land_csv(spark, sf_dir)
+    named = landing.files(spark).select("object_key").distinct()
+    history = HistoryTable(f"{lake.root}/history", ENROLLMENT)
+    for batch_id in range(3):
+        ingest_batch(spark, landing, lake, batch_id, ENROLLMENT, FIXTURE_KEY, named)
+        silver = stream_silver_csv(spark, lake.silver("csv"), ENROLLMENT)
+        append_staging(silver, f"{lake.root}/staging", f"{lake.root}/c1", ENROLLMENT).awaitTermination()
+        fold_new_rows(spark, f"{lake.root}/staging", history, f"{lake.root}/c2").awaitTermination()
+    columns = [c for c in ENROLLMENT.silver_columns if c != "lineage_file_uuid"]
+    return history.history(spark).select(*columns, "is_current")
+
+
+def q_bulk_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of all files with a good header, read by the bulk lane as if every file were large."""
+    return _read_and_clean(spark, replace(land_csv(spark, sf_dir), bulk_bytes=1))
+
+
+def q_split_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of all XML files, cut at record ends as if every file were large."""
+    return _read_and_clean(spark, replace(land_xml(spark, sf_dir), xml_split_bytes=1))
+
+
+def q_acknowledged_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two messages a month: one names the objects of two vendors, one that of vendor P, which fails."""
+    landing = land_csv(spark, sf_dir)
+    lake = Lake(fresh_folder(spark, "lake"))
+    folder = fresh_folder(spark, "messages")
+    keys = landing.files(spark).select("object_key").distinct()
+    month = F.regexp_extract("object_key", r"__vitals__(\d+)__", 1)
+    bad = F.startswith("object_key", F.lit("vendor_P"))
+    record = F.struct(F.struct(
+        F.struct(F.lit("clinic-bronze").alias("name")).alias("bucket"),
+        F.struct(F.url_encode("object_key").alias("key"), F.lit(1).cast("long").alias("size")).alias("object"),
+    ).alias("s3"))
+    messages = keys.groupBy(F.concat(F.when(bad, "p").otherwise("g"), month).alias("receipt")).agg(
+        F.to_json(F.struct(F.collect_list(record).alias("Records"))).alias("body"))
+    messages.write.json(folder)
+    ingest_messages(spark, stream_notifications(spark, folder), landing, lake, ENROLLMENT, FIXTURE_KEY,
+                    f"{lake.root}/c0", "clinic-bronze").awaitTermination()
+    return read_acknowledged(spark, lake).drop("batch_id")
 
 
 def q_ingest_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,17 +157,20 @@ def q_ingest_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw lines of the rejected files, without their header lines."""
+    """Raw lines of the rejected files. An object in several parts has a header line in each."""
     lake = Lake(fresh_folder(spark, "lake"))
     ingest_batch(spark, land_csv(spark, sf_dir), lake, 0, ENROLLMENT, FIXTURE_KEY)
-    lines = spark.read.text(lake.quarantine(0)).where("value not like 'encounter_id,%'")
-    return lines.select("file_name", "value")
+    lines = spark.read.text(lake.quarantine(0)).select("file_name", "value")
+    header = F.col("value").like("%gpa%")
+    return lines.where(~header).unionByName(lines.where(header).distinct())
 
 
 def q_raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines per landed object, header lines aside."""
-    lines = read_raw_text(spark, land_csv(spark, sf_dir).root).where("value not like '%gpa%'")
-    return lines.groupBy(object_name("file_path").alias("object")).agg(F.count("*").alias("lines"))
+    """Lines per landed object, and its different header lines; each part has one."""
+    lines = read_raw_text(spark, land_csv(spark, sf_dir).root)
+    header = F.col("value").like("%gpa%")
+    return lines.groupBy(object_name("file_path", "object").alias("object")).agg(
+        F.count_if(~header).alias("lines"), F.count_distinct(F.when(header, F.col("value"))).alias("headers"))
 
 
 def q_select_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,9 +186,13 @@ def q_select_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_silver_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two files, one of them with its columns the other way round."""
     folder = fresh_folder(spark, "silver")
     rows = staged_vitals(spark, sf_dir)
-    write_silver_csv(rows, folder, 0, VITALS)
+    turned = F.col("source_vendor").isin("click", "view")
+    write_silver_csv(rows.where(~turned), folder, 0, VITALS)
+    other = rows.where(turned).select(*reversed(VITALS.silver_columns))
+    other.write.options(header="true", escape='"').csv(f"{folder}/batch_id=1")
     return read_silver_csv(spark, folder, VITALS).drop("cast_errors")
 
 
@@ -265,10 +320,8 @@ def q_skip_unchanged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_history_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """History written in its layout, and a range of it read back."""
-    folder = fresh_folder(spark, "layout")
-    rows = write_work_table(history_layout(daily_history(spark, sf_dir), VITALS), folder)
-    return rows.where("source_vendor = 'click' and encounter_id >= 'E5'")
+    """History written in its layout and read back."""
+    return write_work_table(history_layout(daily_history(spark, sf_dir), VITALS), fresh_folder(spark, "layout"))
 
 
 def q_staging_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -316,6 +369,10 @@ QUERIES = {
     "landing_xml": q_landing_xml,
     "ingest_outcomes": q_ingest_outcomes,
     "ingest_silver": q_ingest_silver,
+    "redelivered_objects": q_redelivered_objects,
+    "bulk_csv": q_bulk_csv,
+    "split_xml": q_split_xml,
+    "acknowledged_messages": q_acknowledged_messages,
     "quarantine": q_quarantine,
     "raw_text": q_raw_text,
     "select_files_by_pattern": q_select_files,

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from chartfold.functions.privacy import hmac_pads
-from chartfold.plans.queries import AS_OF, HALF, ROUTE_BYTES
+from chartfold.plans.queries import AS_OF, FIRST_CUT, ROUTE_BYTES
 from chartfold.plans.views import FIXTURE_KEY
 
 _IN, _OUT = (pad.hex() for pad in hmac_pads(FIXTURE_KEY))
@@ -85,14 +85,13 @@ files AS (
     ELSE vendor || '-notes.csv' END AS file_name
   FROM named)"""
 
-_HALVES = f"""{_VITALS},
+_TWO_BATCHES = f"""{_VITALS},
 active AS (
   SELECT {_HASH_KEY} AS vitals_hash_key, * FROM vitals
-  WHERE ingested_at < TIMESTAMP '{HALF}'
-    AND (CAST(substr(encounter_id, 2) AS BIGINT) % 2 = 0 OR CAST(substr(encounter_id, 2) AS BIGINT) > 100)
+  WHERE ingested_at < TIMESTAMP '{FIRST_CUT}'
   QUALIFY row_number() OVER (PARTITION BY encounter_id ORDER BY {_LATEST}) = 1),
 batch AS (
-  SELECT * FROM vitals WHERE ingested_at >= TIMESTAMP '{HALF}'
+  SELECT * FROM vitals WHERE ingested_at >= TIMESTAMP '{FIRST_CUT}'
   QUALIFY row_number() OVER (PARTITION BY encounter_id ORDER BY {_LATEST}) = 1)"""
 
 _GOOD_ROW = "trim(patient_id) <> ''"
@@ -128,6 +127,21 @@ ORACLES = {
 WITH {_ENROLLMENT} {_SILVER} AND source_vendor <> 'vendor_P'""",
     "ingest_silver": f"""
 WITH {_ENROLLMENT} {_SILVER} AND source_vendor <> 'vendor_P'""",
+    "redelivered_objects": f"""
+WITH {_ENROLLMENT}
+SELECT DISTINCT * EXCLUDE (lineage_file_uuid), TRUE AS is_current FROM ({_SILVER} AND source_vendor <> 'vendor_P')""",
+    "bulk_csv": f"""
+WITH {_ENROLLMENT} {_SILVER} AND source_vendor <> 'vendor_P'""",
+    "split_xml": f"""
+WITH {_ENROLLMENT} {_SILVER}""",
+    "acknowledged_messages": f"""
+WITH {_ENROLLMENT}, objects AS (
+  SELECT source_vendor = 'vendor_P' AS bad, strftime(landed_on, '%Y%m') AS month,
+         source_vendor = 'vendor_P' OR count(*) FILTER (WHERE {_GOOD_ROW}) = 0 AS failed
+  FROM enrollment GROUP BY source_vendor, 1, 2)
+SELECT CASE WHEN bad THEN 'p' ELSE 'g' END || month AS receipt, count(*) AS files,
+       count(*) FILTER (WHERE failed) AS failed_files, bool_and(NOT failed) AS acknowledge
+FROM objects GROUP BY 1""",
     "landing_xml": f"""
 WITH {_ENROLLMENT} {_SILVER}""",
     "ingest_outcomes": f"""
@@ -152,9 +166,15 @@ SELECT file_name,
             CASE patient_id WHEN '' THEN '""' ELSE patient_id END, row_number, encounter_id, enrollment_date)
        ELSE concat_ws(',', encounter_id, CASE patient_id WHEN '' THEN '""' ELSE patient_id END,
             enrollment_date, CASE gpa WHEN '' THEN '""' ELSE gpa END) END AS value
+FROM counted WHERE source_vendor = 'vendor_P' OR good = 0
+UNION ALL
+SELECT DISTINCT file_name, CASE source_vendor WHEN 'vendor_P' THEN 'encounter_id,patient,enrollment_date,gpa'
+       WHEN 'vendor_F' THEN 'gpa,patient_id,row_number,encounter_id,enrollment_date'
+       ELSE 'encounter_id,patient_id,enrollment_date,gpa' END
 FROM counted WHERE source_vendor = 'vendor_P' OR good = 0""",
     "raw_text": f"""
-WITH {_ENROLLMENT} SELECT {_OBJECT} || '.csv' AS object, count(*) AS lines FROM enrollment GROUP BY 1""",
+WITH {_ENROLLMENT} SELECT {_OBJECT} || '.csv' AS object, count(*) AS lines, CAST(1 AS BIGINT) AS headers
+FROM enrollment GROUP BY 1""",
     "select_files_by_pattern": f"""
 WITH {_ENROLLMENT} SELECT encounter_id, enrollment_date FROM enrollment
 WHERE source_vendor = 'vendor_F' AND month(landed_on) <= 6""",
@@ -192,7 +212,7 @@ SELECT {_HASH_KEY} AS vitals_hash_key, {_PAYLOAD}, ingested_at AS start_time,
        lead(ingested_at) OVER w AS end_time, lead(ingested_at) OVER w IS NULL AS is_current
 FROM changed WINDOW w AS (PARTITION BY encounter_id ORDER BY ingested_at)""",
     "history_layout": f"""
-WITH {_DAILY} SELECT * FROM history WHERE source_vendor = 'click' AND encounter_id >= 'E5'""",
+WITH {_DAILY} SELECT * FROM history""",
     "staging_rejects": """
 SELECT CAST(event_id AS VARCHAR) AS encounter_id, CAST(NULL AS BIGINT) AS heart_rate,
        value AS temperature, 'heart_rate' AS cast_errors
@@ -307,13 +327,13 @@ SELECT *, CAST(ingested_at AS DATE) AS day FROM vitals
 QUALIFY row_number() OVER (
   PARTITION BY encounter_id, CAST(ingested_at AS DATE) ORDER BY {_LATEST}) = 1""",
     "classify_action": f"""
-WITH {_HALVES}
+WITH {_TWO_BATCHES}
 SELECT b.encounter_id, b.ingested_at AS stream_ingested_at, a.vitals_hash_key AS target_hash_key,
        a.heart_rate AS target_heart_rate, a.ingested_at AS target_start_time,
        CASE WHEN a.encounter_id IS NULL THEN 'INSERT' ELSE 'UPDATE' END AS action
 FROM batch b LEFT JOIN active a ON a.encounter_id = b.encounter_id""",
     "scd2_delta_rows": f"""
-WITH {_HALVES}
+WITH {_TWO_BATCHES}
 SELECT {_HASH_KEY} AS vitals_hash_key, {_PAYLOAD}, ingested_at AS start_time,
        CAST(NULL AS TIMESTAMP) AS end_time, TRUE AS is_current FROM batch
 UNION ALL

@@ -25,7 +25,7 @@ from chartfold.plans.views import (
 )
 
 AS_OF = "2024-01-15 12:00:00"
-HALF = "2024-01-16 00:00:00"
+FIRST_CUT = "2024-01-01 12:00:00"  # by then only some users have a reading
 ROUTE_BYTES = 5000
 
 
@@ -260,21 +260,16 @@ def q_dedup_latest_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.dedup_latest(daily, ["encounter_id", "day"])
 
 
-def _halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Active versions of the first half of the month, and the second half as a batch.
-
-    Only users with an even number, or a number above 100, occur in the first half.
-    """
+def _two_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Active versions of the first hours, and everything behind them as a batch."""
     staged = staged_vitals(spark, sf_dir)
-    cut = F.lit(HALF).cast("timestamp_ntz")
-    user = F.substring("encounter_id", 2, 20).cast("bigint")
-    early = staged.where((F.col("ingested_at") < cut) & ((user % 2 == 0) | (user > 100)))
-    base = history.dedup_latest(early, ["encounter_id"])
+    cut = F.lit(FIRST_CUT).cast("timestamp_ntz")
+    base = history.dedup_latest(staged.where(F.col("ingested_at") < cut), ["encounter_id"])
     return base.select(*history.version_columns(VITALS)), staged.where(F.col("ingested_at") >= cut)
 
 
 def q_classify_action(spark: SparkSession, sf_dir: str) -> DataFrame:
-    active, batch = _halves(spark, sf_dir)
+    active, batch = _two_batches(spark, sf_dir)
     rows = history.join_active(history.dedup_latest(batch, ["encounter_id"]), active)
     return rows.select(
         "encounter_id",
@@ -287,7 +282,7 @@ def q_classify_action(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_scd2_delta_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    active, batch = _halves(spark, sf_dir)
+    active, batch = _two_batches(spark, sf_dir)
     return history.scd2_delta_rows(batch, active)
 
 

@@ -2,14 +2,21 @@
 
 A landing folder mixes files whose columns come in different orders. One scan reads them
 all by position, and a join with the table of file headers puts every cell under its name.
+The folder is listed once; everything later opens files by name. How large a file is decides
+how many tasks read it, never which rows it has: a large file is split only if a look at all
+of its text shows that no line break lies within quotes, or no record end within a record.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+import datetime as dt
+from collections import defaultdict
+from collections.abc import Iterable
+from dataclasses import dataclass, field
+from fnmatch import fnmatch
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chartfold.contracts import Contract
@@ -19,50 +26,68 @@ from chartfold.functions.paths import (
     object_name,
     object_uuid,
     object_vendor,
-    plain_path,
+    scan_path,
 )
-from chartfold.operators.quality import HEADER_CONTRACT, NO_VENDOR
+from chartfold.operators.quality import EMPTY, ENCODING, HEADER_CONTRACT, NO_VENDOR
 from chartfold.operators.routing import BULK_BYTES, lane
-from chartfold.storage import exists, literal_path
+from chartfold.storage import listed, literal_path, qualified
 
-# A table of files up to this many rows is broadcast (about 100 MB); a longer one is
-# joined by shuffle, where Spark splits the rows of a giant file over several tasks.
-BROADCAST_FILES = 500_000
 # A larger XML file is cut at its record ends, so that several tasks can read it.
 XML_SPLIT_BYTES = 128 * 1024 * 1024
+# A line whose quotes all open and close cells; any other may go on in the next line.
+CLOSED_LINE = r'^(?:"(?:[^"]++|"")*+"|[^",]*+)(?:,(?:"(?:[^"]++|"")*+"|[^",]*+))*+$'
+LISTING = "file_path string, file_size bigint, modified bigint"
 
-_PATH = "_metadata.file_path"
-_NAME = "_metadata.file_name"
-_SIZE = "_metadata.file_size"
 
 
 @dataclass(frozen=True)
 class Landing:
-    """A landing folder. ``options`` go to the reader, such as ``modifiedAfter``; ``paths``
-    limits it to some files or folders below the root, so that the rest is not listed.
+    """A landing folder.
+
+    ``options`` may hold ``modifiedAfter`` and ``modifiedBefore`` (ISO times in UTC) and
+    ``pathGlobFilter`` (for names). With ``parts``, folders ``<parts>=<name>`` hold objects
+    of several files.
     """
 
     root: str
     options: dict[str, str] = field(default_factory=dict)
-    paths: tuple[str, ...] = ()
+    parts: str | None = None
     bulk_bytes: int = BULK_BYTES
     xml_split_bytes: int = XML_SPLIT_BYTES
 
-    def reader(self, spark: SparkSession):
-        return spark.read.options(recursiveFileLookup="true", **self.options)
-
-    @property
-    def opened(self) -> list[str]:
-        return [literal_path(path) for path in self.paths] or [self.root]
+    def _wanted(self, path: str, modified: int) -> bool:
+        def bound(option: str) -> float | None:
+            text = self.options.get(option)
+            return dt.datetime.fromisoformat(text).replace(tzinfo=dt.UTC).timestamp() * 1000 if text else None
+
+        after, before = bound("modifiedAfter"), bound("modifiedBefore")
+        name = path.rpartition("/")[2]
+        return (
+            (after is None or modified > after)
+            and (before is None or modified < before)
+            and fnmatch(name, self.options.get("pathGlobFilter", "*"))
+        )
 
-    def narrowed(self, spark: SparkSession, keys: list[str]) -> Landing:
-        """This folder limited to the objects of some keys, or whole if there are none."""
-        found = []
-        for key in keys:
-            folder, _, name = f"{self.root.rstrip('/')}/{key}".rpartition("/")
-            places = (f"{folder}/{name}", f"{folder}/object={name}")
-            found += [path for path in places if exists(spark, path)]
-        return replace(self, paths=tuple(found))
+    def files(self, spark: SparkSession, keys: Iterable[str] | None = None) -> DataFrame:
+        """``file_path, file_size, modified, object_key, object_version`` of all files, or of
+        those of some objects. The version names the state of an object: sizes and times.
+        """
+        root = qualified(spark, self.root)
+        if keys is None:
+            found = listed(spark, root)
+        else:
+            found = []
+            for key in keys:
+                folder, _, name = f"{root}/{key}".rpartition("/")
+                places = [f"{folder}/{name}", *([f"{folder}/{self.parts}={name}"] if self.parts else [])]
+                found += [file for place in places for file in listed(spark, place)]
+        found = sorted({file for file in found if self._wanted(file[0], file[2])})
+        table = spark.createDataFrame(found, LISTING)
+        state = F.concat_ws(":", "file_path", "file_size", "modified")
+        of_object = Window.partitionBy("object_key")
+        return table.withColumn("object_key", object_key("file_path", root, self.parts)).withColumn(
+            "object_version", F.md5(F.array_join(F.sort_array(F.collect_list(state).over(of_object)), "|"))
+        )
 
 
 def _header_names(line: Column) -> Column:
@@ -83,139 +108,163 @@ def _position(header: Column, name: str) -> Column:
     return F.when(from_end > 0, F.size(header) - from_end).cast("int")
 
 
-def _small_headers(spark: SparkSession, landing: Landing) -> DataFrame:
-    """First lines of small files, which come whole and are cut at their first line end."""
-    text = F.ltrim(F.col("content").cast("string"), F.lit("\r\n"))
-    return (
-        landing.reader(spark)
-        .format("binaryFile")
-        .load(landing.opened)
-        .where(~is_xml(_NAME) & (F.col("length") < landing.bulk_bytes))
-        .select(
-            F.col(_PATH).alias("file_path"),
-            F.col("length").alias("file_size"),
-            F.substring_index(text, "\n", 1).alias("header_line"),
-        )
+def _opened(paths: list[str]) -> list[str]:
+    return [literal_path(path) for path in paths]
+
+
+def _small_heads(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """First lines of files that come whole and are cut at their first line end."""
+    text = F.col("content").cast("string")
+    line = F.substring_index(F.ltrim(text, F.lit("\r\n")), "\n", 1)
+    return spark.read.format("binaryFile").load(_opened(paths)).select(
+        scan_path().alias("file_path"),
+        line.alias("header_line"),
+        F.is_valid_utf8(text).alias("is_text"),
+        F.lit(False).alias("whole"),
     )
 
 
-def _bulk_headers(spark: SparkSession, landing: Landing) -> DataFrame:
-    """First lines of bulk files: only first splits count, and each task sends one line."""
-    filled = F.trim("value") != ""
+def _bulk_heads(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """First lines of bulk files, and whether a line break lies within quotes anywhere."""
+    filled = (F.trim("value") != "") & (F.col("_metadata.file_block_start") == 0)
+    open_line = F.contains("value", F.lit('"')) & ~F.rlike(F.rtrim("value", F.lit("\r")), F.lit(CLOSED_LINE))
     return (
-        landing.reader(spark)
-        .text(landing.opened)
-        .where(~is_xml(_NAME) & (F.col(_SIZE) >= landing.bulk_bytes))
-        .where(F.col("_metadata.file_block_start") == 0)
+        spark.read.text(_opened(paths))
         .select(
-            F.col(_PATH).alias("file_path"),
-            F.col(_SIZE).alias("file_size"),
-            "value",
+            scan_path().alias("file_path"),
+            F.when(filled, F.col("value")).alias("line"),
             F.when(filled, F.monotonically_increasing_id()).alias("line_number"),
+            F.is_valid_utf8("value").alias("is_text"),
+            open_line.alias("whole"),
+        )
+        .groupBy("file_path")
+        .agg(
+            F.min_by("line", "line_number").alias("header_line"),
+            F.bool_and("is_text").alias("is_text"),
+            F.bool_or("whole").alias("whole"),
         )
-        .groupBy("file_path", "file_size")
-        .agg(F.min_by("value", "line_number").alias("header_line"))
     )
 
 
-def read_file_headers(spark: SparkSession, landing: Landing) -> DataFrame:
-    """``file_path, file_size, header_line`` of every file that is not empty; an XML file has
-    no header. Only lanes that hold files are opened.
+def _xml_heads(spark: SparkSession, paths: list[str], tag: str) -> DataFrame:
+    """Whether a large XML file holds what could hide a record end, or an unclosed record.
+
+    Text is cut at record ends. Safe is a file whose every piece has one record start at
+    most and no comment, CDATA section or declaration, and whose last piece, behind which no
+    record end follows, has none.
     """
-    listing = (
-        landing.reader(spark)
-        .format("binaryFile")
-        .load(landing.opened)
-        .select(F.col(_PATH).alias("file_path"), F.col("length").alias("file_size"))
-        .withColumn("xml", is_xml(plain_path("file_path")))
+    starts = F.regexp_count("value", F.lit(rf"<{tag}[\s>/]"))
+    hidden = F.contains("value", F.lit("<!")) | (starts > 1)
+    closes_root = F.rlike(F.col("value"), F.lit(r"^\s*</[^<>]+>\s*$"))
+    return (
+        spark.read.option("lineSep", f"</{tag}>")
+        .text(_opened(paths))
+        .select(scan_path().alias("file_path"), F.is_valid_utf8("value").alias("is_text"),
+                hidden.alias("hidden"), closes_root.alias("closes"), (starts == 1).alias("starts"))
+        .groupBy("file_path")
+        .agg(
+            F.lit("").alias("header_line"),
+            F.bool_and("is_text").alias("is_text"),
+            # One piece closes the root and holds no record; all others hold one each.
+            (F.bool_or("hidden") | (F.count_if("closes") != 1)
+             | (F.count_if(~F.col("starts")) != 1)).alias("whole"),
+        )
     )
-    bulky = (F.col("file_size") >= landing.bulk_bytes).alias("bulky")
-    held = {tuple(row) for row in listing.select("xml", bulky).distinct().collect()}
-    xml = listing.where("xml").select("file_path", "file_size", F.lit("").alias("header_line"))
-    headers = xml
-    if (False, False) in held:
-        headers = headers.unionByName(_small_headers(spark, landing))
-    if (False, True) in held:
-        headers = headers.unionByName(_bulk_headers(spark, landing))
-    return headers
-
-
-def list_files(spark: SparkSession, landing: Landing, contract: Contract) -> DataFrame:
+
+
+def read_heads(spark: SparkSession, landing: Landing, files: DataFrame, tag: str = "record") -> DataFrame:
+    """``file_path, header_line, is_text, whole`` of every file that is not empty; an XML file
+    has no header line. Only lanes that hold files are opened.
+    """
+    lanes = defaultdict(list)
+    for row in files.select("file_path", "file_size").where("file_size > 0").collect():
+        xml = row.file_path.lower().endswith(".xml")
+        lanes[xml, row.file_size >= (landing.xml_split_bytes if xml else landing.bulk_bytes)].append(row.file_path)
+    heads = [
+        _small_heads(spark, lanes[False, False] + lanes[True, False])
+        if lanes[False, False] or lanes[True, False] else None,
+        _bulk_heads(spark, lanes[False, True]) if lanes[False, True] else None,
+        _xml_heads(spark, lanes[True, True], tag) if lanes[True, True] else None,
+    ]
+    nothing = files.where("false").select(
+        "file_path", F.lit("").alias("header_line"), F.lit(True).alias("is_text"), F.lit(False).alias("whole"))
+    return reduce(DataFrame.unionByName, [h for h in heads if h is not None], nothing)
+
+
+def list_files(
+    spark: SparkSession, landing: Landing, contract: Contract, listing: DataFrame | None = None
+) -> DataFrame:
     """One row per landed file: object, lane, lineage, column positions, and the reason if
     the file cannot be read. A fault in one part of an object rejects the whole object.
     """
+    listing = landing.files(spark) if listing is None else listing
     header = _header_names(F.coalesce("header_line", F.lit("")))
     positions = F.struct(*[_position(F.col("header"), c).alias(c) for c in contract.columns])
     complete = reduce(
         Column.__and__, [F.col(f"positions.{c}").isNotNull() for c in contract.columns]
     )
-    named = read_file_headers(spark, landing).withColumn("header", header)
-    files = named.select(
+    named = listing.join(read_heads(spark, landing, listing), "file_path", "left")
+    files = named.withColumn("header", header).select(
         "file_path",
         "file_size",
-        object_key("file_path", landing.root).alias("object_key"),
-        object_name("file_path").alias("object_name"),
-        F.when(is_xml(plain_path("file_path")), "xml").otherwise("csv").alias("format"),
-        F.size("header").alias("width"),
+        "object_key",
+        "object_version",
+        object_name("file_path", landing.parts).alias("object_name"),
+        F.when(is_xml("file_path"), "xml").otherwise("csv").alias("format"),
         positions.alias("positions"),
+        F.coalesce("is_text", F.lit(True)).alias("is_text"),
+        (F.coalesce("whole", F.lit(False))
+         | (is_xml("file_path") & (F.col("file_size") < landing.xml_split_bytes))).alias("whole"),
     )
     files = files.select(
         "*",
+        (F.greatest(F.lit(-1), *[F.col(f"positions.{c}") for c in contract.columns]) + 1).alias("width"),
         lane("file_size", "file_path", landing.bulk_bytes).alias("lane"),
         object_vendor("object_name").alias("source_vendor"),
         object_uuid("object_name").alias("lineage_file_uuid"),
     )
-    reason = F.when((F.col("format") == "csv") & ~complete, HEADER_CONTRACT).when(
-        F.col("source_vendor").isNull(), NO_VENDOR
+    files = files.withColumn("whole", F.col("whole") | (F.col("lane") == "small"))
+    reason = (
+        F.when(F.col("file_size") == 0, EMPTY)
+        .when(~F.col("is_text"), ENCODING)
+        .when((F.col("format") == "csv") & ~complete, HEADER_CONTRACT)
+        .when(F.col("source_vendor").isNull(), NO_VENDOR)
     )
-    judged = files.withColumn("part_reason", reason)
-    verdicts = judged.groupBy("object_key").agg(F.min("part_reason").alias("reason"))
-    return judged.drop("part_reason").join(verdicts, "object_key")
-
-
-def _with_file(rows: DataFrame, files: DataFrame, columns: list[str]) -> DataFrame:
-    """Rows of readable files, beside some columns of the file table."""
-    wanted = files.where("reason is null").select("file_path", *columns)
-    if wanted.count() <= BROADCAST_FILES:
-        wanted = F.broadcast(wanted)
-    return rows.join(wanted, "file_path")
+    of_object = Window.partitionBy("object_key")
+    return files.withColumn("reason", F.min(reason).over(of_object)).drop("is_text")
 
 
 _FILE_COLUMNS = ["object_key", "source_vendor", "lineage_file_uuid"]
 
 
-def _lane_filter(landing: Landing, lane_name: str) -> Column:
-    """Spark tests this on the file listing: files of the other lane are not opened."""
-    if lane_name == "bulk":
-        return ~is_xml(_NAME) & (F.col(_SIZE) >= landing.bulk_bytes)
-    return ~is_xml(_NAME) & (F.col(_SIZE) < landing.bulk_bytes)
+def _with_file(rows: DataFrame, files: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows of readable files, beside some columns of the file table."""
+    return rows.join(files.where("reason is null").select("file_path", *columns), "file_path")
 
 
 def read_landing_csv(
     spark: SparkSession,
-    landing: Landing,
     files: DataFrame,
     contract: Contract,
+    paths: list[str],
     lane_name: str,
+    whole: bool,
     width: int,
 ) -> DataFrame:
-    """Contract columns, as text, of all readable CSV files of a lane.
+    """Contract columns, as text, of CSV files of a lane.
 
-    ``width`` is the number of columns of the widest file. Small files may hold line
-    breaks inside quotes and are read whole. Bulk files are split by line, so that one
-    giant file occupies many tasks.
+    ``width`` is the number of columns needed of the file that has them farthest apart.
+    ``whole`` files may hold line breaks within quotes; all others are split by line, so that
+    one giant file occupies many tasks.
     """
     cells = [f"c{i}" for i in range(width)]
     scan = (
-        landing.reader(spark)
-        .options(header="true", escape='"', multiLine=str(lane_name == "small").lower())
+        spark.read.options(header="true", escape='"', multiLine=str(whole).lower())
         .schema(", ".join(f"{c} string" for c in cells))
-        .csv(landing.opened)
-        .where(_lane_filter(landing, lane_name))
-        .select(F.col(_PATH).alias("file_path"), F.array(*cells).alias("cells"))
+        .csv(_opened(paths))
+        .select(scan_path().alias("file_path"), F.array(*cells).alias("cells"))
     )
-    mine = files.where((F.col("lane") == lane_name) & (F.col("format") == "csv"))
-    placed = _with_file(scan, mine, [*_FILE_COLUMNS, "positions"])
+    placed = _with_file(scan, files, [*_FILE_COLUMNS, "positions"])
     return placed.select(
         *[F.get("cells", F.col(f"positions.{c}")).alias(c) for c in contract.columns],
         *_FILE_COLUMNS,
@@ -224,28 +273,19 @@ def read_landing_csv(
     )
 
 
-def _whole_xml(spark: SparkSession, landing: Landing, schema: str, options: dict) -> DataFrame:
-    return (
-        landing.reader(spark)
-        .format("xml")
-        .options(**options)
-        .schema(schema)
-        .load(landing.opened)
-        .where(is_xml(_NAME) & (F.col(_SIZE) < landing.xml_split_bytes))
-        .select("*", F.col(_PATH).alias("file_path"))
-    )
+def _whole_xml(spark: SparkSession, paths: list[str], schema: str, options: dict) -> DataFrame:
+    rows = spark.read.format("xml").options(**options).schema(schema).load(_opened(paths))
+    return rows.select("*", scan_path().alias("file_path"))
 
 
-def _split_xml(spark: SparkSession, landing: Landing, schema: str, options: dict) -> DataFrame:
+def _split_xml(spark: SparkSession, paths: list[str], schema: str, options: dict) -> DataFrame:
     """Large files as text that ends with each record, which Spark can split."""
     tag = options["rowTag"]
-    fragment = F.regexp_extract("value", rf"(?s)(<{tag}[\s>].*)$", 1)
+    fragment = F.regexp_extract("value", rf"(?s)(<{tag}[\s>/].*)$", 1)
     return (
-        landing.reader(spark)
-        .option("lineSep", f"</{tag}>")
-        .text(landing.opened)
-        .where(is_xml(_NAME) & (F.col(_SIZE) >= landing.xml_split_bytes))
-        .select(F.col(_PATH).alias("file_path"), fragment.alias("fragment"))
+        spark.read.option("lineSep", f"</{tag}>")
+        .text(_opened(paths))
+        .select(scan_path().alias("file_path"), fragment.alias("fragment"))
         .where("fragment <> ''")
         .withColumn("r", F.from_xml(F.concat("fragment", F.lit(f"</{tag}>")), schema, options))
         .select("r.*", "file_path")
@@ -254,20 +294,17 @@ def _split_xml(spark: SparkSession, landing: Landing, schema: str, options: dict
 
 def read_landing_xml(
     spark: SparkSession,
-    landing: Landing,
     files: DataFrame,
     contract: Contract,
-    split: bool,
+    paths: list[str],
+    whole: bool,
     tag: str = "record",
 ) -> DataFrame:
-    """Contract columns, as text, of each ``<record>``; a broken record is all NULL and flagged.
-
-    ``split`` chooses between the files that one task reads whole and the larger ones.
-    """
+    """Contract columns, as text, of each ``<record>``; a broken record is all NULL and flagged."""
     schema = ", ".join(f"{c} string" for c in contract.columns) + ", _malformed string"
     options = {"rowTag": tag, "columnNameOfCorruptRecord": "_malformed"}
-    rows = (_split_xml if split else _whole_xml)(spark, landing, schema, options)
-    return _with_file(rows, files.where("format = 'xml'"), _FILE_COLUMNS).select(
+    rows = (_whole_xml if whole else _split_xml)(spark, paths, schema, options)
+    return _with_file(rows, files, _FILE_COLUMNS).select(
         *contract.columns,
         *_FILE_COLUMNS,
         F.lit("bulk").alias("lane"),
@@ -279,25 +316,16 @@ def read_landing(
     spark: SparkSession, landing: Landing, files: DataFrame, contract: Contract
 ) -> DataFrame:
     """Rows of every readable file. Only kinds of files that occur are scanned for."""
-    kinds = (
-        files.where("reason is null")
-        .groupBy(
-            "format", "lane", (F.col("file_size") >= landing.xml_split_bytes).alias("split")
-        )
-        .agg(F.max("width").alias("width"))
-        .collect()
-    )
-    widths = {}
-    for kind in kinds:
-        if kind.format == "csv":
-            widths[kind.lane] = max(kind.width, widths.get(kind.lane, 0))
+    kinds, widths = defaultdict(list), defaultdict(int)
+    columns = ["format", "lane", "whole"]
+    for row in files.where("reason is null").select("file_path", "width", *columns).collect():
+        kind = tuple(row[c] for c in columns)
+        kinds[kind].append(row.file_path)
+        widths[kind] = max(widths[kind], row.width)
     tables = [
-        read_landing_csv(spark, landing, files, contract, name, width)
-        for name, width in sorted(widths.items())
-    ]
-    tables += [
-        read_landing_xml(spark, landing, files, contract, split)
-        for split in sorted({kind.split for kind in kinds if kind.format == "xml"})
+        read_landing_csv(spark, files, contract, paths, lane_name, whole, widths[kind, lane_name, whole])
+        if kind == "csv" else read_landing_xml(spark, files, contract, paths, whole)
+        for (kind, lane_name, whole), paths in sorted(kinds.items())
     ]
     if not tables:
         columns = [*contract.columns, *_FILE_COLUMNS, "lane"]
@@ -311,7 +339,7 @@ def read_raw_text(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     return (
         spark.read.option("recursiveFileLookup", "true")
         .text(paths)
-        .select("value", F.col(_PATH).alias("file_path"))
+        .select("value", scan_path().alias("file_path"))
     )
 
 

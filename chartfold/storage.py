@@ -17,6 +17,31 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with scheme and authority and without `..`, as file listings name it."""
+    hadoop_path, fs = _path(spark, path)
+    return fs.makeQualified(hadoop_path).toString().rstrip("/")
+
+
+def listed(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(path, bytes, modification time in ms) of a file, or of all files below a folder.
+
+    Empty files are listed too, which Spark's readers leave out; names that begin with `_`
+    or `.` are not. A path that does not exist has no files.
+    """
+    hadoop_path, fs = _path(spark, path)
+    if not fs.exists(hadoop_path):
+        return []
+    top = fs.makeQualified(hadoop_path).toString().rstrip("/")
+    found, files = [], fs.listFiles(hadoop_path, True)
+    while files.hasNext():
+        status = files.next()
+        name = status.getPath().toString()
+        if not re.search(r"/[._]", name[len(top):]):
+            found.append((name, status.getLen(), status.getModificationTime()))
+    return sorted(found)
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names directly below a folder, for folders that hold one entry per batch."""
     hadoop_path, fs = _path(spark, path)

@@ -34,9 +34,6 @@ from chartfold.sinks.history import history_layout
 from chartfold.storage import child_names, delete, is_complete, write_work_table
 from chartfold.streaming.staging import staging_changes
 
-# Up to this many keys of a batch are broadcast (about 200 MB); more are joined by shuffle.
-BROADCAST_KEYS = 2_000_000
-
 _COMMIT = "stream_id string, base_version bigint, base_rows bigint, delta_rows bigint"
 
 
@@ -114,10 +111,7 @@ class HistoryTable:
         newest = dedup_latest(opened, keys, "start_time")
         if base < 0:
             return newest
-        replaced = opened.select(*keys)
-        if replaced.count() <= BROADCAST_KEYS:
-            replaced = F.broadcast(replaced)
-        kept = self._base(spark, base).join(replaced, keys, "left_anti")
+        kept = self._base(spark, base).join(opened.select(*keys), keys, "left_anti")
         return kept.unionByName(newest)
 
     def current(self, spark: SparkSession) -> DataFrame:
@@ -151,7 +145,7 @@ class HistoryTable:
         return before or Row(stream_id=stream_id, base_version=-1, base_rows=0, delta_rows=0)
 
     def _touched(self, spark: SparkSession, latest: DataFrame, base: int, upto: int) -> DataFrame:
-        """Active versions of the keys in a batch, found without shuffling the base.
+        """Active versions of the keys in a batch.
 
         The span of the keys goes into the scan: where new rows concern recent encounters,
         it spares most of a base that is sorted by key.
@@ -163,11 +157,10 @@ class HistoryTable:
         candidates = self._base(spark, base).unionByName(opened)
         if known.n == 0:
             return candidates.where("false")
-        wanted = latest.select(*keys)
-        if known.n <= BROADCAST_KEYS:
-            wanted = F.broadcast(wanted)
         candidates = candidates.where(F.col(first).between(known[1], known[2]))
-        return dedup_latest(candidates.join(wanted, keys, "left_semi"), keys, "start_time")
+        # A written table: Spark knows its size and sends it to all tasks if it is small.
+        found = candidates.join(latest.select(*keys), keys, "left_semi")
+        return dedup_latest(found, keys, "start_time")
 
     def _unchanged(self) -> Column:
         # Where a row came from, and under which name, is no change of state.

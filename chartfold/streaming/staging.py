@@ -15,8 +15,11 @@ from chartfold.sources.silver import silver_csv_rows
 def stream_silver_csv(
     spark: SparkSession, folder: str, contract: Contract, max_files: int = 10_000
 ) -> DataFrame:
+    """Silver CSV files as a stream. A file whose header is not the contract's stops it: values
+    are placed by position here, and must not land under another name.
+    """
     text = (
-        spark.readStream.options(header="true", multiLine="true", escape='"')
+        spark.readStream.options(header="true", multiLine="true", escape='"', enforceSchema="false")
         .option("maxFilesPerTrigger", max_files)
         .schema(contract.silver_text_schema)
         .csv(folder)

@@ -24,13 +24,13 @@ from chartfold.session import hide_secrets
 KEY = "fixture-key"
 # Digests under the fixture key.
 DIGESTS = {
-    "PID999": (
-        "5dfd1a08456407ed184b29d23c7483c54d9a6e02e8d75ef9fd93a9adbc1c3140",
-        "f001a8d504925f4af36bbea2d43cde1028c58d63780a7266632a4eb4144af305",
+    "KIM-04": (
+        "05a719c03e82e4609aaec27997486e6b91dd8eddf1117ad76bdedc30bc09faf2",
+        "46e6f6ae2727b0baffe98336112a545326b1a04cb7600a0d46d4c25de2d056cd",
     ),
-    "PID888": (
-        "6fe6c77bb4734c0152fe5320279f38eb3a67f52bb8141baad34baca7ed554251",
-        "13519a53181940b7bcdce49876693a7256f0cab484a4fc826a5a02278407732a",
+    "LEE-11": (
+        "00d257709ba185359125bee6f0b7ff7dbd01f976cf2d4344aa60dc3083f20fa8",
+        "1afdbc05fb2c20b6f0dbeeb287fbea07f85cecdd535c64f37a151b0d21797190",
     ),
     "P-998877": (
         "71809115b2fec52be436298deafbea1527a635c3d1a4e50ee3fce1e98d920920",
@@ -51,11 +51,11 @@ def test_golden_digests(spark):
 
 
 def test_hmac_normalises_and_concat_does_not(spark):
-    padded = [" pid999 ", None, "", " \t "]
-    expected = [DIGESTS["PID999"][0], None, None, None]
+    padded = [" kim-04 ", None, "", " \t "]
+    expected = [DIGESTS["KIM-04"][0], None, None, None]
     assert evaluate(spark, padded, pseudonymize_hmac("v", KEY)) == expected
     concat = evaluate(spark, padded, pseudonymize_concat("v", KEY))
-    assert concat[0] != DIGESTS["PID999"][1] and concat[1] is None
+    assert concat[0] != DIGESTS["KIM-04"][1] and concat[1] is None
 
 
 def test_salts_separate(spark):
@@ -98,11 +98,11 @@ def test_key_has_no_default(monkeypatch, tmp_path):
 
 def test_surrogate_keys(spark):
     rows = spark.sql(
-        "select * from values ('E101', 'vendor_A', timestamp_ntz'2026-06-14 10:00:00'),"
+        "select * from values ('N-1', 'north', timestamp_ntz'2026-02-27 10:00:00'),"
         " ('E1', 'v', timestamp_ntz'2026-01-01 00:00:00.120'), ('E1', null, null) as t(e, v, t)"
     )
     keys = [r[0] for r in rows.select(surrogate_key("e", "v", "t")).collect()]
-    assert keys == ["d15036be0988fe58ea47a2cae9ba090f", "c16e7b5f7f0647456e4457bd4368e60d", None]
+    assert keys == ["472f8342f2336ac71b96cf5bca5b2a88", "c16e7b5f7f0647456e4457bd4368e60d", None]
 
 
 @settings(
@@ -139,7 +139,7 @@ def test_cast_errors_are_named(spark):
 
 NAMES = {
     # key: (vendor by name, vendor by path, uuid by name, common vendor, common uuid)
-    "vendor_A/vendor_A__vitals__20260614__uuid123.csv": ("vendor_A", "vendor_A", "uuid123", "vendor_A", "uuid123"),
+    "north/north__vitals__20260302__f7.csv": ("north", "north", "f7", "north", "f7"),
     "a__b__vitals__2026__u.csv": ("a", "a__b", "2026", "a__b", "u"),
     "p__vitals__/q__vitals__x.csv": ("q", "p", "UNKNOWN_UUID", "q", "UNKNOWN_UUID"),
     "novitals.csv": ("novitals", "", "UNKNOWN_UUID", None, "UNKNOWN_UUID"),
@@ -171,12 +171,14 @@ def test_keys(spark):
         "silver-vitals/f_clean.csv",
     ]
     assert evaluate(spark, ["u-bronze-b"], paths.silver_bucket("v")) == ["u-silver-b"]
-    landed = ["file:/l/a%20b/c+d.csv", "file:///l/s3/object=x__vitals__1__u.csv/part-0.csv"]
-    assert evaluate(spark, landed, paths.object_key("v", "/l/")) == [
+    landed = ["file:/l/a b/c+d.csv", "file:/l/s3/object=x__vitals__1__u.csv/part-0.csv", "file:/k/l/x.csv"]
+    assert evaluate(spark, landed, paths.object_key("v", "file:/l", "object")) == [
         "a b/c+d.csv",
         "s3/x__vitals__1__u.csv",
+        None,
     ]
-    assert evaluate(spark, landed, paths.object_name("v")) == ["c+d.csv", "x__vitals__1__u.csv"]
+    assert evaluate(spark, landed, paths.object_name("v", "object")) == ["c+d.csv", "x__vitals__1__u.csv", "x.csv"]
+    assert evaluate(spark, landed, paths.object_name("v"))[1] == "part-0.csv"
 
 
 def test_routing(spark):
@@ -212,9 +214,9 @@ def test_acknowledge_only_whole_messages(spark):
 def test_clean_rows_drop_identity(spark):
     landed = spark.createDataFrame(
         [
-            (" E101 ", "PID999", "2026-06-01", "3.85"),
-            ("E102", "PID888", "2026-06-02", ""),
-            ("", "PID777", "x", "1"),
+            (" N-1 ", "KIM-04", "2026-02-27", "1.25"),
+            ("N-2", "LEE-11", "2026-02-28", ""),
+            ("", "ABE-09", "x", "1"),
             ("E103", " ", "x", "1"),
         ],
         "encounter_id string, patient_id string, enrollment_date string, gpa string",
@@ -222,14 +224,22 @@ def test_clean_rows_drop_identity(spark):
     rows = cleaning.clean_rows(landed, ENROLLMENT, KEY)
     valid = quality.reject_empty_files(rows).drop("is_valid")
     assert sorted(tuple(r) for r in valid.collect()) == [
-        ("E101", DIGESTS["PID999"][0], "2026-06-01", "3.85", "v", "u"),
-        ("E102", DIGESTS["PID888"][0], "2026-06-02", "0.00", "v", "u"),
+        ("N-1", DIGESTS["KIM-04"][0], "2026-02-27", "1.25", "v", "u"),
+        ("N-2", DIGESTS["LEE-11"][0], "2026-02-28", "0.00", "v", "u"),
     ]
     ids = landed.select(F.col("patient_id").alias("identity"))
     assert clear_identities(valid, ids).count() == 0
     assert clear_identities(landed, ids).count() == 4
 
 
+def test_identities_are_found_wherever_they_are(spark):
+    ids = spark.createDataFrame([("17",), ("KIM-04",), ("x9",)], "identity string")
+    for column in ("17L", "array('a', 'x9')", "'seen KIM-04, twice'", "map('k', struct('x9' AS f))",
+                   "struct(array(struct(17 AS n)) AS a)"):
+        assert clear_identities(spark.sql(f"SELECT {column} AS c"), ids).count() == 1, column
+    assert clear_identities(spark.sql("SELECT 'KIM-045 a17' AS c, 171 AS n, CAST(NULL AS array<int>) AS a"), ids).count() == 0
+
+
 def test_null_only_rule_keeps_blanks(spark):
     rows = spark.createDataFrame([("a",), ("  ",), (None,)], "v string")
     assert cleaning.required_keys(rows, ["v"], blank_counts_as_missing=False).count() == 2
