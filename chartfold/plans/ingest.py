@@ -16,7 +16,7 @@ from chartfold.session import hide_secrets
 from chartfold.sinks.quarantine import quarantine_files
 from chartfold.sinks.silver import write_silver_csv, write_silver_parquet
 from chartfold.sources.landing import Landing, list_files, read_landing
-from chartfold.storage import child_names, delete, is_complete, qualified, write_work_table
+from chartfold.storage import child_names, complete, delete, is_complete, qualified, write_work_table
 
 # Up to this many notified objects are looked up by name; beyond it, the folder is listed.
 # Both give the same table of files.
@@ -72,6 +72,7 @@ def _check_identity(
     else:
         marker = spark.range(0, 1, 1, 1).select(F.lit(now[0]).alias("landing"), F.lit(now[1]).alias("objects"))
         marker.write.mode("overwrite").json(path)
+        complete(spark, path)
 
 
 def _listing(spark: SparkSession, landing: Landing, keys: DataFrame | None) -> DataFrame:
@@ -204,5 +205,6 @@ def ingest_batch(
     quarantine_files(spark, landing, rejected, lake.quarantine(batch_id))
 
     outcomes.write.mode("overwrite").parquet(done)
+    complete(spark, done)
     delete(spark, work)
     return spark.read.parquet(done)

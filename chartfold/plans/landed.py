@@ -282,6 +282,15 @@ def q_scd2_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.history(spark)
 
 
+def q_fold_every_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """History of all arrivals, folded in three batches: the cuts leave no trace."""
+    rows = staged_vitals(spark, sf_dir)
+    history = HistoryTable(fresh_folder(spark, "history"), compact_every=2, keep_all=True)
+    for number, condition in enumerate(_slices(rows)):
+        history.fold(spark, rows.where(condition), number, "fold_every_arrival")
+    return history.history(spark)
+
+
 def q_replayed_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each batch is delivered twice: once more under its number, and again under the next."""
     rows = staged_vitals(spark, sf_dir)
@@ -384,6 +393,7 @@ QUERIES = {
     "merge_lanes": q_merge_lanes,
     "scd2_apply": q_scd2_apply,
     "stream_fold": q_stream_fold,
+    "fold_every_arrival": q_fold_every_arrival,
     "replayed_batches": q_replayed_batches,
     "late_rows": q_late_rows,
     "skip_unchanged": q_skip_unchanged,

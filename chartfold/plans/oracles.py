@@ -354,3 +354,4 @@ SELECT {_HASH_KEY} AS vitals_hash_key, {_PAYLOAD}, ingested_at AS start_time,
        lead(ingested_at) OVER w AS end_time, lead(ingested_at) OVER w IS NULL AS is_current
 FROM arrivals WINDOW w AS (PARTITION BY encounter_id ORDER BY ingested_at)""",
 }
+ORACLES["fold_every_arrival"] = ORACLES["chain_every_arrival"]

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chartfold.contracts import Contract
-from chartfold.storage import is_complete
+from chartfold.storage import complete, is_complete
 
 
 def write_silver_csv(rows: DataFrame, folder: str, batch_id: int, contract: Contract) -> str:
@@ -17,6 +17,7 @@ def write_silver_csv(rows: DataFrame, folder: str, batch_id: int, contract: Cont
     if not is_complete(rows.sparkSession, target):
         writer = rows.select(*contract.silver_columns).write.mode("overwrite")
         writer.options(header="true", escape='"').csv(target)
+        complete(rows.sparkSession, target)
     return target
 
 
@@ -31,4 +32,5 @@ def write_silver_parquet(rows: DataFrame, folder: str, batch_id: int, contract:
         parted = rows.select(*contract.silver_columns, F.col("source_vendor").alias("vendor_part"))
         writer = parted.hint("rebalance", "vendor_part").write.mode("overwrite")
         writer.partitionBy("vendor_part").parquet(target)
+        complete(rows.sparkSession, target)
     return target

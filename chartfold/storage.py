@@ -60,9 +60,16 @@ def literal_path(path: str) -> str:
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
 
+def complete(spark: SparkSession, path: str) -> None:
+    """Marks a folder as written to its end. Not every committer of Spark leaves such a mark."""
+    hadoop_path, fs = _path(spark, f"{path}/_COMPLETE")
+    fs.mkdirs(hadoop_path.getParent())
+    fs.create(hadoop_path, True).close()
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
-    """True once a Spark write to the folder has been committed."""
-    return exists(spark, f"{path}/_SUCCESS")
+    """True once the folder was marked; overwriting it takes the mark away first."""
+    return exists(spark, f"{path}/_COMPLETE")
 
 
 def write_work_table(df: DataFrame, path: str) -> DataFrame:
@@ -71,4 +78,5 @@ def write_work_table(df: DataFrame, path: str) -> DataFrame:
     A repeated batch writes the same rows, so overwriting is safe.
     """
     df.write.mode("overwrite").parquet(path)
+    complete(df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -10,7 +10,7 @@ from chartfold.contracts import Contract
 from chartfold.operators.routing import flatten_notifications, message_outcomes, notification_rejects
 from chartfold.plans.ingest import Lake, ingest_batch
 from chartfold.sources.landing import Landing
-from chartfold.storage import is_complete, write_work_table
+from chartfold.storage import complete, is_complete, write_work_table
 
 OTHER_BUCKET = "OTHER_BUCKET"
 
@@ -53,6 +53,7 @@ def ingest_messages(
             F.col("reason").alias("error"))
         every = files.unionByName(strange).unionByName(unread)
         message_outcomes(every).write.mode("overwrite").parquet(done)
+        complete(spark, done)
 
     return (
         messages.writeStream.foreachBatch(batch)

@@ -25,13 +25,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from chartfold.contracts import VITALS, Contract
 from chartfold.operators.history import (
+    chain_every_arrival,
     closed_version,
     dedup_latest,
     join_active,
     opened_version,
 )
 from chartfold.sinks.history import history_layout
-from chartfold.storage import child_names, delete, is_complete, write_work_table
+from chartfold.storage import child_names, complete, delete, is_complete, write_work_table
 from chartfold.streaming.staging import staging_changes
 
 _COMMIT = "stream_id string, base_version bigint, base_rows bigint, delta_rows bigint"
@@ -39,7 +40,9 @@ _COMMIT = "stream_id string, base_version bigint, base_rows bigint, delta_rows b
 
 @dataclass(frozen=True)
 class HistoryTable:
-    """A history below ``root``. With ``skip_unchanged``, equal values open no version.
+    """A history below ``root``. With ``skip_unchanged``, equal values open no version; with
+    ``keep_all``, every arrival opens one, and not only the latest of its key in a batch, so
+    that it does not matter where a stream that comes in order is cut into batches.
 
     Deltas are merged once there are ``compact_every`` of them and they opened
     ``compact_share`` of the rows in the base, or once there are ``most_deltas``.
@@ -51,6 +54,7 @@ class HistoryTable:
     compact_share: float = 0.1
     most_deltas: int = 480
     skip_unchanged: bool = False
+    keep_all: bool = False
 
     # Reading
 
@@ -194,6 +198,22 @@ class HistoryTable:
         exploded = rows.select(F.explode(changes).alias("change"))
         return exploded.select("change.version.*", "change.kind")
 
+    def _every_arrival(self, rows: DataFrame) -> DataFrame:
+        """The versions of all joined rows: chained among themselves, the first behind the
+        active version of its key. Rows that are not newer than that are replays or late.
+        """
+        newer = F.col("ingested_at") > F.col("target.start_time")
+        fresh = rows.where(F.col("target").isNull() | newer)
+        names = self.contract.staging_schema().names
+        chained = chain_every_arrival(fresh.select(*names), contract=self.contract)
+        chained = chained.withColumn("kind", F.when(F.col("is_current"), "open").otherwise("closed"))
+        ends = fresh.where("target IS NOT NULL").groupBy(*self.contract.key).agg(
+            F.min("ingested_at").alias("ingested_at"), F.first("target").alias("target")
+        )
+        closed = ends.select(closed_version().alias("version"), F.lit("closed").alias("kind"))
+        older = self._changes(rows.where(F.col("target").isNotNull() & ~newer))
+        return chained.unionByName(closed.select("version.*", "kind")).unionByName(older)
+
     def fold(self, spark: SparkSession, batch: DataFrame, batch_id: int, stream_id: str) -> None:
         """Fold one batch of staging rows. A committed batch is left alone; one that a lost
         driver left unfinished is written again from its start.
@@ -210,14 +230,16 @@ class HistoryTable:
             f"{self.root}/unusable/batch_id={batch_id}"
         )
         latest_path = f"{self.root}/work/batch_id={batch_id}"
-        write_work_table(dedup_latest(rows.where(usable), keys), latest_path)
+        one_per = [*keys, "ingested_at"] if self.keep_all else keys
+        write_work_table(dedup_latest(rows.where(usable), one_per), latest_path)
         # Read in the session of the caller: a micro-batch has a session of its own,
         # in which Spark does not adapt plans to the sizes it meets.
         latest = spark.read.schema(schema).parquet(latest_path)
         joined = join_active(
             latest, self._touched(spark, latest, base, batch_id - 1), self.contract
         )
-        self._changes(joined).write.mode("overwrite").partitionBy("kind").parquet(
+        changes = self._every_arrival(joined) if self.keep_all else self._changes(joined)
+        changes.write.mode("overwrite").partitionBy("kind").parquet(
             f"{self.root}/delta/batch_id={batch_id}"
         )
         opened = self._delta(spark, batch_id - 1, batch_id).where("kind = 'open'").count()
@@ -233,6 +255,7 @@ class HistoryTable:
             state |= {"base_version": batch_id, "base_rows": held, "delta_rows": 0}
         commit = spark.range(0, 1, 1, 1).select(*[F.lit(v).alias(k) for k, v in state.items()])
         commit.write.mode("overwrite").json(self._commit_path(batch_id))
+        complete(spark, self._commit_path(batch_id))
         delete(spark, latest_path)
 
     def _is_due(self, deltas: int, base_rows: int, delta_rows: int) -> bool:
