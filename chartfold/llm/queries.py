@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from chartfold.llm import fixity
+from chartfold.llm import fixity, recompression
 from chartfold.llm.decontamination import op9_decontamination
 from chartfold.llm.fixity import op4_merkle_audit
 from chartfold.llm.license_scan import op6_license_scan
@@ -26,4 +26,7 @@ QUERIES = {
     "op9_decontamination": op9_decontamination,
     "op10_quality_rules": op10_quality_rules,
 }
-ORACLES: dict[str, str] = {"op4_merkle_audit": fixity.ORACLE}
+ORACLES = {
+    "op4_merkle_audit": fixity.ORACLE,
+    "op5_recompression": recompression.ORACLE,
+}

@@ -112,3 +112,25 @@ def remove(docs: DataFrame) -> DataFrame:
 def op5_recompression(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return judged(docs, WORDS, digest, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+
+
+ORACLE = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+places AS (SELECT doc_id, words, unnest(generate_series(1, len(words))) AS i FROM w),
+windows AS (
+  SELECT doc_id, i, sha256(array_to_string(words[i:i + 19], ' ')) AS h FROM places WHERE i + 19 <= len(words)),
+marked AS (
+  SELECT doc_id, i, row_number() OVER (PARTITION BY h ORDER BY doc_id, i) > 1 AS seen FROM windows),
+covered AS (
+  SELECT p.doc_id, p.i, p.words[p.i] AS word,
+    coalesce(p.i - max(CASE WHEN seen THEN p.i END) OVER (PARTITION BY p.doc_id ORDER BY p.i) < 20, false) AS gone
+  FROM places p LEFT JOIN marked m ON m.doc_id = p.doc_id AND m.i = p.i),
+summed AS (
+  SELECT doc_id, count(*) FILTER (WHERE gone) AS n_removed,
+    string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT gone) AS kept
+  FROM covered GROUP BY doc_id)
+SELECT w.doc_id, len(words) AS n_words, coalesce(n_removed, 0) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN summed s ON s.doc_id = w.doc_id
+"""

@@ -19,6 +19,9 @@ chunk and content, not one per occurrence. Hashes have 64 bits.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -158,6 +161,14 @@ class Keys:
         return first, is_open
 
 
+def give_back() -> None:
+    """Returns what an earlier group left free in this worker to the machine."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts compressed one by one, for the shuffle and the ways between the JVM and Python."""
     codec = pa.Codec("zstd", 1)
@@ -183,7 +194,9 @@ def settle(whole: pa.Table) -> pa.Table:
 
     The sort goes key by key: by name, then equal names by content, then by document.
     """
+    give_back()
     sent = whole.to_pylist()
+    del whole
     wholes = np.concatenate([np.frombuffer(s["wholes"], U) for s in sent])
     named = sent[0]["phase"] == 1
     names = np.concatenate([np.frombuffer(s["names"], np.uint32) for s in sent]) if named else wholes
@@ -331,6 +344,7 @@ def judged(docs: DataFrame, kind: Kind, finish: Callable[[Judge], pa.Table], sch
     dealt = dealt.mapInArrow(packed, T.StructType([*fields, T.StructField(SIZE, T.LongType())]))
 
     def first_pass(rows: pa.Table) -> pa.Table:
+        give_back()
         made = Chunk(kind, rows)
         r = made.records
         return entry_table(Keys(r.name, r.whole, r.of, cuts), made, 1)
@@ -338,10 +352,12 @@ def judged(docs: DataFrame, kind: Kind, finish: Callable[[Judge], pa.Table], sch
     def second_pass(rows: pa.Table, answers: pa.Table) -> pa.Table:
         if not len(rows):
             return ENTRY_SCHEMA.empty_table()
+        give_back()
         judge = Judge(kind, rows, answers, cuts)
         return entry_table(judge.window_keys()[0], judge.chunk, 2)
 
     def third_pass(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        give_back()
         judge = Judge(kind, rows, answers, cuts)
         judge.chunk.rows = judge.chunk.rows.drop_columns([CHUNK])
         return finish(judge)

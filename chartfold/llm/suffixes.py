@@ -65,8 +65,9 @@ def sampled_splitters(docs: DataFrame):
             yield pa.RecordBatch.from_arrays([pa.array(found.name[::16].astype(np.int64))], names=["token"])
 
     def splitters(ranges: int) -> np.ndarray:
-        few = docs.select("doc_id", "text").orderBy(F.xxhash64(F.lit(8), "doc_id")).limit(SAMPLE_ROWS)
-        names = few.select("text").mapInArrow(tokens, "token long").toPandas()["token"].to_numpy().astype(U)
+        few = docs.select("doc_id").orderBy(F.xxhash64(F.lit(8), "doc_id")).limit(SAMPLE_ROWS).distinct()
+        chosen = docs.select("doc_id", "text").join(F.broadcast(few), "doc_id")
+        names = chosen.select("text").mapInArrow(tokens, "token long").toPandas()["token"].to_numpy().astype(U)
         if not len(names):
             return np.zeros(ranges - 1, U)
         ordered = np.sort(names)

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from chartfold.llm import recompression, repeats, suffixes
+from oracle import compare, connect
 
 
 def words_left(rows):
@@ -108,6 +109,11 @@ def test_other_columns_pass_and_texts_lose_their_repeats(spark, corpus, odd_text
     assert by_id[14].text == "x" * 300 and by_id[15].text == "y"
 
 
+def test_words_equal_sql(spark):
+    sf = "/root/testdata/sf0.001"
+    assert compare(recompression.op5_recompression(spark, sf), recompression.ORACLE, connect(sf)) == 200
+
+
 def test_empty_table(spark, corpus):
     for module in (recompression, suffixes):
         assert module.remove(corpus([])).count() == 0
