@@ -85,7 +85,8 @@ def records(kind: Kind, items: np.ndarray, first: np.ndarray) -> Records:
     at = np.flatnonzero(begins)
     low, place = starts[at], place[at]
     high = starts[np.append(at[1:], len(starts)) - 1]
-    name = window_hash(items, place + kind.near, place + kind.far)
+    # Mixed once more: an operator may choose places by small hashes, and names must be even.
+    name = mixed(window_hash(items, place + kind.near, place + kind.far) ^ U(0x5851F42D4C957F2D))
     whole = window_hash(items, low, high + kind.window)
     whole = mixed(whole + (place - low).astype(U) * U(0xA24BAED4963EE407) + name)
     return Records(of[at], low, high, name, whole)
