@@ -40,7 +40,8 @@ def parse(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def beginnings(words: np.ndarray, levels: int = LEVELS) -> np.ndarray:
-    """Places where a symbol of the last level begins, and all places near two equal words."""
+    """Places where a symbol of the last level begins, and all places near two equal words:
+    with two within REACH words, the place could depend on a word further away."""
     n = len(words)
     equal = np.zeros(n + 1, np.int64)
     equal[1:n] = np.cumsum(words[1:] == words[:-1])
@@ -62,7 +63,7 @@ def beginnings(words: np.ndarray, levels: int = LEVELS) -> np.ndarray:
     mark[at] = True
     places = np.arange(n)
     low, high = np.maximum(places - REACH, 0), np.minimum(places + REACH, n) - 1
-    mark |= equal[high + 1] - equal[np.minimum(low + 1, n)] > 0 if n else mark
+    mark |= equal[high + 1] - equal[low] > 0 if n else mark
     return np.flatnonzero(mark)
 
 

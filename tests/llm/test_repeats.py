@@ -89,6 +89,17 @@ def test_every_window_has_a_beginning_that_its_own_words_decide():
             assert recompression.place(words[s:s + 20], np.zeros(1, np.int64))[0] == place[s] - s
 
 
+def test_place_of_a_window_that_begins_with_a_doubled_word_ignores_the_word_before():
+    rng = np.random.default_rng(4)
+    windows = rng.integers(0, 1 << 63, (12_000, 20)).astype(np.uint64)
+    windows[:, 1] = windows[:, 0]
+    start = np.zeros(1, np.int64)
+    for window in windows:
+        alone = recompression.place(window, start)[0]
+        for before in rng.integers(0, 1 << 63, 2).astype(np.uint64):
+            assert recompression.place(np.append(before, window), start + 1)[0] - 1 == alone
+
+
 def test_marked_byte_depends_on_the_string_alone():
     rng = np.random.default_rng(2)
     data = rng.integers(97, 100, 2000).astype(np.uint8)
