@@ -4,7 +4,8 @@ A landing folder mixes files whose columns come in different orders. One scan re
 all by position, and a join with the table of file headers puts every cell under its name.
 The folder is listed once; everything later opens files by name. How large a file is decides
 how many tasks read it, never which rows it has: a large file is split only if a look at all
-of its text shows that no line break lies within quotes, or no record end within a record.
+of its text shows that no line break lies within quotes and every line ends by LF or CRLF, or
+no record end within a record. A CSV file's first line that is not empty is its header.
 """
 
 from __future__ import annotations
@@ -112,30 +113,49 @@ def _opened(paths: list[str]) -> list[str]:
     return [literal_path(path) for path in paths]
 
 
+def _needs_whole(line: Column) -> Column:
+    """Lines that a split by line reads in another way than the reader of whole files: a quote
+    that does not close, or nothing but blanks."""
+    open_line = F.contains(line, F.lit('"')) & ~F.rlike(line, F.lit(CLOSED_LINE))
+    return open_line | F.rlike(line, F.lit(r"^[\x00-\x20]+$"))
+
+
+def _line_ends(text: Column) -> dict[str, Column]:
+    """Whether a text has CRs that stand alone, LFs that stand alone, and both as one end."""
+    return {"cr": F.rlike(text, F.lit(r"\r(?!\n)")), "lf": F.rlike(text, F.lit(r"(?<!\r)\n")),
+            "crlf": F.contains(text, F.lit("\r\n"))}
+
+
 def _small_heads(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """First lines of files that come whole and are cut at their first line end."""
+    """First lines of files that come whole and are cut at their first line end, CR or LF.
+
+    The reader of whole files knows one line end a file: a file of LF and CRLF is read by line.
+    """
     text = F.col("content").cast("string")
-    line = F.substring_index(F.ltrim(text, F.lit("\r\n")), "\n", 1)
+    line = F.regexp_extract(text, "^\ufeff?[\r\n]*([^\r\n]*)", 1)
+    ends = _line_ends(text)
+    unlike = ends["crlf"] & ends["lf"] & ~ends["cr"]
     return spark.read.format("binaryFile").load(_opened(paths)).select(
         scan_path().alias("file_path"),
         line.alias("header_line"),
         F.is_valid_utf8(text).alias("is_text"),
-        F.lit(False).alias("whole"),
+        F.when(unlike, F.exists(F.split(text, "\r?\n"), _needs_whole)).otherwise(True).alias("whole"),
     )
 
 
 def _bulk_heads(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """First lines of bulk files, and whether a line break lies within quotes anywhere."""
-    filled = (F.trim("value") != "") & (F.col("_metadata.file_block_start") == 0)
-    open_line = F.contains("value", F.lit('"')) & ~F.rlike(F.rtrim("value", F.lit("\r")), F.lit(CLOSED_LINE))
-    return (
+    """First lines of bulk files, and whether any line needs the reader of whole files, or a CR
+    that ends no line does."""
+    filled = F.col("value") != ""
+    line_number = F.struct("_metadata.file_block_start", F.monotonically_increasing_id())
+    lines = (
         spark.read.text(_opened(paths))
         .select(
             scan_path().alias("file_path"),
             F.when(filled, F.col("value")).alias("line"),
-            F.when(filled, F.monotonically_increasing_id()).alias("line_number"),
+            F.when(filled, line_number).alias("line_number"),
             F.is_valid_utf8("value").alias("is_text"),
-            open_line.alias("whole"),
+            _needs_whole(F.col("value")).alias("whole"),
         )
         .groupBy("file_path")
         .agg(
@@ -144,6 +164,17 @@ def _bulk_heads(spark: SparkSession, paths: list[str]) -> DataFrame:
             F.bool_or("whole").alias("whole"),
         )
     )
+    # The lines above are cut at every CR. Cells show which of them stand alone, also in a file
+    # that has no LF at all.
+    lone = (
+        spark.read.option("lineSep", ",")
+        .text(_opened(paths))
+        .select(scan_path().alias("file_path"), _line_ends(F.col("value"))["cr"].alias("cr"))
+        .groupBy("file_path")
+        .agg(F.bool_or("cr").alias("cr"))
+    )
+    return lines.join(lone, "file_path").select(
+        "file_path", "header_line", "is_text", (F.col("whole") | F.col("cr")).alias("whole"))
 
 
 def _xml_heads(spark: SparkSession, paths: list[str], tag: str) -> DataFrame:
@@ -223,7 +254,6 @@ def list_files(
         object_vendor("object_name").alias("source_vendor"),
         object_uuid("object_name").alias("lineage_file_uuid"),
     )
-    files = files.withColumn("whole", F.col("whole") | (F.col("lane") == "small"))
     reason = (
         F.when(F.col("file_size") == 0, EMPTY)
         .when(~F.col("is_text"), ENCODING)
@@ -254,7 +284,7 @@ def read_landing_csv(
     """Contract columns, as text, of CSV files of a lane.
 
     ``width`` is the number of columns needed of the file that has them farthest apart.
-    ``whole`` files may hold line breaks within quotes; all others are split by line, so that
+    ``whole`` files may hold line breaks within quotes or lone CRs; all others are split by line, so that
     one giant file occupies many tasks.
     """
     cells = [f"c{i}" for i in range(width)]

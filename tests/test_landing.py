@@ -163,6 +163,40 @@ def test_size_changes_no_row(spark, root, ingested, tmp_path):
     assert {tuple(r) for r in bulk.collect()} == EXPECTED
 
 
+def test_lines_are_cut_alike_at_every_size(spark, tmp_path):
+    """Lone CRs, CR line ends, both line ends, lines of blanks and empty lines, in both lanes."""
+    rows = "E1,1,2026-06-01,1\nE2,2,2026-06-02,2\n"
+    files = {
+        "cell": HEADER + "E1,1,2026-06-01,a\rE9,P9,2026-06-01,2.0\nE2,2,2026-06-02,2\n",
+        "cr": (HEADER + rows).replace("\n", "\r"),
+        "crlf": (HEADER + rows).replace("\n", "\r\n"),
+        "crlf_open": (HEADER + rows).replace("\n", "\r\n")[:-2],
+        "crlf_end": (HEADER + rows).replace("\n", "\r\n")[:-1],
+        "lf_then_crlf": HEADER + rows.replace("\n", "\r\n"),
+        "crlf_then_lf": HEADER.replace("\n", "\r\n") + rows,
+        "blanks_first": "  \n" + HEADER + rows,
+        "blanks_inside": HEADER + "E1,1,2026-06-01,1\n  \nE2,2,2026-06-02,2\n",
+        "empty_lines": "\n\r\n" + HEADER + "\n" + rows,
+        "bom": "\ufeff\n" + HEADER + rows,
+    }
+    (tmp_path / "in").mkdir()
+    for name, text in files.items():
+        (tmp_path / "in" / f"v__vitals__1__{name}.csv").write_bytes(text.encode())
+    told, read = [], []
+    for landing in (Landing(str(tmp_path / "in")), Landing(str(tmp_path / "in"), bulk_bytes=1)):
+        listed = list_files(spark, landing, ENROLLMENT)
+        told.append({r.lineage_file_uuid: r.reason for r in listed.collect()})
+        found = read_landing(spark, landing, listed, ENROLLMENT).select("lineage_file_uuid", *ENROLLMENT.columns)
+        read.append(sorted(map(repr, found.collect())))
+        whole = {r.lineage_file_uuid for r in listed.collect() if r.whole}
+    assert told[0] == told[1] == {name: "HEADER_CONTRACT" if name == "blanks_first" else None for name in files}
+    assert read[0] == read[1]
+    assert not any("encounter_id='E9'" in row for row in read[0])
+    for name in ("cr", "crlf", "crlf_open", "lf_then_crlf", "crlf_then_lf", "bom"):
+        assert sum(f"uuid='{name}'" in row and "gpa='2'" in row for row in read[0]) == 1, name
+    assert not {"crlf", "crlf_open", "bom"} & whole
+
+
 def test_safe_large_files_are_split(spark, root):
     landing = Landing(root, bulk_bytes=1, xml_split_bytes=1)
     whole = {r.object_key.rpartition("__")[2]: r.whole for r in list_files(spark, landing, ENROLLMENT).collect()}
