@@ -9,8 +9,10 @@ Labels here are the verdicts of the given rules on the urls that these cover, si
 speaks of documents, which `pages` does not name; mined rules judge the other urls.
 
 Skew: work is done on distinct urls, so a host with a third of all pages costs its distinct
-urls, and common tokens are seldom a rule's rarest. Tokens that always occur together are
-mined as one, which keeps long, often repeated urls from making exponentially many sets.
+urls, and common tokens are seldom a rule's rarest. Tokens that occur in the same labelled
+rows are a class and mined as one item, which keeps long, often repeated urls from making
+exponentially many sets. Matching takes any token of a class for the class, as FP-growth over
+single tokens would give a rule of equal confidence and support for each choice of them.
 
 Defined cases: null urls and urls without `://` have an empty host and path, fit no rule and
 are allowed; equal urls get equal verdicts; repeated page ids stay rows of their own; other
@@ -73,36 +75,49 @@ def tokens(url: str = "url") -> Column:
 
 
 def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT,
-         min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """Rules (rule_id, antecedent, verdict, confidence, support) from (tokens, label) rows."""
+         min_confidence: float = MIN_CONFIDENCE) -> tuple[DataFrame, DataFrame]:
+    """Rules (antecedent, verdict, confidence, support) from (tokens, label) rows, and classes.
+
+    An antecedent holds items. Classes (token, item) give the item of each token in it: the
+    least of the tokens that occur in the same rows.
+    """
+    spark = labelled.sparkSession
     rows = labelled.withColumn("row", F.monotonically_increasing_id())
-    rows = write_work_table(rows, fresh_folder(labelled.sparkSession, "url-rows"))
+    rows = write_work_table(rows, fresh_folder(spark, "url-rows"))
     each = rows.select("row", "label", F.explode("tokens").alias("token"))
     seen = each.groupBy("token").agg(F.count("*").alias("n"), F.sum(F.xxhash64("row").cast("decimal(38,0)")).alias("rows"))
-    kept = seen.groupBy("n", "rows").agg(F.min("token").alias("token"))
-    items = each.join(kept, "token").groupBy("row", "label").agg(F.collect_set("token").alias("items"))
+    seen = write_work_table(seen, fresh_folder(spark, "url-tokens"))
+    kept = seen.groupBy("n", "rows").agg(F.min("token").alias("item"))
+    items = each.join(kept, F.col("token") == F.col("item")).groupBy("row", "label").agg(F.collect_set("item").alias("items"))
     items = items.select(F.array_append("items", F.concat(F.lit(LABEL), "label")).alias("items"))
     model = FPGrowth(minSupport=min_support, minConfidence=min_confidence).fit(items)
     found = model.associationRules.where(F.startswith(F.col("consequent")[0], F.lit(LABEL)))
     found = found.select(
         F.sort_array("antecedent").alias("antecedent"),
         F.substring(F.col("consequent")[0], len(LABEL) + 1, 100).alias("verdict"), "confidence", "support")
-    return found.withColumn("rule_id", F.array_join("antecedent", " "))
+    found = write_work_table(found, fresh_folder(spark, "url-rules"))
+    used = found.select(F.explode("antecedent").alias("item")).distinct()
+    classes = seen.join(kept.join(used, "item"), ["n", "rows"]).select("token", "item")
+    return found, write_work_table(classes, fresh_folder(spark, "url-classes"))
 
 
-def match(urls: DataFrame, rules: DataFrame) -> DataFrame:
-    """(url, mined_rule, mined_verdict): the best rule whose tokens a url all has.
+def match(urls: DataFrame, rules: DataFrame, classes: DataFrame) -> DataFrame:
+    """(url, mined_rule, mined_verdict): the best rule of whose items a url holds a token each.
 
-    The best has the highest confidence, then support, then the most tokens. A rule of both
-    labels cannot be: its confidence is above a half.
+    The best has the highest confidence, then support, then the most tokens of the url, which
+    name it. A rule of both labels cannot be: its confidence is above a half.
     """
-    each = urls.select("url", "tokens", F.explode("tokens").alias("token"))
-    rare = each.groupBy("token").agg(F.count("*").alias("n"))
-    posted = rules.select("*", F.explode("antecedent").alias("token")).join(rare, "token")
-    posted = posted.groupBy("rule_id", "antecedent", "verdict", "confidence", "support").agg(
-        F.min(F.struct("n", "token"))["token"].alias("token"))
-    met = each.join(posted, "token").where(F.size(F.array_except("antecedent", "tokens")) == 0)
-    best = F.max(F.struct("confidence", "support", F.size("antecedent").alias("size"), "rule_id", "verdict"))
+    named = urls.select("url", F.explode("tokens").alias("token")).join(classes, "token")
+    held = named.groupBy("url").agg(F.sort_array(F.collect_set(F.struct("token", "item"))).alias("held"))
+    each = held.select("url", "held", F.explode(F.array_distinct("held.item")).alias("item"))
+    rare = each.groupBy("item").agg(F.count("*").alias("n"))
+    posted = rules.select("*", F.explode("antecedent").alias("item")).join(rare, "item")
+    posted = posted.groupBy("antecedent", "verdict", "confidence", "support").agg(
+        F.min(F.struct("n", "item"))["item"].alias("item"))
+    met = each.join(posted, "item").where(F.size(F.array_except("antecedent", "held.item")) == 0)
+    own = F.filter("held", lambda h: F.array_contains("antecedent", h["item"]))["token"]
+    best = F.max(F.struct("confidence", "support", F.size(own).alias("size"),
+                          F.array_join(own, " ").alias("rule_id"), "verdict"))
     return met.groupBy("url").agg(best.alias("best")).select(
         "url", F.col("best.rule_id").alias("mined_rule"), F.col("best.verdict").alias("mined_verdict"))
 
@@ -117,9 +132,9 @@ def filter_urls(pages: DataFrame, rules=RULES, min_support: float = MIN_SUPPORT,
     given = F.create_map(*(F.lit(x) for pair in rules.items() for x in pair))[F.col("rule")]
     counted = pages.select("url").join(urls, "url")
     labelled = counted.where("rule IS NOT NULL").select("tokens", given.alias("label"))
-    mined = write_work_table(mine(labelled, min_support, min_confidence), fresh_folder(spark, "url-rules"))
+    mined, classes = mine(labelled, min_support, min_confidence)
     free = urls.where("rule IS NULL AND size(tokens) > 0")
-    judged = urls.join(match(free, mined).withColumnRenamed("url", "met"), F.col("url").eqNullSafe(F.col("met")), "left")
+    judged = urls.join(match(free, mined, classes).withColumnRenamed("url", "met"), F.col("url").eqNullSafe(F.col("met")), "left")
     judged = judged.select("url", "host", "path", "rule", "mined_rule",
                            F.coalesce(given, "mined_verdict", F.lit("allow")).alias("verdict"))
     named = pages.select("page_id", F.col("url").alias("own"))

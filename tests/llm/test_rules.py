@@ -58,6 +58,17 @@ def test_mined_rules_equal_brute_force(spark):
     assert free["news.org"] == ("allow", None)
 
 
+def test_any_token_of_those_that_go_together_meets_their_rule(spark):
+    """aa and bb lie in the same labelled urls; other urls hold one of them, or both."""
+    urls = [f"https://x{i % 3}.net/aa/bb/{i}" for i in range(30)] + [f"https://y.com/cc/{i}" for i in range(30)]
+    free = ["https://z.org/aa", "https://z.org/bb", "https://z.org/bb/aa", "https://z.org/dd"]
+    pages = spark.createDataFrame(list(enumerate(urls + free)), "page_id long, url string")
+    given = {"net/": "block", "com/": "allow"}
+    made = {r.page_id - len(urls): (r.verdict, r.mined_rule) for r in url_rules.filter_urls(pages, given).collect()
+            if r.page_id >= len(urls)}
+    assert made == {0: ("block", "path=aa"), 1: ("block", "path=bb"), 2: ("block", "path=aa path=bb"), 3: ("allow", None)}
+
+
 def test_long_urls_that_repeat_do_not_explode(spark):
     long = "https://a.net/" + "/".join(f"p{c}" for c in "abcdefghijklmnopqrstuvwxyzäöü")
     pages = spark.createDataFrame([(i, long) for i in range(40)] + [(99, "x://b.com/pa/pb")], "page_id long, url string")
