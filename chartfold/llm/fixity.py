@@ -7,8 +7,9 @@ level above covers FANOUT nodes below. Nodes are numbered by offset, not by coun
 record changes only its own branch. The audit compares roots, then, level by level, only the
 children of nodes that differ, and at last only the records of differing ranges.
 
-Skew: hashes are made where the records are read, and only they move; an archive's offsets
-are summed within the archive, whose size the writer bounds.
+Skew: hashes are made where the records are read, and only they move. Records are dealt out
+by ranges of archive, id, digest and row, each of about RANGE_ROWS whatever one archive or one
+id holds; offsets are sums within a range, added to the sums of the archive's ranges before.
 
 Defined cases: a null page has an empty payload; a null page id is in archive -1; rows of
 equal id are records behind each other; records that only one replica has are `missing` or
@@ -27,6 +28,7 @@ from chartfold.storage import write_work_table
 SPAN = 1 << 18
 FANOUT = 16
 ARCHIVE_PAGES = 1000
+RANGE_ROWS = 50_000
 
 
 def warc_record(url: str | Column, body: str | Column) -> Column:
@@ -104,8 +106,19 @@ def page_archives(pages: DataFrame, archive_pages: int = ARCHIVE_PAGES) -> DataF
         "page_id", F.coalesce(F.floor(F.col("page_id") / archive_pages), F.lit(-1)).alias("archive"),
         F.octet_length(record).cast("long").alias("length"), F.sha2(record.cast("binary"), 256).alias("digest"),
         F.when(bad, F.sha2(spoilt.cast("binary"), 256)).alias("spoilt"), F.coalesce(lost, F.lit(False)).alias("lost"))
-    order = Window.partitionBy("archive").orderBy("page_id", "digest").rowsBetween(Window.unboundedPreceding, -1)
-    return hashed.withColumn("offset", F.coalesce(F.sum("length").over(order), F.lit(0)))
+    spark = pages.sparkSession
+    hashed = write_work_table(hashed.withColumn("row", F.monotonically_increasing_id()), fresh_folder(spark, "hashed"))
+    key = ["archive", "page_id", "digest", "row"]
+    ranges = hashed.repartitionByRange(max(1, -(-hashed.count() // RANGE_ROWS)), *key)
+    ranges = write_work_table(ranges.withColumn("range", F.spark_partition_id()), fresh_folder(spark, "ranges"))
+    before = Window.unboundedPreceding, -1
+    inner = Window.partitionBy("archive", "range").orderBy("page_id", "digest", "row").rowsBetween(*before)
+    outer = Window.partitionBy("archive").orderBy("range").rowsBetween(*before)
+    sums = ranges.groupBy("archive", "range").agg(F.sum("length").alias("size"))
+    sums = sums.select("archive", "range", F.coalesce(F.sum("size").over(outer), F.lit(0)).alias("base"))
+    inside = ranges.withColumn("inside", F.coalesce(F.sum("length").over(inner), F.lit(0)))
+    return inside.join(sums, ["archive", "range"]).withColumn("offset", F.col("base") + F.col("inside")).drop(
+        "base", "inside", "range", "row")
 
 
 def op4_merkle_audit(spark, sf_dir: str) -> DataFrame:

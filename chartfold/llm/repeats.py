@@ -34,6 +34,7 @@ from pyspark.sql import types as T
 from chartfold.llm.grams import U, mixed, owners, slices, texts, window_hash
 
 CHUNK_ROWS = 1024
+ROWS = 256  # rows without id that are finished at once
 RANGE_ROWS = 2048
 CHUNK, SIZE = "__chunk", "__size"  # added to the rows while they are judged
 ENTRIES = "bucket int, chunk int, phase int, names binary, wholes binary, of binary, ids binary"
@@ -334,13 +335,17 @@ def judged(docs: DataFrame, kind: Kind, finish: Callable[[Judge], pa.Table], sch
            splitters: Callable[[int], np.ndarray] = even_splitters) -> DataFrame:
     """Runs the passes over docs (doc_id, text, others) and gives finish(judge) of each chunk.
 
-    Rows without an id match nothing. The three passes read one and the same shuffle.
+    Rows without an id match nothing and are finished where they are read. The three passes
+    read one and the same shuffle of the others.
     """
-    n = docs.count()
+    known = docs.where("doc_id IS NOT NULL")
+    n = known.count()
     chunks, ranges = -(-n // CHUNK_ROWS) or 1, -(-n // RANGE_ROWS) or 1
     cuts = splitters(ranges)
-    chunk = F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).cast("int")
-    dealt = docs.withColumn(CHUNK, chunk)
+    # Rows of equal id need not meet, nor do copies of a row: both are dealt out, by what a lost
+    # task finds again.
+    chunk = F.pmod(F.xxhash64("doc_id", "text", F.spark_partition_id()), F.lit(chunks)).cast("int")
+    dealt = known.withColumn(CHUNK, chunk)
     fields = [T.StructField("text", T.BinaryType()) if f.name == "text" else f for f in dealt.schema.fields]
     dealt = dealt.mapInArrow(packed, T.StructType([*fields, T.StructField(SIZE, T.LongType())]))
 
@@ -363,6 +368,12 @@ def judged(docs: DataFrame, kind: Kind, finish: Callable[[Judge], pa.Table], sch
         judge.chunk.rows = judge.chunk.rows.drop_columns([CHUNK])
         return finish(judge)
 
+    def without_answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        few = (batch.slice(i, ROWS) for batch in batches for i in range(0, batch.num_rows, ROWS))
+        for batch in packed(few):
+            judge = Judge(kind, pa.Table.from_batches([batch]), ANSWER_SCHEMA.empty_table(), cuts)
+            yield from finish(judge).to_batches()
+
     def answers(entries: DataFrame) -> DataFrame:
         return entries.groupBy("bucket").applyInArrow(settle, ANSWERS)
 
@@ -370,4 +381,5 @@ def judged(docs: DataFrame, kind: Kind, finish: Callable[[Judge], pa.Table], sch
     names = answers(groups.applyInArrow(first_pass, ENTRIES))
     windows = answers(groups.cogroup(names.groupBy("chunk")).applyInArrow(second_pass, ENTRIES))
     told = names.unionAll(windows)
-    return groups.cogroup(told.groupBy("chunk")).applyInArrow(third_pass, schema)
+    done = groups.cogroup(told.groupBy("chunk")).applyInArrow(third_pass, schema)
+    return done.unionAll(docs.where("doc_id IS NULL").mapInArrow(without_answers, schema))

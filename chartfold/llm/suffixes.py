@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chartfold.llm.grams import BYTE_VALUES, U, texts, window_hash
-from chartfold.llm.repeats import Judge, Kind, Records, judged, records
+from chartfold.llm.repeats import Judge, Kind, Records, even_splitters, judged, records
 from chartfold.llm.text import table
 
 WINDOW = 50
@@ -59,17 +59,22 @@ def sampled_splitters(docs: DataFrame):
     """Splitters from the tokens of SAMPLE_ROWS documents, chosen by hash of their id."""
 
     def tokens(batches):
+        seen = set()
         for batch in batches:
-            data, offsets = texts(batch.column("text"))
+            # One row of an id from each task, as an id may have any number of rows.
+            ids = batch.column("doc_id").to_pylist()
+            new = [i for i, x in enumerate(ids) if x not in seen and not seen.add(x)]
+            data, offsets = texts(batch.column("text").take(pa.array(new, pa.int64())))
             found: Records = records(BYTES, *parse(data, offsets))
             yield pa.RecordBatch.from_arrays([pa.array(found.name[::16].astype(np.int64))], names=["token"])
 
     def splitters(ranges: int) -> np.ndarray:
-        few = docs.select("doc_id").orderBy(F.xxhash64(F.lit(8), "doc_id")).limit(SAMPLE_ROWS).distinct()
+        ids = docs.select("doc_id").where("doc_id IS NOT NULL").distinct()
+        few = ids.orderBy(F.xxhash64(F.lit(8), "doc_id")).limit(SAMPLE_ROWS)
         chosen = docs.select("doc_id", "text").join(F.broadcast(few), "doc_id")
-        names = chosen.select("text").mapInArrow(tokens, "token long").toPandas()["token"].to_numpy().astype(U)
+        names = chosen.mapInArrow(tokens, "token long").toPandas()["token"].to_numpy().astype(U)
         if not len(names):
-            return np.zeros(ranges - 1, U)
+            return even_splitters(ranges)
         ordered = np.sort(names)
         return ordered[(np.arange(1, ranges) * len(ordered)) // ranges]
 

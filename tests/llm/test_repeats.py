@@ -120,6 +120,32 @@ def test_other_columns_pass_and_texts_lose_their_repeats(spark, corpus, odd_text
     assert by_id[14].text == "x" * 300 and by_id[15].text == "y"
 
 
+def test_rows_without_id_and_of_one_id_are_dealt_out(spark, corpus, monkeypatch):
+    monkeypatch.setattr(repeats, "CHUNK_ROWS", 20)
+    rng = np.random.default_rng(5)
+    rows = [(i, " ".join(map(str, rng.integers(0, 1000, 30)))) for i in [None] * 100 + [7] * 100 + list(range(100, 200))]
+    rows += [(300 + i, rows[90 + i][1]) for i in range(20)] + [(7, "copy " * 30)] * 100
+    docs = corpus(rows).repartition(8)
+    largest = spark.sparkContext.accumulator(0)
+
+    def digest(judge):
+        largest.add(len(judge.chunk.ids) ** 4)
+        return recompression.digest(judge)
+
+    schema = "doc_id long, n_words long, n_removed long, kept_sha256 string"
+    made = repeats.judged(docs, recompression.WORDS, digest, schema).collect()
+    assert len(made) == len(rows)
+    expected = words_left(rows)
+    out = {}
+    for row in made:
+        out.setdefault(row.doc_id, []).append(tuple(row)[1:])
+    assert {d: sorted(v) for d, v in out.items()} == expected
+    # One chunk of all rows of an id or of none has 200 rows or 100, and adds that to the power of 4.
+    assert largest.value < 90 ** 4
+    few = suffixes.sampled_splitters(corpus([(None, "x" * 99)] * 300 + rows))(8)
+    assert len(set(few.tolist())) == 7
+
+
 def test_words_equal_sql(spark):
     sf = "/root/testdata/sf0.001"
     assert compare(recompression.op5_recompression(spark, sf), recompression.ORACLE, connect(sf)) == 200

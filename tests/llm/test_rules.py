@@ -140,3 +140,22 @@ def test_odd_pages(spark):
     pages = spark.createDataFrame([(None, None, None), (1, "u", ""), (1, "u", ""), (2, "ü", "é")],
                                   "page_id long, url string, html string")
     assert fixity.page_archives(pages).count() == 4
+
+
+def test_offsets_of_a_large_archive_are_made_in_ranges(spark, monkeypatch):
+    """A third of the pages without id, a third of one id, copies among both."""
+    monkeypatch.setattr(fixity, "RANGE_ROWS", 20)
+    ids = [None] * 100 + [7] * 100 + list(range(900, 1100))
+    pages = spark.createDataFrame([(p, f"u{i % 40}", "h" * (i % 30)) for i, p in enumerate(ids)],
+                                  "page_id long, url string, html string")
+    made = fixity.page_archives(pages)
+    assert "offset" in made.columns
+    rows, ends = made.orderBy("archive", "offset").collect(), {}
+    assert len(rows) == 400
+    for a, b in zip([None, *rows], rows):
+        assert b.offset == ends.get(b.archive, 0)
+        ends[b.archive] = b.offset + b.length
+        if a and a.archive == b.archive:
+            assert ((a.page_id or -1), a.digest) <= ((b.page_id or -1), b.digest)
+    windows = [w for w in made._jdf.queryExecution().toString().split("\n") if "windowspecdefinition(archive" in w]
+    assert windows and all("range" in w for w in windows)
