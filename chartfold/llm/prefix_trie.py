@@ -23,7 +23,7 @@ end lists in chunks of a shard.
 
 Defined cases: null roles and texts are empty; rows without conv_id belong to no conversation;
 turns that tie are ordered by role, then SHA-256 of the text; repeated rows are turns of their
-own; texts only enter as digest and length, so that long ones move once; a conversation that
+own; texts only enter as digest and length, so that long ones never move; a conversation that
 loses all turns is a member of the root; an empty table has no nodes; other columns are ignored.
 """
 
@@ -51,26 +51,28 @@ LOCAL = ("shard long, segment long, depth long, k1 long, k2 long, p1 long, p2 lo
 
 
 def rebuilt(conversations: DataFrame) -> DataFrame:
-    """Turns (conv_id, depth, role, text) of rebuilt conversations, and a row of depth 0, without
-    role and text, for each of them.
+    """Turns (conv_id, depth, name, chars) of rebuilt conversations, and a row of depth 0, without
+    a name, for each of them. A turn's name is a digest of role and text.
 
     Conversation c takes the first h turns of conversation c - c % 100, then its own after its
     first h; h = crc32(c) % 6. At most 199 conversations share the turns of one.
     """
-    own = write_work_table(numbered(conversations.where("conv_id IS NOT NULL")),
-                           fresh_folder(conversations.sparkSession, "rebuilt"))
+    name = F.unhex(F.sha2(F.concat_ws(":", F.octet_length("role"), "role", "text"), 256)).alias("name")
+    chars = F.char_length("text").cast("long").alias("chars")
+    own = write_work_table(numbered(conversations.where("conv_id IS NOT NULL"), name, chars),
+                           fresh_folder(conversations.sparkSession, "own-turns"))
     ids = own.groupBy("conv_id").agg(F.count("*").alias("n")).select(
         "conv_id", "n", (F.col("conv_id") - F.col("conv_id") % 100).alias("base"), _taken("conv_id").alias("h"))
-    first = own.where("pos <= 5").select(F.col("conv_id").alias("base"), "pos", "role", "text")
-    from_base = ids.join(first, "base").where("pos <= h").select("conv_id", F.col("pos").alias("depth"), "role", "text")
+    first = own.where("pos <= 5").select(F.col("conv_id").alias("base"), "pos", "name", "chars")
+    from_base = ids.join(first, "base").where("pos <= h").select("conv_id", F.col("pos").alias("depth"), "name", "chars")
     lengths = ids.select(F.col("conv_id").alias("base"), F.col("n").alias("n_base"))
     heads = ids.join(lengths, "base", "left").select(
         F.col("conv_id").alias("of"), F.least("h", F.coalesce("n_base", F.lit(0))).alias("held"))
     later = own.where(F.col("pos") > _taken("conv_id"))
     kept = later.join(heads, later["conv_id"] == heads["of"]).select(
-        "conv_id", (F.col("pos") - _taken("conv_id") + F.col("held")).alias("depth"), "role", "text")
-    roots = ids.select("conv_id", F.lit(0).cast("long").alias("depth"), F.lit(None).cast("string").alias("role"),
-                       F.lit(None).cast("string").alias("text"))
+        "conv_id", (F.col("pos") - _taken("conv_id") + F.col("held")).alias("depth"), "name", "chars")
+    roots = ids.select("conv_id", F.lit(0).cast("long").alias("depth"), F.lit(None).cast("binary").alias("name"),
+                       F.lit(0).cast("long").alias("chars"))
     return from_base.unionByName(kept).unionByName(roots)
 
 
@@ -78,22 +80,19 @@ def _taken(conv_id: str) -> Column:
     return F.crc32(F.col(conv_id).cast("string")) % 6
 
 
-def _named(turns: DataFrame, shard_convs: int, segment_turns: int) -> DataFrame:
-    """Turns as names: shard, segment, Zobrist hashes, length of the text."""
-    name = F.sha2(F.concat_ws(":", F.octet_length("role"), "role", "text"), 256)
-    turn = F.when(F.col("depth") > 0, F.unhex(F.substring(name, 1, 32)))
-    zobrist = [F.when(F.col("depth") > 0, F.xxhash64(F.lit(lane), "depth", name)).otherwise(0) for lane in (1, 2)]
+def _placed(turns: DataFrame, shard_convs: int, segment_turns: int) -> DataFrame:
+    """Turns with their shard, segment and Zobrist hashes."""
+    zobrist = [F.when(F.col("depth") > 0, F.xxhash64(F.lit(lane), "depth", "name")).otherwise(0) for lane in (1, 2)]
     return turns.select(
         F.floor(F.col("conv_id") / shard_convs).alias("shard"),
         F.floor(F.greatest(F.col("depth") - 1, F.lit(0)) / segment_turns).alias("segment"), "conv_id", "depth",
-        turn.alias("turn"), zobrist[0].alias("z1"), zobrist[1].alias("z2"),
-        F.coalesce(F.char_length("text"), F.lit(0)).cast("long").alias("chars"))
+        F.substring("name", 1, 16).alias("turn"), zobrist[0].alias("z1"), zobrist[1].alias("z2"), "chars")
 
 
-def _segments(named: DataFrame) -> DataFrame:
+def _segments(turns: DataFrame) -> DataFrame:
     """A row per conversation and segment: the Zobrist sums of all segments before, its number
     of turns, and whether it is the last."""
-    sums = named.groupBy("shard", "segment", "conv_id").agg(
+    sums = turns.groupBy("shard", "segment", "conv_id").agg(
         F.bit_xor("z1").alias("z1"), F.bit_xor("z2").alias("z2"), F.max("depth").alias("top"))
     path = Window.partitionBy("conv_id").orderBy("segment")
     before = path.rowsBetween(Window.unboundedPreceding, -1)
@@ -163,7 +162,7 @@ def walk(turns: pa.Table, starts: pa.Table) -> Iterator[tuple]:
             left &= ~child
 
 
-def local_nodes(named: DataFrame, segments: DataFrame) -> DataFrame:
+def local_nodes(turns: DataFrame, segments: DataFrame) -> DataFrame:
     """All shards' nodes, one row for each node and shard that has members of it."""
     schema = pa.schema([
         *[(c, pa.int64()) for c in ("shard", "segment", "depth", "k1", "k2", "p1", "p2", "owner", "members", "chars")],
@@ -175,7 +174,7 @@ def local_nodes(named: DataFrame, segments: DataFrame) -> DataFrame:
         columns = list(zip(*rows, strict=True)) or [()] * len(schema)
         return pa.table([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
-    return named.groupBy("shard", "segment").cogroup(segments.groupBy("shard", "segment")).applyInArrow(nodes, LOCAL)
+    return turns.groupBy("shard", "segment").cogroup(segments.groupBy("shard", "segment")).applyInArrow(nodes, LOCAL)
 
 
 def _ends(local: DataFrame) -> DataFrame:
@@ -232,11 +231,11 @@ def _below(local: DataFrame, weights: DataFrame) -> DataFrame:
 
 
 def prefix_trie(turns: DataFrame, shard_convs: int = SHARD_CONVS, segment_turns: int = SEGMENT_TURNS) -> DataFrame:
-    """Nodes of the trie over turns (conv_id, depth, role, text), rows of depth 0 included."""
+    """Nodes of the trie over turns (conv_id, depth, name, chars), rows of depth 0 included."""
     spark = turns.sparkSession
-    named = write_work_table(_named(turns, shard_convs, segment_turns), fresh_folder(spark, "trie-turns"))
-    segments = write_work_table(_segments(named), fresh_folder(spark, "trie-segments"))
-    local = write_work_table(local_nodes(named, segments), fresh_folder(spark, "trie-local"))
+    turns = write_work_table(_placed(turns, shard_convs, segment_turns), fresh_folder(spark, "trie-turns"))
+    segments = write_work_table(_segments(turns), fresh_folder(spark, "trie-segments"))
+    local = write_work_table(local_nodes(turns, segments), fresh_folder(spark, "trie-local"))
     nodes = local.groupBy(*KEY).agg(
         F.min("owner").alias("conv_id"), F.sum("members").alias("n_convs"), F.max("chars").alias("chars"),
         F.max("p1").alias("p1"), F.max("p2").alias("p2"))

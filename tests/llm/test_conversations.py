@@ -10,6 +10,7 @@ from collections import defaultdict
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from chartfold.llm import chat_format, prefix_trie
 from chartfold.llm.turns import numbered
@@ -56,14 +57,14 @@ def sha(text: str) -> str:
 @pytest.mark.parametrize("range_turns", [5, 1000])
 def test_turns_are_numbered_alike_at_any_range(conversations, range_turns):
     found = defaultdict(dict)
-    for r in numbered(conversations, range_turns).collect():
-        found[r.conv_id][r.pos] = (r.role, r.text)
+    for r in numbered(conversations, F.col("role").alias("who"), F.col("text"), range_turns=range_turns).collect():
+        found[r.conv_id][r.pos] = (r.who, r.text)
     assert {c: [turns[p] for p in range(1, len(turns) + 1)] for c, turns in found.items()} == in_order(odd_rows())
 
 
-@pytest.mark.parametrize(("part_turns", "part_chars"), [(256, 1 << 20), (2, 1 << 20), (3, 40)])
-def test_formatted_turns_read_back(conversations, part_turns, part_chars):
-    parts = chat_format.format_conversations(conversations, part_turns=part_turns, part_chars=part_chars)
+@pytest.mark.parametrize(("range_turns", "part_chars"), [(100_000, 1 << 20), (2, 1 << 20), (30, 40)])
+def test_formatted_turns_read_back(conversations, range_turns, part_chars):
+    parts = chat_format.format_conversations(conversations, range_turns=range_turns, part_chars=part_chars)
     found = {r.conv_id: tuple(r)[1:6] for r in chat_format.read_back(parts).collect()}
     want = {}
     for c, turns in in_order(odd_rows()).items():
@@ -74,14 +75,21 @@ def test_formatted_turns_read_back(conversations, part_turns, part_chars):
 
 
 def test_parts_have_the_tokens_of_the_whole(conversations):
-    with open(chat_format.TOKENIZER, encoding="utf-8") as file:
-        encoder = chat_format._encoder(file.read())
-    parts = chat_format.format_conversations(conversations, part_turns=2, part_chars=30).collect()
-    by = defaultdict(list)
-    for part in sorted(parts, key=lambda p: p.first_turn):
-        by[part.conv_id] += part.input_ids
+    tokenizers = pytest.importorskip("tokenizers")
+    other = tokenizers.Tokenizer.from_file(chat_format.TOKENIZER.replace(".tiktoken", ".json"))
+    other.add_special_tokens([tokenizers.AddedToken(m, normalized=False, special=True) for m in chat_format.MARKS])
+    parts = chat_format.format_conversations(conversations, range_turns=20, part_chars=30).collect()
+    text, spans, names = defaultdict(str), defaultdict(list), defaultdict(list)
+    for part in sorted(parts, key=lambda p: p.part):
+        at = len(text[part.conv_id])
+        spans[part.conv_id] += [(at + a, at + b) for a, b in zip(part.starts, part.ends, strict=True)]
+        names[part.conv_id] += [i if i < 50256 else part.text[a:b] for i, a, b in zip(part.input_ids, part.starts, part.ends, strict=True)]
+        text[part.conv_id] += part.text
     for c, turns in in_order(odd_rows()).items():
-        assert by[c] == encoder.encode(chat_format.rendered(turns)[0], add_special_tokens=False).ids
+        assert text[c] == chat_format.rendered(turns)[0]
+        whole = other.encode(text[c], add_special_tokens=False)
+        assert names[c] == [i if i < 50256 else t for i, t in zip(whole.ids, whole.tokens, strict=True)]
+        assert spans[c] == whole.offsets
 
 
 def test_mask_is_the_spans_met():
@@ -159,9 +167,9 @@ def test_no_conversations(spark, tmp_path):
 def test_a_third_of_all_turns_in_one_conversation_spreads(spark):
     rows = [(0, t, "user", f"t{t}") for t in range(3000)] + [(c, t, "user", f"t{t}") for c in range(1, 1000) for t in range(6)]
     table = spark.createDataFrame([(*r, 1, 2, "p", 3) for r in rows], SCHEMA)
-    parts = chat_format.format_conversations(table)
-    assert parts.where("conv_id = 0").count() == -(-3000 // chat_format.PART_TURNS)
-    named = prefix_trie._named(prefix_trie.rebuilt(table), 256, 64)
+    parts = chat_format.format_conversations(table, range_turns=1000)
+    assert parts.where("conv_id = 0").count() >= 3
+    named = prefix_trie._placed(prefix_trie.rebuilt(table), 256, 64)
     most = max(r["count"] for r in named.groupBy("shard", "segment").count().collect())
     assert most <= 256 * 65
     deepest = prefix_trie.prefix_trie(prefix_trie.rebuilt(table)).orderBy("depth", ascending=False).first()
