@@ -16,7 +16,7 @@ from chartfold.session import hide_secrets
 from chartfold.sinks.quarantine import quarantine_files
 from chartfold.sinks.silver import write_silver_csv, write_silver_parquet
 from chartfold.sources.landing import Landing, list_files, read_landing
-from chartfold.storage import child_names, complete, delete, is_complete, qualified, write_work_table
+from chartfold.storage import child_names, complete, delete, is_complete, qualified, write_once, write_work_table
 
 # Up to this many notified objects are looked up by name; beyond it, the folder is listed.
 # Both give the same table of files.
@@ -50,11 +50,6 @@ class Lake:
         return f"{self.root}/quarantine/batch_id={batch_id}"
 
 
-def _work_table(spark: SparkSession, path: str, make: Callable[[], DataFrame]) -> DataFrame:
-    """The table a former attempt of this batch finished, or a new one."""
-    return spark.read.parquet(path) if is_complete(spark, path) else write_work_table(make(), path)
-
-
 def _check_identity(
     spark: SparkSession, landing: Landing, lake: Lake, batch_id: int, keys: DataFrame | None
 ) -> None:
@@ -141,6 +136,7 @@ def ingest_batch(
     contract: Contract,
     key: str,
     notified: DataFrame | None = None,
+    on_step: Callable[[str], None] = lambda step: None,
 ) -> DataFrame:
     """Ingest the files of a landing folder and return one outcome per object.
 
@@ -151,36 +147,43 @@ def ingest_batch(
     it is an error.
     The raw files are parsed once, into a work table; counts and both silver folders come
     from there. A repeated call picks up where a lost one stopped, and changes nothing
-    once the outcomes are written.
+    once the outcomes are written. Silver and outcomes are written once: what a stream has
+    read of them while a call was lost stays as it was. ``on_step`` hears of each step done.
     """
     hide_secrets(spark)
     keys = None if notified is None else notified.select("object_key").distinct()
     _check_identity(spark, landing, lake, batch_id, keys)
-    done = lake.outcomes(batch_id)
+    on_step("identity")
+    done, work = lake.outcomes(batch_id), lake.work(batch_id)
     if is_complete(spark, done):
+        delete(spark, work)
         return spark.read.parquet(done)
 
-    work = lake.work(batch_id)
-    listing = _work_table(spark, f"{work}/listing", lambda: _listing(spark, landing, keys))
+    def kept(name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        """The table a former attempt of this batch finished, or a new one."""
+        path = f"{work}/{name}"
+        made = spark.read.parquet(path) if is_complete(spark, path) else write_work_table(make(), path)
+        on_step(name)
+        return made
+
+    listing = kept("listing", lambda: _listing(spark, landing, keys))
     state = ["object_key", "object_version"]
-    known = _work_table(
-        spark,
-        f"{work}/known",
+    known = kept(
+        "known",
         lambda: ledger(spark, lake, batch_id)
         .join(listing.select(*state).distinct(), state, "left_semi")
         .groupBy(*state)
         .agg(*[F.min(c).alias(c) for c in ("rows_seen", "rows_written", "target")]),
     )
     fresh = listing.join(known, state, "left_anti")
-    files = _work_table(
-        spark, f"{work}/files", lambda: list_files(spark, landing, contract, fresh)
-    )
+    files = kept("files", lambda: list_files(spark, landing, contract, fresh))
 
     def cleaned() -> DataFrame:
         landed = _with_presence(read_landing(spark, landing, files, contract), contract)
         return clean_rows(landed, contract, key, ("object_key", "lane", "is_malformed", "present"))
 
-    rows = _work_table(spark, f"{work}/rows", cleaned)
+    rows = kept("rows", cleaned)
+
     def judged() -> DataFrame:
         found = object_outcomes(files, rows, contract, batch_id)
         if keys is None:
@@ -196,15 +199,15 @@ def ingest_batch(
         )
         return found.unionByName(again, True).unionByName(gone, True)
 
-    outcomes = _work_table(spark, f"{work}/outcomes", judged)
+    outcomes = kept("outcomes", judged)
     failed = outcomes.where("status = 'failed'").select("object_key")
     accepted = rows.where("is_valid").join(failed, "object_key", "left_anti")
-    write_silver_csv(accepted.where("lane = 'small'"), lake.silver("csv"), batch_id, contract)
-    write_silver_parquet(accepted.where("lane = 'bulk'"), lake.silver("parquet"), batch_id, contract)
+    write_silver_csv(accepted.where("lane = 'small'"), lake.silver("csv"), batch_id, contract, on_step)
+    write_silver_parquet(accepted.where("lane = 'bulk'"), lake.silver("parquet"), batch_id, contract, on_step)
     rejected = files.join(failed, "object_key", "left_semi")
     quarantine_files(spark, landing, rejected, lake.quarantine(batch_id))
+    on_step("quarantine")
 
-    outcomes.write.mode("overwrite").parquet(done)
-    complete(spark, done)
+    write_once(spark, done, lambda path: outcomes.write.mode("overwrite").parquet(path), on_step)
     delete(spark, work)
     return spark.read.parquet(done)

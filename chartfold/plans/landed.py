@@ -29,7 +29,7 @@ from chartfold.sources.landing import (
     stream_notifications,
 )
 from chartfold.sources.silver import read_silver_csv, read_silver_parquet, select_files_by_pattern
-from chartfold.storage import write_work_table
+from chartfold.storage import exists, write_work_table
 from chartfold.streaming.acknowledge import ingest_messages, read_acknowledged
 from chartfold.streaming.fold import HistoryTable, fold_new_rows
 from chartfold.streaming.staging import (
@@ -119,6 +119,47 @@ def q_redelivered_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.history(spark).select(*columns, "is_current")
 
 
+class _DriverLost(Exception):
+    pass
+
+
+def _lost_after_each_step():
+    """Hears of the steps of an ingest batch, and is lost after each that it did not hear of before."""
+    behind = set()
+
+    def on_step(step: str) -> None:
+        if step not in behind:
+            behind.add(step)
+            raise _DriverLost
+
+    return on_step
+
+
+def q_interrupted_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """History of one batch whose driver is lost after its first step, then after its second, and
+    so on; what has reached silver by then is staged and folded each time."""
+    lake = Lake(fresh_folder(spark, "lake"))
+    landing = land_csv(spark, sf_dir)
+    history = HistoryTable(f"{lake.root}/history", ENROLLMENT)
+
+    def fold_silver() -> None:
+        silver = stream_silver_csv(spark, lake.silver("csv"), ENROLLMENT)
+        append_staging(silver, f"{lake.root}/staging", f"{lake.root}/c1", ENROLLMENT).awaitTermination()
+        fold_new_rows(spark, f"{lake.root}/staging", history, f"{lake.root}/c2").awaitTermination()
+
+    on_step = _lost_after_each_step()
+    while True:
+        try:
+            ingest_batch(spark, landing, lake, 0, ENROLLMENT, FIXTURE_KEY, on_step=on_step)
+        except _DriverLost:
+            if exists(spark, lake.silver("csv")):
+                fold_silver()
+        else:
+            break
+    columns = [c for c in ENROLLMENT.silver_columns if c != "lineage_file_uuid"]
+    return history.history(spark).select(*columns, "is_current")
+
+
 def q_bulk_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of all files with a good header, read by the bulk lane as if every file were large."""
     return _read_and_clean(spark, replace(land_csv(spark, sf_dir), bulk_bytes=1))
@@ -379,6 +420,7 @@ QUERIES = {
     "ingest_outcomes": q_ingest_outcomes,
     "ingest_silver": q_ingest_silver,
     "redelivered_objects": q_redelivered_objects,
+    "interrupted_batch": q_interrupted_batch,
     "bulk_csv": q_bulk_csv,
     "split_xml": q_split_xml,
     "acknowledged_messages": q_acknowledged_messages,

@@ -1,36 +1,40 @@
-"""Silver folders, one per lane and ingest batch."""
+"""Silver folders, one per lane and ingest batch, written once: a stream may read them at any time."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chartfold.contracts import Contract
-from chartfold.storage import complete, is_complete
+from chartfold.storage import write_once
 
 
-def write_silver_csv(rows: DataFrame, folder: str, batch_id: int, contract: Contract) -> str:
-    """Contract columns in order, with a header. A committed batch is left as it is, since a
-    stream may have read it; an unfinished one is replaced.
-    """
-    target = f"{folder}/batch_id={batch_id}"
-    if not is_complete(rows.sparkSession, target):
+def write_silver_csv(
+    rows: DataFrame, folder: str, batch_id: int, contract: Contract, on_step: Callable[[str], None] = lambda step: None
+) -> str:
+    """Contract columns in order, with a header."""
+
+    def write(path: str) -> None:
         writer = rows.select(*contract.silver_columns).write.mode("overwrite")
-        writer.options(header="true", escape='"').csv(target)
-        complete(rows.sparkSession, target)
-    return target
+        writer.options(header="true", escape='"').csv(path)
 
+    return write_once(rows.sparkSession, f"{folder}/batch_id={batch_id}", write, on_step)
 
-def write_silver_parquet(rows: DataFrame, folder: str, batch_id: int, contract: Contract) -> str:
+
+def write_silver_parquet(
+    rows: DataFrame, folder: str, batch_id: int, contract: Contract, on_step: Callable[[str], None] = lambda step: None
+) -> str:
     """Contract columns in one directory per vendor; the vendor also stays a column.
 
     The rebalance step gathers the rows of a vendor, and splits a vendor too large for
     one task.
     """
-    target = f"{folder}/batch_id={batch_id}"
-    if not is_complete(rows.sparkSession, target):
+
+    def write(path: str) -> None:
         parted = rows.select(*contract.silver_columns, F.col("source_vendor").alias("vendor_part"))
         writer = parted.hint("rebalance", "vendor_part").write.mode("overwrite")
-        writer.partitionBy("vendor_part").parquet(target)
-        complete(rows.sparkSession, target)
-    return target
+        writer.partitionBy("vendor_part").parquet(path)
+
+    return write_once(rows.sparkSession, f"{folder}/batch_id={batch_id}", write, on_step)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -72,6 +74,46 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return exists(spark, f"{path}/_COMPLETE")
 
 
+def _moved(spark: SparkSession, source: str, target: str) -> None:
+    """Moves a finished file. A lost driver may have left both: then the target is whole."""
+    hadoop_source, fs = _path(spark, source)
+    hadoop_target, _ = _path(spark, target)
+    fs.mkdirs(hadoop_target.getParent())
+    if fs.exists(hadoop_target):
+        fs.delete(hadoop_source, False)
+    elif not fs.rename(hadoop_source, hadoop_target):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
+def write_once(
+    spark: SparkSession, path: str, write: Callable[[str], None], on_step: Callable[[str], None] = lambda step: None
+) -> str:
+    """A folder whose files appear one by one, each finished, and never change or go.
+
+    ``write`` fills a folder beside it that no reader lists, as often as it takes. Once that is
+    marked as finished it is not written again, so that its file names stand, and its files
+    are moved, those that a lost driver had not moved yet. Whoever reads the folder meanwhile, as
+    a stream does, meets each file once. ``on_step`` hears of every step that is behind.
+    """
+    parent, _, name = path.rpartition("/")
+    staged = f"{parent}/_staged/{name}"
+    if not is_complete(spark, path):
+        if not is_complete(spark, staged):
+            write(staged)
+            on_step(f"{path} written")
+            complete(spark, staged)
+            on_step(f"{path} staged")
+        top = qualified(spark, staged)
+        moves = [(file, f"{path}{file[len(top):]}") for file, _, _ in listed(spark, staged)]
+        with ThreadPoolExecutor(16) as pool:
+            list(pool.map(lambda move: _moved(spark, *move), moves))
+        on_step(f"{path} moved")
+        complete(spark, path)
+        on_step(f"{path} complete")
+    delete(spark, staged)
+    return path
+
+
 def write_work_table(df: DataFrame, path: str) -> DataFrame:
     """Write and read back: cuts the lineage and gives the planner true sizes.
 

@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
+
+import pytest
+
+from chartfold import storage
 from chartfold.contracts import ENROLLMENT
 from chartfold.plans.ingest import Lake, ingest_batch
+from chartfold.sinks.silver import write_silver_csv, write_silver_parquet
 from chartfold.sources.landing import Landing
 from chartfold.streaming.fold import HistoryTable, fold_new_rows
 from chartfold.streaming.staging import (
@@ -64,3 +70,78 @@ def test_two_batches(spark, tmp_path):
     opened = next(r for r in rows if r.is_current and r.encounter_id == "E1")
     assert closed.end_time == opened.start_time
     assert len({r.vitals_hash_key for r in rows}) == 4
+
+
+class Lost(Exception):
+    pass
+
+
+def lost_after_each_step(behind):
+    def on_step(step):
+        if step not in behind:
+            behind.append(step)
+            raise Lost
+
+    return on_step
+
+
+def staged_so_far(spark, lake):
+    lanes = merge_lanes(
+        stream_silver_csv(spark, lake.silver("csv"), ENROLLMENT),
+        stream_silver_parquet(spark, lake.silver("parquet"), ENROLLMENT),
+    )
+    append_staging(lanes, f"{lake.root}/staging", f"{lake.root}/c1", ENROLLMENT).awaitTermination()
+    return sorted(r.encounter_id for r in read_staging(spark, f"{lake.root}/staging", ENROLLMENT).collect())
+
+
+def test_a_driver_lost_after_any_step_stages_each_row_once(spark, tmp_path):
+    files = {"v__vitals__1__a.csv": HEADER + "E1,1,2026-06-01,3\nE2,2,2026-06-01,3\n", "v__vitals__1__x.xml": XML,
+             "v__vitals__1__bad.csv": "visit\n1\n"}
+    landing, lake = deliver(tmp_path / "landing", files), Lake(str(tmp_path / "lake"))
+    for kind in ("csv", "parquet"):
+        (tmp_path / "lake" / "silver" / kind).mkdir(parents=True)
+    seen, steps = [], []
+    while True:
+        try:
+            on_step = lost_after_each_step(steps)
+            outcomes = ingest_batch(spark, landing, lake, 0, ENROLLMENT, "fixture-key", on_step=on_step)
+            break
+        except Lost:
+            seen.append(staged_so_far(spark, lake))
+    assert len(steps) == 19
+    assert seen[0] == [] and ["E1", "E2"] in seen  # the lanes come one after the other
+    assert seen[-1] == staged_so_far(spark, lake) == ["E1", "E2", "E9"]
+    assert sorted(r.status for r in outcomes.collect()) == ["failed", "success", "success"]
+
+
+@pytest.mark.parametrize("write", [write_silver_csv, write_silver_parquet])
+def test_a_driver_lost_between_two_moves_leaves_each_file_once(spark, tmp_path, monkeypatch, write):
+    lake, moved = Lake(str(tmp_path / "lake")), storage._moved
+    for kind in ("csv", "parquet"):
+        (tmp_path / "lake" / "silver" / kind).mkdir(parents=True)
+    text = ", ".join(f"'x' as {c}" for c in ENROLLMENT.silver_columns if c not in ("encounter_id", "source_vendor"))
+    rows = spark.range(0, 40, 1, 5).selectExpr(
+        "concat('E', id) as encounter_id", "concat('v', id % 3) as source_vendor", *text.split(", "))
+    folder = lake.silver("csv" if write is write_silver_csv else "parquet")
+
+    def interrupted(allowed):
+        def move(spark, source, target):
+            if not allowed:
+                raise Lost
+            allowed.pop()
+            moved(spark, source, target)
+            if not allowed:  # a copying store: the file is at both places
+                (tmp_path / source.replace("file:", "")).write_bytes((tmp_path / target.replace("file:", "")).read_bytes())
+
+        return move
+
+    for _ in range(3):
+        with monkeypatch.context() as patch, pytest.raises(Lost):
+            patch.setattr(storage, "_moved", interrupted([1]))
+            patch.setattr(storage, "ThreadPoolExecutor", lambda _: contextlib.nullcontext(type("One", (), {"map": map})))
+            write(rows, folder, 0, ENROLLMENT)
+        staged_so_far(spark, lake)
+    write(rows, folder, 0, ENROLLMENT)
+    write(rows, folder, 0, ENROLLMENT)
+    assert staged_so_far(spark, lake) == sorted(f"E{i}" for i in range(40))
+    assert not list((tmp_path / "lake" / "silver").rglob("_staged/batch_id=0"))
