@@ -176,7 +176,7 @@ def ingest_batch(
         .agg(*[F.min(c).alias(c) for c in ("rows_seen", "rows_written", "target")]),
     )
     fresh = listing.join(known, state, "left_anti")
-    files = kept("files", lambda: list_files(spark, landing, contract, fresh))
+    files = kept("files", lambda: list_files(spark, landing, contract, fresh, f"{work}/records"))
 
     def cleaned() -> DataFrame:
         landed = _with_presence(read_landing(spark, landing, files, contract), contract)

@@ -119,6 +119,36 @@ def q_redelivered_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.history(spark).select(*columns, "is_current")
 
 
+def land_odd_csv(spark: SparkSession, sf_dir: str) -> Landing:
+    """Enrollments as text that mixes line ends, with line breaks, commas and quotes within quotes
+    and lone CRs within cells."""
+    root = fresh_folder(spark, "landing")
+    rows = enrollment(spark, sf_dir).withColumn("object", _object(".csv"))
+    key = F.col("row_number")
+    note = (
+        F.when(key % 3 == 0, F.concat(F.lit('"first\nsecond, ""'), key.cast("string"), F.lit('""\r\n\r\nthird"')))
+        .when(key % 3 == 1, 'no "quote\ropens here').otherwise('""""')
+    )
+    date = F.when(key % 5 == 0, F.concat(F.lit('"'), F.col("enrollment_date"), F.lit('\r\n""late"", twice"'))).otherwise(
+        F.col("enrollment_date"))
+    line = F.concat_ws(",", note, "gpa", "patient_id", date, "encounter_id")
+    end = F.when(key % 2 == 0, "\r").otherwise("")
+    header = F.lit("note,gpa,patient_id,enrollment_date,encounter_id")
+    lines = rows.select("object", key.alias("at"), F.concat(line, end).alias("value"))
+    heads = rows.groupBy("object").agg(F.lit(-1).cast("bigint").alias("at")).select(
+        "object", "at", F.concat(header, F.when(F.contains("object", F.lit("_F_")), "\r").otherwise("")).alias("value"))
+    ordered = lines.unionByName(heads).repartition("object").sortWithinPartitions("object", "at")
+    ordered.select("value", "object").write.partitionBy("object").option("lineSep", "\n").text(root)
+    return Landing(root, parts="object")
+
+
+def q_mixed_line_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of such files, read as small and as bulk files."""
+    landing = land_odd_csv(spark, sf_dir)
+    small, bulk = (_read_and_clean(spark, each) for each in (landing, replace(landing, bulk_bytes=1)))
+    return small.withColumn("lane", F.lit("small")).unionByName(bulk.withColumn("lane", F.lit("bulk")))
+
+
 class _DriverLost(Exception):
     pass
 
@@ -422,6 +452,7 @@ QUERIES = {
     "redelivered_objects": q_redelivered_objects,
     "interrupted_batch": q_interrupted_batch,
     "bulk_csv": q_bulk_csv,
+    "mixed_line_ends": q_mixed_line_ends,
     "split_xml": q_split_xml,
     "acknowledged_messages": q_acknowledged_messages,
     "quarantine": q_quarantine,

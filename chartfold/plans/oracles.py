@@ -135,6 +135,11 @@ WITH {_ENROLLMENT}
 SELECT DISTINCT * EXCLUDE (lineage_file_uuid), TRUE AS is_current FROM ({_SILVER} AND source_vendor <> 'vendor_P')""",
     "bulk_csv": f"""
 WITH {_ENROLLMENT} {_SILVER} AND source_vendor <> 'vendor_P'""",
+    "mixed_line_ends": f"""
+WITH {_ENROLLMENT}
+SELECT * REPLACE (CASE WHEN CAST(encounter_id AS BIGINT) % 5 = 0 THEN enrollment_date || chr(13) || chr(10)
+         || '"late", twice' ELSE enrollment_date END AS enrollment_date)
+FROM ({_SILVER}), (VALUES ('small'), ('bulk')) AS lanes(lane)""",
     "split_xml": f"""
 WITH {_ENROLLMENT} {_SILVER}""",
     "acknowledged_messages": f"""

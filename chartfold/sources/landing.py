@@ -1,11 +1,11 @@
 """Landed vendor files: headers, verdicts before reading, and rows by column name.
 
-A landing folder mixes files whose columns come in different orders. One scan reads them
-all by position, and a join with the table of file headers puts every cell under its name.
-The folder is listed once; everything later opens files by name. How large a file is decides
-how many tasks read it, never which rows it has: a large file is split only if a look at all
-of its text shows that no line break lies within quotes and every line ends by LF or CRLF, or
-no record end within a record. A CSV file's first line that is not empty is its header.
+A landing folder mixes files whose columns come in different orders. CSV files are cut into
+records first (:mod:`chartfold.sources.records`), whatever their size and line ends; a join with
+the table of file headers then puts every cell under its name. The folder is listed once;
+everything later opens files by name. How large a file is decides how many tasks read it, never
+which rows it has: a large XML file is split only if a look at all of its text shows no record
+end within a record. A CSV file's first record that is not empty is its header.
 """
 
 from __future__ import annotations
@@ -29,18 +29,17 @@ from chartfold.functions.paths import (
     object_vendor,
     scan_path,
 )
-from chartfold.operators.quality import EMPTY, ENCODING, HEADER_CONTRACT, NO_VENDOR
+from chartfold.operators.quality import EMPTY, ENCODING, HEADER_CONTRACT, MALFORMED, NO_VENDOR
 from chartfold.operators.routing import BULK_BYTES, lane
+from chartfold.session import fresh_folder
+from chartfold.sources.records import POSITION, cut_records, read_records, record_heads
 from chartfold.storage import listed, literal_path, qualified
 
 # A larger XML file is cut at its record ends, so that several tasks can read it.
 XML_SPLIT_BYTES = 128 * 1024 * 1024
-# A line whose quotes all open and close cells; any other may go on in the next line.
-CLOSED_LINE = r'^(?:"(?:[^"]++|"")*+"|[^",]*+)(?:,(?:"(?:[^"]++|"")*+"|[^",]*+))*+$'
 LISTING = "file_path string, file_size bigint, modified bigint"
 
 
-
 @dataclass(frozen=True)
 class Landing:
     """A landing folder.
@@ -113,70 +112,6 @@ def _opened(paths: list[str]) -> list[str]:
     return [literal_path(path) for path in paths]
 
 
-def _needs_whole(line: Column) -> Column:
-    """Lines that a split by line reads in another way than the reader of whole files: a quote
-    that does not close, or nothing but blanks."""
-    open_line = F.contains(line, F.lit('"')) & ~F.rlike(line, F.lit(CLOSED_LINE))
-    return open_line | F.rlike(line, F.lit(r"^[\x00-\x20]+$"))
-
-
-def _line_ends(text: Column) -> dict[str, Column]:
-    """Whether a text has CRs that stand alone, LFs that stand alone, and both as one end."""
-    return {"cr": F.rlike(text, F.lit(r"\r(?!\n)")), "lf": F.rlike(text, F.lit(r"(?<!\r)\n")),
-            "crlf": F.contains(text, F.lit("\r\n"))}
-
-
-def _small_heads(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """First lines of files that come whole and are cut at their first line end, CR or LF.
-
-    The reader of whole files knows one line end a file: a file of LF and CRLF is read by line.
-    """
-    text = F.col("content").cast("string")
-    line = F.regexp_extract(text, "^\ufeff?[\r\n]*([^\r\n]*)", 1)
-    ends = _line_ends(text)
-    unlike = ends["crlf"] & ends["lf"] & ~ends["cr"]
-    return spark.read.format("binaryFile").load(_opened(paths)).select(
-        scan_path().alias("file_path"),
-        line.alias("header_line"),
-        F.is_valid_utf8(text).alias("is_text"),
-        F.when(unlike, F.exists(F.split(text, "\r?\n"), _needs_whole)).otherwise(True).alias("whole"),
-    )
-
-
-def _bulk_heads(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """First lines of bulk files, and whether any line needs the reader of whole files, or a CR
-    that ends no line does."""
-    filled = F.col("value") != ""
-    line_number = F.struct("_metadata.file_block_start", F.monotonically_increasing_id())
-    lines = (
-        spark.read.text(_opened(paths))
-        .select(
-            scan_path().alias("file_path"),
-            F.when(filled, F.col("value")).alias("line"),
-            F.when(filled, line_number).alias("line_number"),
-            F.is_valid_utf8("value").alias("is_text"),
-            _needs_whole(F.col("value")).alias("whole"),
-        )
-        .groupBy("file_path")
-        .agg(
-            F.min_by("line", "line_number").alias("header_line"),
-            F.bool_and("is_text").alias("is_text"),
-            F.bool_or("whole").alias("whole"),
-        )
-    )
-    # The lines above are cut at every CR. Cells show which of them stand alone, also in a file
-    # that has no LF at all.
-    lone = (
-        spark.read.option("lineSep", ",")
-        .text(_opened(paths))
-        .select(scan_path().alias("file_path"), _line_ends(F.col("value"))["cr"].alias("cr"))
-        .groupBy("file_path")
-        .agg(F.bool_or("cr").alias("cr"))
-    )
-    return lines.join(lone, "file_path").select(
-        "file_path", "header_line", "is_text", (F.col("whole") | F.col("cr")).alias("whole"))
-
-
 def _xml_heads(spark: SparkSession, paths: list[str], tag: str) -> DataFrame:
     """Whether a large XML file holds what could hide a record end, or an unclosed record.
 
@@ -203,38 +138,56 @@ def _xml_heads(spark: SparkSession, paths: list[str], tag: str) -> DataFrame:
     )
 
 
-def read_heads(spark: SparkSession, landing: Landing, files: DataFrame, tag: str = "record") -> DataFrame:
-    """``file_path, header_line, is_text, whole`` of every file that is not empty; an XML file
-    has no header line. Only lanes that hold files are opened.
+def _whole_texts(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Whether XML files that one task reads each are UTF-8."""
+    return spark.read.format("binaryFile").load(_opened(paths)).select(
+        scan_path().alias("file_path"), F.lit("").alias("header_line"),
+        F.is_valid_utf8(F.col("content").cast("string")).alias("is_text"), F.lit(True).alias("whole"))
+
+
+def read_heads(
+    spark: SparkSession, landing: Landing, files: DataFrame, work: str, tag: str = "record"
+) -> DataFrame:
+    """``file_path, header_line, header_at, is_text, whole, is_open, records`` of every file that
+    is not empty; an XML file has no header line. CSV files are cut into records below ``work``
+    on the way. Only kinds of files that occur are opened.
     """
     lanes = defaultdict(list)
     for row in files.select("file_path", "file_size").where("file_size > 0").collect():
         xml = row.file_path.lower().endswith(".xml")
         lanes[xml, row.file_size >= (landing.xml_split_bytes if xml else landing.bulk_bytes)].append(row.file_path)
-    heads = [
-        _small_heads(spark, lanes[False, False] + lanes[True, False])
-        if lanes[False, False] or lanes[True, False] else None,
-        _bulk_heads(spark, lanes[False, True]) if lanes[False, True] else None,
-        _xml_heads(spark, lanes[True, True], tag) if lanes[True, True] else None,
-    ]
+    heads = []
+    if lanes[False, False] or lanes[False, True]:
+        records = cut_records(spark, lanes[False, False], lanes[False, True], work)
+        heads.append(record_heads(spark, records).withColumn("records", F.lit(records)))
+    if lanes[True, False]:
+        heads.append(_whole_texts(spark, lanes[True, False]))
+    if lanes[True, True]:
+        heads.append(_xml_heads(spark, lanes[True, True], tag))
     nothing = files.where("false").select(
-        "file_path", F.lit("").alias("header_line"), F.lit(True).alias("is_text"), F.lit(False).alias("whole"))
-    return reduce(DataFrame.unionByName, [h for h in heads if h is not None], nothing)
+        "file_path", F.lit("").alias("header_line"), F.lit(None).cast(POSITION).alias("header_at"),
+        F.lit(True).alias("is_text"), F.lit(False).alias("whole"), F.lit(False).alias("is_open"),
+        F.lit("").alias("records"))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), heads, nothing)
 
 
 def list_files(
-    spark: SparkSession, landing: Landing, contract: Contract, listing: DataFrame | None = None
+    spark: SparkSession, landing: Landing, contract: Contract, listing: DataFrame | None = None,
+    work: str | None = None,
 ) -> DataFrame:
     """One row per landed file: object, lane, lineage, column positions, and the reason if
     the file cannot be read. A fault in one part of an object rejects the whole object.
+
+    The records of CSV files are left below ``work``, where :func:`read_landing` finds them.
     """
     listing = landing.files(spark) if listing is None else listing
+    work = work or fresh_folder(spark, "records")
     header = _header_names(F.coalesce("header_line", F.lit("")))
     positions = F.struct(*[_position(F.col("header"), c).alias(c) for c in contract.columns])
     complete = reduce(
         Column.__and__, [F.col(f"positions.{c}").isNotNull() for c in contract.columns]
     )
-    named = listing.join(read_heads(spark, landing, listing), "file_path", "left")
+    named = listing.join(read_heads(spark, landing, listing, work), "file_path", "left")
     files = named.withColumn("header", header).select(
         "file_path",
         "file_size",
@@ -244,8 +197,10 @@ def list_files(
         F.when(is_xml("file_path"), "xml").otherwise("csv").alias("format"),
         positions.alias("positions"),
         F.coalesce("is_text", F.lit(True)).alias("is_text"),
-        (F.coalesce("whole", F.lit(False))
-         | (is_xml("file_path") & (F.col("file_size") < landing.xml_split_bytes))).alias("whole"),
+        F.coalesce("whole", F.lit(False)).alias("whole"),
+        F.coalesce("is_open", F.lit(False)).alias("is_open"),
+        "header_at",
+        "records",
     )
     files = files.select(
         "*",
@@ -259,9 +214,10 @@ def list_files(
         .when(~F.col("is_text"), ENCODING)
         .when((F.col("format") == "csv") & ~complete, HEADER_CONTRACT)
         .when(F.col("source_vendor").isNull(), NO_VENDOR)
+        .when(F.col("is_open"), MALFORMED)
     )
     of_object = Window.partitionBy("object_key")
-    return files.withColumn("reason", F.min(reason).over(of_object)).drop("is_text")
+    return files.withColumn("reason", F.min(reason).over(of_object)).drop("is_text", "is_open")
 
 
 _FILE_COLUMNS = ["object_key", "source_vendor", "lineage_file_uuid"]
@@ -272,33 +228,20 @@ def _with_file(rows: DataFrame, files: DataFrame, columns: list[str]) -> DataFra
     return rows.join(files.where("reason is null").select("file_path", *columns), "file_path")
 
 
-def read_landing_csv(
-    spark: SparkSession,
-    files: DataFrame,
-    contract: Contract,
-    paths: list[str],
-    lane_name: str,
-    whole: bool,
-    width: int,
-) -> DataFrame:
-    """Contract columns, as text, of CSV files of a lane.
+def read_landing_csv(spark: SparkSession, files: DataFrame, contract: Contract, records: str, width: int) -> DataFrame:
+    """Contract columns, as text, of the records of readable CSV files.
 
     ``width`` is the number of columns needed of the file that has them farthest apart.
-    ``whole`` files may hold line breaks within quotes or lone CRs; all others are split by line, so that
-    one giant file occupies many tasks.
     """
-    cells = [f"c{i}" for i in range(width)]
-    scan = (
-        spark.read.options(header="true", escape='"', multiLine=str(whole).lower())
-        .schema(", ".join(f"{c} string" for c in cells))
-        .csv(_opened(paths))
-        .select(scan_path().alias("file_path"), F.array(*cells).alias("cells"))
-    )
-    placed = _with_file(scan, files, [*_FILE_COLUMNS, "positions"])
-    return placed.select(
+    schema = ", ".join(f"c{i} string" for i in range(width))
+    placed = _with_file(read_records(spark, records), files, [*_FILE_COLUMNS, "positions", "header_at", "lane"])
+    rows = placed.where((F.col("at") > F.col("header_at")) & (F.col("text") != ""))
+    cells = F.array(*[F.col(f"row.c{i}") for i in range(width)])
+    rows = rows.withColumn("row", F.from_csv("text", schema, {"escape": '"'})).withColumn("cells", cells)
+    return rows.select(
         *[F.get("cells", F.col(f"positions.{c}")).alias(c) for c in contract.columns],
         *_FILE_COLUMNS,
-        F.lit(lane_name).alias("lane"),
+        "lane",
         F.lit(False).alias("is_malformed"),
     )
 
@@ -346,17 +289,13 @@ def read_landing(
     spark: SparkSession, landing: Landing, files: DataFrame, contract: Contract
 ) -> DataFrame:
     """Rows of every readable file. Only kinds of files that occur are scanned for."""
-    kinds, widths = defaultdict(list), defaultdict(int)
-    columns = ["format", "lane", "whole"]
-    for row in files.where("reason is null").select("file_path", "width", *columns).collect():
-        kind = tuple(row[c] for c in columns)
-        kinds[kind].append(row.file_path)
-        widths[kind] = max(widths[kind], row.width)
-    tables = [
-        read_landing_csv(spark, files, contract, paths, lane_name, whole, widths[kind, lane_name, whole])
-        if kind == "csv" else read_landing_xml(spark, files, contract, paths, whole)
-        for (kind, lane_name, whole), paths in sorted(kinds.items())
-    ]
+    readable = files.where("reason is null")
+    cut = readable.where("format = 'csv'").groupBy("records").agg(F.max("width").alias("width")).collect()
+    tables = [read_landing_csv(spark, files, contract, row.records, row.width) for row in cut]
+    kinds = defaultdict(list)
+    for row in readable.where("format = 'xml'").select("file_path", "whole").collect():
+        kinds[row.whole].append(row.file_path)
+    tables += [read_landing_xml(spark, files, contract, paths, whole) for whole, paths in sorted(kinds.items())]
     if not tables:
         columns = [*contract.columns, *_FILE_COLUMNS, "lane"]
         nothing = files.where("false").select(*[F.lit("").alias(c) for c in columns])
