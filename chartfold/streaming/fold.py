@@ -3,14 +3,16 @@
 Below the root of a history table::
 
     delta/batch_id=N/kind=…      what batch N opened, closed, or found late
-    base/version=N               active versions after batch N, written now and then
+    base/version=N/bucket=B      active versions after batch N of the keys that hash to B
+    buckets/version=N            which version of base holds which bucket as of base N
     settled/version=N/kind=…     closed and late rows of the deltas that base N replaces
     unusable/batch_id=N          rows without key or load time
     commits/batch_id=N           written last; what it does not name does not count
 
-A batch looks up the active versions of its own keys and writes only what it changes. Now
-and then the deltas are merged into a new base: once they hold a fair share of its rows,
-so that the work of rewriting it stays in proportion to what arrived.
+A batch looks up the active versions of its own keys, in the buckets that they hash to, and
+writes only what it changes. Now and then the deltas are merged into a new base: once they hold a
+fair share of its rows, so that the work of rewriting it stays in proportion to what arrived.
+Only buckets that the deltas touch are written again; a new base names the others where they are.
 """
 
 from __future__ import annotations
@@ -35,6 +37,7 @@ from chartfold.sinks.history import history_layout
 from chartfold.storage import child_names, complete, delete, is_complete, write_work_table
 from chartfold.streaming.staging import staging_changes
 
+_BUCKETS = "bucket int, version bigint, modulus int"
 _COMMIT = "stream_id string, base_version bigint, base_rows bigint, delta_rows bigint"
 
 
@@ -45,7 +48,8 @@ class HistoryTable:
     that it does not matter where a stream that comes in order is cut into batches.
 
     Deltas are merged once there are ``compact_every`` of them and they opened
-    ``compact_share`` of the rows in the base, or once there are ``most_deltas``.
+    ``compact_share`` of the rows in the base, or once there are ``most_deltas``. The base has
+    ``buckets`` folders; another number takes effect with the next base, which writes all of it.
     """
 
     root: str
@@ -55,6 +59,7 @@ class HistoryTable:
     most_deltas: int = 480
     skip_unchanged: bool = False
     keep_all: bool = False
+    buckets: int = 16
 
     # Reading
 
@@ -85,11 +90,25 @@ class HistoryTable:
         nothing = spark.range(1).where("false")
         return nothing.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
 
-    def _base(self, spark: SparkSession, version: int) -> DataFrame:
+    def _bucket(self, modulus: int) -> Column:
+        return F.pmod(F.xxhash64(*self.contract.key), F.lit(modulus)).cast("int")
+
+    def _places(self, spark: SparkSession, version: int) -> tuple[int, dict[int, int]]:
+        """The number of buckets of a base, and the version that holds each that has rows."""
         if version < 0:
+            return self.buckets, {}
+        rows = spark.read.schema(_BUCKETS).json(f"{self.root}/buckets/version={version}").collect()
+        return rows[0].modulus, {row.bucket: row.version for row in rows if row.bucket is not None}
+
+    def _base(self, spark: SparkSession, version: int, only: set[int] | None = None) -> DataFrame:
+        """Rows of a base, or of some of its buckets; no other bucket is listed or opened."""
+        _, places = self._places(spark, version)
+        held = sorted((b, v) for b, v in places.items() if only is None or b in only)
+        if not held:
             return self._empty(spark)
-        schema = self.contract.history_schema()
-        return spark.read.schema(schema).parquet(f"{self.root}/base/version={version}")
+        names = self.contract.history_schema().names
+        paths = [f"{self.root}/base/version={v}/bucket={b}" for b, v in held]
+        return spark.read.schema(self.contract.history_schema()).parquet(*paths).select(*names)
 
     def _delta(self, spark: SparkSession, after: int, upto: int) -> DataFrame:
         """Delta rows of a run of batches, at most as many as lie between two bases."""
@@ -108,14 +127,15 @@ class HistoryTable:
         wanted = rows.where((F.col("version") <= version) & (F.col("kind") == kind))
         return wanted.drop("version", "kind")
 
-    def _active(self, spark: SparkSession, base: int, upto: int) -> DataFrame:
-        """Active versions: those of the deltas, and those of the base for all other keys."""
+    def _active(self, spark: SparkSession, base: int, upto: int, only: set[int] | None = None) -> DataFrame:
+        """Active versions: those of the deltas, and those of the base for all other keys, or, of
+        the base, for other keys of some buckets."""
         keys = list(self.contract.key)
         opened = self._delta(spark, base, upto).where("kind = 'open'").drop("kind")
         newest = dedup_latest(opened, keys, "start_time")
         if base < 0:
             return newest
-        kept = self._base(spark, base).join(opened.select(*keys), keys, "left_anti")
+        kept = self._base(spark, base, only).join(opened.select(*keys), keys, "left_anti")
         return kept.unionByName(newest)
 
     def current(self, spark: SparkSession) -> DataFrame:
@@ -151,14 +171,17 @@ class HistoryTable:
     def _touched(self, spark: SparkSession, latest: DataFrame, base: int, upto: int) -> DataFrame:
         """Active versions of the keys in a batch.
 
-        The span of the keys goes into the scan: where new rows concern recent encounters,
-        it spares most of a base that is sorted by key.
+        Only the buckets of these keys are opened. The span of the keys goes into the scan, too:
+        where new rows concern recent encounters, it spares most of a bucket, sorted by key.
         """
         keys = list(self.contract.key)
         first = keys[0]
-        known = latest.agg(F.count("*").alias("n"), F.min(first), F.max(first)).first()
+        modulus, _ = self._places(spark, base)
+        known = latest.agg(
+            F.count("*").alias("n"), F.min(first), F.max(first),
+            F.collect_set(self._bucket(modulus)).alias("buckets")).first()
         opened = self._delta(spark, base, upto).where("kind = 'open'").drop("kind")
-        candidates = self._base(spark, base).unionByName(opened)
+        candidates = self._base(spark, base, set(known.buckets)).unionByName(opened)
         if known.n == 0:
             return candidates.where("false")
         candidates = candidates.where(F.col(first).between(known[1], known[2]))
@@ -263,8 +286,20 @@ class HistoryTable:
         return (deltas >= self.compact_every and grown) or deltas >= self.most_deltas
 
     def _compact(self, spark: SparkSession, base: int, upto: int) -> None:
-        active = history_layout(self._active(spark, base, upto), self.contract)
-        active.write.mode("overwrite").parquet(f"{self.root}/base/version={upto}")
+        modulus, places = self._places(spark, base)
+        opened = self._delta(spark, base, upto).where("kind = 'open'")
+        touched = None
+        if modulus == self.buckets:
+            touched = {r.bucket for r in opened.select(self._bucket(modulus).alias("bucket")).distinct().collect()}
+        active = self._active(spark, base, upto, touched).withColumn("bucket", self._bucket(self.buckets))
+        layout = history_layout(active, self.contract, "bucket")
+        layout.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/base/version={upto}")
+        written = [n for n in child_names(spark, f"{self.root}/base/version={upto}") if n.startswith("bucket=")]
+        now = (places if touched is not None else {}) | {int(n.split("=")[1]): upto for n in written}
+        # A base without rows still has a row here, which names no bucket.
+        rows = [(b, v, self.buckets) for b, v in sorted(now.items())] or [(None, upto, self.buckets)]
+        spark.createDataFrame(rows, _BUCKETS).coalesce(1).write.mode("overwrite").json(
+            f"{self.root}/buckets/version={upto}")
         ended = self._delta(spark, base, upto).where("kind <> 'open'")
         history_layout(ended, self.contract, "kind").write.mode("overwrite").partitionBy(
             "kind"
@@ -273,11 +308,20 @@ class HistoryTable:
     def vacuum(self, spark: SparkSession, keep: int = 2) -> None:
         """Delete what the last ``keep`` bases and the batches behind them do not need."""
         version, _ = self._state(spark)
-        stored = [int(n.split("=")[1]) for n in child_names(spark, f"{self.root}/base")]
+        stored = [int(n.split("=")[1]) for n in child_names(spark, f"{self.root}/buckets")]
         kept = sorted(v for v in stored if v <= version)[-keep:]
         if not kept:
             return
-        for folder in ("base", "commits", "delta"):
+        needed = {(v, b) for base in kept for b, v in self._places(spark, base)[1].items()}
+        for child in child_names(spark, f"{self.root}/base"):
+            of = int(child.split("=")[1])
+            buckets = [b for b in child_names(spark, f"{self.root}/base/{child}") if b.startswith("bucket=")]
+            unneeded = [b for b in buckets if of < kept[0] and (of, int(b.split("=")[1])) not in needed]
+            for bucket in unneeded:
+                delete(spark, f"{self.root}/base/{child}/{bucket}")
+            if of < kept[0] and len(unneeded) == len(buckets):
+                delete(spark, f"{self.root}/base/{child}")
+        for folder in ("buckets", "commits", "delta"):
             # The oldest kept base stays, and so does its commit, but not the delta in it.
             oldest = kept[0] + 1 if folder == "delta" else kept[0]
             for child in child_names(spark, f"{self.root}/{folder}"):

@@ -204,3 +204,59 @@ def test_vendor_as_part_of_the_key(spark, tmp_path):
         ("E101", "vendor_B", 75, at(10), None, True),
         ("E102", "vendor_A", 80, at(0), None, True),
     ]
+
+
+def many(numbers, minute):
+    return [reading(f"E{n:04d}", "vendor_A", 60 + minute, at(minute)) for n in numbers]
+
+
+def folders(df):
+    return {tuple(part for part in file.split("/") if part.startswith(("version=", "bucket="))) for file in df.inputFiles()}
+
+
+def test_a_batch_opens_the_buckets_of_its_keys(spark, tmp_path):
+    table = HistoryTable(str(tmp_path), compact_every=1, buckets=8)
+    table.fold(spark, frame(spark, many(range(200), 0)), 0, "s")
+    assert len(folders(table._base(spark, 0))) == 8
+    one = frame(spark, many([7], 1))
+    touched = table._touched(spark, one, 0, 0)
+    assert len(folders(touched)) == 1
+    assert [r.encounter_id for r in touched.collect()] == ["E0007"]
+
+
+def test_a_new_base_writes_touched_buckets_only(spark, tmp_path):
+    table = HistoryTable(str(tmp_path), compact_every=1, compact_share=0.0, buckets=8)
+    table.fold(spark, frame(spark, many(range(200), 0)), 0, "s")
+    for batch_id in (1, 2, 3):
+        table.fold(spark, frame(spark, many([7, 1000 + batch_id], batch_id)), batch_id, "s")
+        version, _ = table._state(spark)
+        assert version == batch_id
+        rewritten = [f for f in folders(table._base(spark, version)) if f[0] == f"version={batch_id}"]
+        assert 1 <= len(rewritten) <= 2
+    before = everything(table.history(spark))
+    assert table.current(spark).count() == 203 and len(before) == 206
+    table.vacuum(spark, keep=1)
+    assert everything(table.history(spark)) == before
+    table.fold(spark, frame(spark, many([7], 9)), 4, "s")
+    table.vacuum(spark, keep=3)
+    assert table.current(spark).where("heart_rate = 69").count() == 1
+
+
+def test_another_number_of_buckets_takes_effect_with_the_next_base(spark, tmp_path):
+    first = HistoryTable(str(tmp_path), compact_every=1, buckets=4)
+    first.fold(spark, frame(spark, many(range(50), 0)), 0, "s")
+    other = HistoryTable(str(tmp_path), compact_every=2, compact_share=0.0, buckets=7)
+    other.fold(spark, frame(spark, many([3, 90], 1)), 1, "s")
+    assert other.current(spark).count() == 51 and other._places(spark, other._state(spark)[0])[0] == 4
+    other.fold(spark, frame(spark, many([3], 2)), 2, "s")
+    version, _ = other._state(spark)
+    assert version == 2 and other._places(spark, version)[0] == 7
+    assert other.current(spark).count() == 51
+    assert {f[0] for f in folders(other._base(spark, version))} == {"version=2"}
+
+
+def test_a_base_without_rows(spark, tmp_path):
+    table = HistoryTable(str(tmp_path), compact_every=1, most_deltas=1)
+    table.fold(spark, frame(spark, []), 0, "s")
+    table.fold(spark, frame(spark, BATCHES[0]), 1, "s")
+    assert table.current(spark).count() == 2
