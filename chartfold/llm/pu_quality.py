@@ -32,7 +32,8 @@ from pyspark.sql import types as T
 
 from chartfold.llm.features import FIT_BYTES, Features, Model, descend, sigmoid
 from chartfold.llm.grams import slices, texts
-from chartfold.llm.text import table
+from chartfold.llm.sampling import texts_of
+from chartfold.llm.text import free_name, table
 
 SAMPLE_ROWS = 3000
 STEPS = 60
@@ -109,13 +110,9 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataF
     ids = docs.where(F.col("doc_id").isNotNull() & ~held_out("doc_id")).select("doc_id").distinct()
     trusted = labels.where("quality = 1").select("doc_id").distinct().join(ids, "doc_id")
 
-    def few(df: DataFrame, seed: int, positive: bool) -> DataFrame:
-        draw = F.xxhash64(F.lit(seed), "doc_id")
-        return df.select("doc_id", draw.alias("draw")).orderBy("draw", "doc_id").limit(rows).withColumn(
-            "positive", F.lit(positive))
-
-    chosen = few(trusted, 3, True).unionByName(few(ids, 33, False))
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("draw", "text", "positive")
+    sides = ((trusted, 3, True), (ids, 33, False))
+    made = [texts_of(docs, side.select("doc_id"), rows, seed).withColumn("positive", F.lit(mark)) for side, seed, mark in sides]
+    return made[0].unionByName(made[1]).select("draw", "text", "positive")
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> bytes | None:
@@ -153,7 +150,8 @@ def score(docs: DataFrame, model: bytes | None, name: str = "score") -> DataFram
 
 def accept(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that the classifier does not reject."""
-    kept = score(docs, train(docs, table(spark, sf_dir, "labels")), "__score").where("__score >= 0.5")
+    name = free_name("quality", docs.columns)
+    kept = score(docs, train(docs, table(spark, sf_dir, "labels")), name).where(F.col(name) >= 0.5)
     return kept.select(*docs.columns)
 
 

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from chartfold.llm.features import FIT_BYTES, Features, Model, descend, sigmoid
 from chartfold.llm.grams import slices, texts
+from chartfold.llm.sampling import texts_of
 from chartfold.llm.text import table
 
 SAMPLE_ROWS = 4000  # labelled rows to fit on, at most
@@ -72,8 +73,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     """(text, label) of at most `rows` labelled documents, chosen by hash of their id."""
     known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
         F.min("quality").cast("double").alias("label"))
-    few = known.withColumn("draw", F.xxhash64(F.lit(10), "doc_id")).orderBy("draw", "doc_id").limit(rows)
-    return docs.select("doc_id", "text").join(F.broadcast(few), "doc_id").select("draw", "text", "label")
+    return texts_of(docs, known, rows, 10).select("draw", "text", "label")
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> bytes | None:

@@ -30,6 +30,14 @@ def name_words(text: str | Column) -> Column:
     return F.array_remove(cut, "")
 
 
+def free_name(stem: str, columns: list[str]) -> str:
+    """A column name that none of the columns has, whatever their case."""
+    taken = {c.lower() for c in columns}
+    while stem.lower() in taken:
+        stem += "_"
+    return stem
+
+
 def spread(df, *columns: str):
     """Deals rows out by columns to as many partitions as a shuffle has, however small they
     are now, because each of them will become many."""

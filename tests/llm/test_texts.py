@@ -88,6 +88,23 @@ def test_held_out_labels_are_never_learned_from(spark):
     assert chosen.join(out.subtract(learned), "text").count() == 0
 
 
+def test_samples_are_bounded_whatever_one_id_holds(spark, monkeypatch):
+    from chartfold.llm import sampling
+
+    rows = [(7, f"hot row {i}") for i in range(1500)] + [(i, f"text {i} " * 20) for i in range(100, 400)]
+    rows += [(8, None), (9, "long " * 300_000), (10, "twice"), (10, "twice"), (None, "no id")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in (7, 8, 9, 10, *range(100, 200))], "doc_id long, quality int, toxic int")
+    assert quality_rules.labelled_sample(docs, labels, 60).count() in (59, 60)  # one of them may be too long
+    marks = [r.positive for r in pu_quality.sample(docs, labels, 40).collect()]
+    assert marks.count(True) <= 40 and marks.count(False) <= 40
+    every = sampling.texts_of(docs, docs.select("doc_id").distinct(), 10_000, 1).collect()
+    assert len(every) == 303 and "long" not in {(r.text or "")[:4] for r in every}
+    monkeypatch.setattr(sampling, "SAMPLE_BYTES", 5000)
+    few = sampling.texts_of(docs, docs.select("doc_id").distinct(), 10_000, 1).collect()
+    assert 5 < len(few) < 60 and sum(len(r.text or "") for r in few) <= 5000
+
+
 def test_odd_texts_are_scored(spark, corpus, odd_texts):
     labels = spark.createDataFrame([(d, int(d % 2)) for d, _ in odd_texts if d is not None], "doc_id long, quality int")
     docs = corpus(odd_texts)
