@@ -1,7 +1,8 @@
-"""Two measurements that one query cannot show; prints one JSON line each.
+"""Measurements that one query cannot show; prints one JSON line each.
 
 ``fold``: seconds per batch while the history grows. Every batch brings the same number of
 readings, half of them for keys the history knows, half for new ones.
+``lookup``: seconds per batch of a few random keys, over a small and a large history.
 ``landing``: files per second through one ingest batch of many small CSV files whose
 headers differ in order.
 """
@@ -50,6 +51,31 @@ def fold_growth(spark, sf_dir: str, batches: int = 25) -> dict:
     return {"rows_per_batch": count, "current_rows": current, "seconds": seconds}
 
 
+def lookup(spark, sf_dir: str, copies: tuple[int, ...] = (10, 50), keys: int = 100, buckets: int = 64) -> dict:
+    """The keys of a batch lie anywhere among all keys, so that their span spares nothing."""
+    rows = staged_vitals(spark, sf_dir)
+    path = fresh_folder(spark, "rows")
+    rows.write.parquet(path)
+    rows = spark.read.parquet(path)
+    found = {}
+    for times in copies:
+        copied = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(times))))
+        keyed = copied.withColumn("encounter_id", F.concat(F.lit("E"), F.monotonically_increasing_id())).drop("copy")
+        history = HistoryTable(fresh_folder(spark, "history"), compact_every=1, compact_share=0.5, buckets=buckets)
+        history.fold(spark, keyed, 0, "lookup")
+        known = history.current(spark).select("encounter_id").orderBy(F.xxhash64("encounter_id")).limit(keys).collect()
+        seconds = []
+        for number in range(1, 5):
+            some = [k.encounter_id for k in known[: keys if number % 2 else 1]]
+            batch = rows.limit(len(some)).withColumn("encounter_id", F.explode(F.array(*map(F.lit, some)))).withColumn(
+                "ingested_at", F.col("ingested_at") + F.make_dt_interval(F.lit(400 * number)))
+            started = time.perf_counter()
+            history.fold(spark, batch, number, "lookup")
+            seconds.append(round(time.perf_counter() - started, 2))
+        found[history.current(spark).count()] = {f"{keys}_keys": seconds[0::2], "one_key": seconds[1::2]}
+    return {"seconds_by_rows": found}
+
+
 def landing_rate(spark, sf_dir: str, files: int = 2000) -> dict:
     """The files are written in plain Python: their names and number are the point here."""
     rows = table(spark, sf_dir, "orders").limit(20).collect()
@@ -82,8 +108,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     spark = local_session(os.environ.get("BENCH_CPUS", "8"), "chartfold-growth")
     spark.sparkContext.setLogLevel("ERROR")
-    for name in sys.argv[1:] or ["fold", "landing"]:
-        measure = {"fold": fold_growth, "landing": landing_rate}[name]
+    for name in sys.argv[1:] or ["fold", "lookup", "landing"]:
+        measure = {"fold": fold_growth, "lookup": lookup, "landing": landing_rate}[name]
         print(json.dumps({"measurement": name, **measure(spark, sf_dir)}), flush=True)
     spark.stop()
 

@@ -16,7 +16,7 @@ from chartfold.session import hide_secrets
 from chartfold.sinks.quarantine import quarantine_files
 from chartfold.sinks.silver import write_silver_csv, write_silver_parquet
 from chartfold.sources.landing import Landing, list_files, read_landing
-from chartfold.storage import child_names, complete, delete, is_complete, qualified, write_once, write_work_table
+from chartfold.storage import child_names, claim, complete, delete, is_complete, qualified, write_once, write_work_table
 
 # Up to this many notified objects are looked up by name; beyond it, the folder is listed.
 # Both give the same table of files.
@@ -46,6 +46,10 @@ class Lake:
     def identity(self, batch_id: int) -> str:
         return f"{self.root}/batches/batch_id={batch_id}"
 
+    @property
+    def open_batch(self) -> str:
+        return f"{self.root}/batches/_open"
+
     def quarantine(self, batch_id: int) -> str:
         return f"{self.root}/quarantine/batch_id={batch_id}"
 
@@ -70,6 +74,17 @@ def _check_identity(
         complete(spark, path)
 
 
+def _claim(spark: SparkSession, lake: Lake, batch_id: int) -> None:
+    """Keeps a lake for one batch until its outcomes are written, so that no other batch takes
+    objects that it has begun to ingest. A claim that its batch did not give back does not count."""
+    owner = claim(spark, lake.open_batch, str(batch_id))
+    if owner != str(batch_id) and (not owner or is_complete(spark, lake.outcomes(int(owner)))):
+        delete(spark, lake.open_batch)
+        owner = claim(spark, lake.open_batch, str(batch_id))
+    if owner != str(batch_id):
+        raise RuntimeError(f"batch {owner} is not finished: it has to be repeated before batch {batch_id}")
+
+
 def _listing(spark: SparkSession, landing: Landing, keys: DataFrame | None) -> DataFrame:
     """Files of the batch; of notified objects only, if there are any."""
     if keys is None:
@@ -144,7 +159,7 @@ def ingest_batch(
     that is not there, or holds no bytes, fails. An object that another batch ingested in the
     same state is not ingested again: if it was notified, its outcome is the earlier one,
     marked ``redelivered``. A batch id belongs to its folder and its objects; another use of
-    it is an error.
+    it is an error, and so is a batch while another one is unfinished.
     The raw files are parsed once, into a work table; counts and both silver folders come
     from there. A repeated call picks up where a lost one stopped, and changes nothing
     once the outcomes are written. Silver and outcomes are written once: what a stream has
@@ -158,6 +173,8 @@ def ingest_batch(
     if is_complete(spark, done):
         delete(spark, work)
         return spark.read.parquet(done)
+    _claim(spark, lake, batch_id)
+    on_step("claim")
 
     def kept(name: str, make: Callable[[], DataFrame]) -> DataFrame:
         """The table a former attempt of this batch finished, or a new one."""
@@ -210,4 +227,5 @@ def ingest_batch(
 
     write_once(spark, done, lambda path: outcomes.write.mode("overwrite").parquet(path), on_step)
     delete(spark, work)
+    delete(spark, lake.open_batch)
     return spark.read.parquet(done)

@@ -6,6 +6,7 @@ import re
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -74,6 +75,22 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return exists(spark, f"{path}/_COMPLETE")
 
 
+def claim(spark: SparkSession, path: str, name: str) -> str:
+    """Creates a file that holds a name, unless there is one; returns the name it holds."""
+    hadoop_path, fs = _path(spark, path)
+    try:
+        out = fs.create(hadoop_path, False)
+    except Py4JJavaError:
+        held = fs.open(hadoop_path)
+        try:
+            return spark._jvm.org.apache.commons.io.IOUtils.toString(held, "UTF-8")
+        finally:
+            held.close()
+    out.write(bytearray(name.encode()))
+    out.close()
+    return name
+
+
 def _moved(spark: SparkSession, source: str, target: str) -> None:
     """Moves a finished file. A lost driver may have left both: then the target is whole."""
     hadoop_source, fs = _path(spark, source)

@@ -108,7 +108,7 @@ def test_a_driver_lost_after_any_step_stages_each_row_once(spark, tmp_path):
             break
         except Lost:
             seen.append(staged_so_far(spark, lake))
-    assert len(steps) == 19
+    assert len(steps) == 20
     assert seen[0] == [] and ["E1", "E2"] in seen  # the lanes come one after the other
     assert seen[-1] == staged_so_far(spark, lake) == ["E1", "E2", "E9"]
     assert sorted(r.status for r in outcomes.collect()) == ["failed", "success", "success"]
@@ -145,3 +145,29 @@ def test_a_driver_lost_between_two_moves_leaves_each_file_once(spark, tmp_path,
     write(rows, folder, 0, ENROLLMENT)
     assert staged_so_far(spark, lake) == sorted(f"E{i}" for i in range(40))
     assert not list((tmp_path / "lake" / "silver").rglob("_staged/batch_id=0"))
+
+
+def test_two_batches_over_one_object_write_it_once(spark, tmp_path):
+    landing = deliver(tmp_path / "landing", {"v__vitals__1__a.csv": HEADER + "E1,1,2026-06-01,3\n"})
+    lake = Lake(str(tmp_path / "lake"))
+    for kind in ("csv", "parquet"):
+        (tmp_path / "lake" / "silver" / kind).mkdir(parents=True)
+
+    def at(last):
+        def on_step(step):
+            if step.endswith(last):
+                raise Lost
+
+        return on_step
+
+    with pytest.raises(Lost):  # the rows are in silver, the ledger does not know it
+        ingest_batch(spark, landing, lake, 0, ENROLLMENT, "fixture-key", on_step=at("csv/batch_id=0 complete"))
+    with pytest.raises(RuntimeError, match="batch 0 is not finished"):
+        ingest_batch(spark, landing, lake, 1, ENROLLMENT, "fixture-key")
+    with pytest.raises(Lost):  # lost before it could give the lake back
+        ingest_batch(spark, landing, lake, 0, ENROLLMENT, "fixture-key", on_step=at("outcomes/batch_id=0 complete"))
+    named = spark.createDataFrame([("v__vitals__1__a.csv",)], "object_key string")
+    again = ingest_batch(spark, landing, lake, 2, ENROLLMENT, "fixture-key", named).collect()
+    assert [(r.status, r.redelivered) for r in again] == [("success", True)]
+    assert staged_so_far(spark, lake) == ["E1"]
+    assert not storage.exists(spark, lake.open_batch)
