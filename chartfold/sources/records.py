@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chartfold.functions.paths import scan_path
-from chartfold.storage import literal_path, write_work_table
+from chartfold.storage import is_complete, literal_path, write_work_table
 
 # Where a line lies: the block's first byte, its number within the block, its number within a CR line.
 POSITION = "struct<block: bigint, line: bigint, part: int>"
@@ -171,18 +171,21 @@ def cut_records(spark: SparkSession, small: list[str], bulk: list[str], work: st
     """Cuts files into records below ``work`` and returns it. ``small`` files are read whole."""
     lines = write_work_table(_lines(spark, small, bulk), f"{work}/lines")
     opening = write_work_table(lines.where("opens").select("file_path").distinct(), f"{work}/opening")
-    joined, ends = _joined_records(lines.join(opening, "file_path", "left_semi"))
-    write_work_table(joined, f"{work}/joined")
-    write_work_table(ends, f"{work}/ends")
+    if not opening.isEmpty():
+        joined, ends = _joined_records(lines.join(opening, "file_path", "left_semi"))
+        write_work_table(joined, f"{work}/joined")
+        write_work_table(ends, f"{work}/ends")
     return work
 
 
 def read_records(spark: SparkSession, work: str) -> DataFrame:
     """``file_path, at, text, is_text`` of all records, empty lines included."""
     lines = spark.read.parquet(f"{work}/lines")
-    plain = lines.join(spark.read.parquet(f"{work}/opening"), "file_path", "left_anti")
-    records = plain.select("file_path", "at", F.col("value").alias("text"), "is_text").unionByName(
-        spark.read.parquet(f"{work}/joined"))
+    if is_complete(spark, f"{work}/joined"):
+        lines = lines.join(spark.read.parquet(f"{work}/opening"), "file_path", "left_anti")
+    records = lines.select("file_path", "at", F.col("value").alias("text"), "is_text")
+    if is_complete(spark, f"{work}/joined"):
+        records = records.unionByName(spark.read.parquet(f"{work}/joined"))
     cut = F.when(F.endswith("text", F.lit("\r")), F.left("text", F.length("text") - 1)).otherwise(F.col("text"))
     return records.withColumn("text", cut)
 
@@ -195,4 +198,7 @@ def record_heads(spark: SparkSession, work: str) -> DataFrame:
         F.min_by("text", F.when(filled, F.col("at"))).alias("header_line"),
         F.min(F.when(filled, F.col("at"))).alias("header_at"),
         F.bool_and("is_text").alias("is_text"))
-    return heads.join(spark.read.parquet(f"{work}/ends"), "file_path", "left").withColumn("whole", F.lit(False))
+    heads = heads.withColumn("whole", F.lit(False))
+    if not is_complete(spark, f"{work}/ends"):
+        return heads.withColumn("is_open", F.lit(False))
+    return heads.join(spark.read.parquet(f"{work}/ends"), "file_path", "left")
