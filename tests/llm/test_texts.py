@@ -7,6 +7,7 @@ import re
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -183,6 +184,30 @@ def test_passages_equal_brute_force(spark, corpus, planted, block, monkeypatch):
     assert sum(r.doc_id == 302 for r in made) in (0, 2 * sum(d == 302 for d, _ in found))
 
 
+def edited(rng, words, edits, vocabulary):
+    words = list(words)
+    for _ in range(edits):
+        at = rng.randrange(len(words))
+        words[at:at + rng.choice([0, 1, 1])] = rng.choice([[rng.choice(vocabulary)], [rng.choice(vocabulary)], []])
+        words = words or [rng.choice(vocabulary)]
+    return words
+
+
+@pytest.mark.parametrize("n", [5, 15, 50, 150])
+def test_walks_keep_passages_at_the_limit_and_reject_other_words(n):
+    rng = random.Random(n)
+    vocabulary = [f"v{i}" for i in range(5000)]
+    item = [rng.choice(vocabulary) for _ in range(n)]
+    near = [edited(rng, item, n // 5, vocabulary) for _ in range(200)]
+    far = [[rng.choice(vocabulary) for _ in range(n)] for _ in range(200)]
+    items = decontamination.Items([1], *grams.texts(pa.array([" ".join(item)])))
+    for windows, low, high in ((near, 198, 200), (far, 0, 4)):
+        words = decontamination.words_of(*grams.texts(pa.array([" ".join(w) for w in windows])))
+        begin, end = words.first[:-1], words.first[1:]
+        passed = decontamination.agree(words, items, np.zeros(200, np.int64), begin, np.minimum(end, begin + n))
+        assert low <= passed.sum() <= high
+
+
 def test_no_documents_and_no_items(spark, corpus):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontamination.contaminated(corpus([(1, "a b c")]), none).count() == 0
