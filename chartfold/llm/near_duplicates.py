@@ -5,13 +5,16 @@ start, whose representative has its least id. Signatures of 128 hashes are bande
 share a band are candidates. A candidate pair is compared batch after batch of its signature:
 after n hashes of which m agree, the similarity has a Beta(m + 1, n - m + 1) posterior, and
 the pair is dropped once the probability of reaching the threshold falls below MISS. What
-survives is verified on the full sets. The pairs of BANDS x ROWS miss a pair at the threshold
-with a probability of 5e-5, the tests drop it with 1e-5 at most per batch.
+survives is verified on the full sets. Bands are as many as the threshold needs: a pair at it
+shares none with a probability of 2.6e-5 at 0.85 (18 bands) and 4.9e-5 at 0.8 (25, all that
+128 hashes give); the tests drop it with 1e-5 at most per batch.
 
 No bucket is expanded into pairs: links only matter until documents are connected. First
 every member of a bucket is compared with its least one. Then, where a bucket still holds
 several components, members of different components meet in tiles, are tested on signatures
-and verified within the task, and a tile gives only the links that join components.
+and verified within the task, and a tile gives only the links that join components. Members
+of a bucket's largest component meet those of others only, so that few strays among
+very many near copies cost one more sending of each copy.
 
 Defined cases: null and empty texts have an empty set, are linked with nothing and kept; a
 text of fewer words than a shingle has its whole sequence as its one shingle; a row without
@@ -22,7 +25,7 @@ empty result; other columns pass through `one_of_each`.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import lgamma
+from math import ceil, lgamma, log, log1p
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +38,9 @@ from chartfold.llm.text import table
 from chartfold.session import fresh_folder
 from chartfold.storage import write_work_table
 
-HASHES, BANDS, ROWS, BATCH = 128, 18, 5, 16
+HASHES, ROWS, BATCH = 128, 5, 16
 MISS = 1e-5
+UNBANDED = 2.7e-5  # probability aimed at that a pair at the threshold shares no band
 TILE = 512
 _draw = np.random.default_rng(77)
 FACTORS = _draw.integers(1, 1 << 63, HASHES, dtype=np.uint64) * U(2) + U(1)
@@ -68,7 +72,12 @@ def signatures(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
-def sets(docs: DataFrame, k: int = 3) -> DataFrame:
+def bands_for(threshold: float) -> int:
+    """How many bands of ROWS hashes a pair at the threshold needs, or all that there are."""
+    return min(HASHES // ROWS, ceil(log(UNBANDED) / log1p(-threshold ** ROWS))) if threshold < 1 else 1
+
+
+def sets(docs: DataFrame, k: int, n_bands: int) -> DataFrame:
     """One row per document: size of its set, two sums that name the set, signature and bands."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -78,11 +87,11 @@ def sets(docs: DataFrame, k: int = 3) -> DataFrame:
                 h, first = shingles(d, o, k)
                 n = np.diff(first)
                 signed = signatures(h, first)
-                cut = signed[:, :BANDS * ROWS].astype(U).reshape(-1, ROWS)
+                cut = signed[:, :n_bands * ROWS].astype(U).reshape(-1, ROWS)
                 band = window_hash(mixed(cut.ravel()), np.arange(len(cut)) * ROWS, np.arange(1, len(cut) + 1) * ROWS)
-                band = mixed(band.reshape(-1, BANDS) + np.arange(BANDS, dtype=U) * U(0x9E3779B97F4A7C15))
+                band = mixed(band.reshape(-1, n_bands) + np.arange(n_bands, dtype=U) * U(0x9E3779B97F4A7C15))
                 band = pa.array(band.astype(np.int64).ravel())
-                bands = pa.ListArray.from_arrays(pa.array(np.arange(j - i + 1, dtype=np.int32) * BANDS), band)
+                bands = pa.ListArray.from_arrays(pa.array(np.arange(j - i + 1, dtype=np.int32) * n_bands), band)
                 sums = [per_text(mixed(h + U(s)).astype(np.int64), first) for s in (0, 1)]
                 yield pa.RecordBatch.from_arrays([
                     batch.column("doc_id").slice(i, j - i).cast(pa.int64()), pa.array(n.astype(np.int64)),
@@ -135,6 +144,30 @@ def prune(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
     return pairs.join(ends[0], "a").join(ends[1], "b").select("a", "b", "sig_a", "sig_b").mapInArrow(task, "a long, b long")
 
 
+def tiled(buckets: DataFrame, parts: DataFrame) -> DataFrame:
+    """(band, low, high, own, doc_id, component): the tiles in which the members of open buckets meet.
+
+    Tiles are numbered, first those of members outside the bucket's largest component, which
+    meet all tiles, then those of its largest, which meet the others only.
+    """
+    named = buckets.join(parts.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn(
+        "component", F.coalesce("component", "doc_id"))
+    counted = named.groupBy("band", "component").agg(F.count("*").alias("n"))
+    apart = counted.groupBy("band").agg(
+        F.count("*").alias("components"), F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("largest"))
+    apart = apart.where("components > 1").select(
+        "band", F.col("largest.component").alias("largest"),
+        F.ceil((F.col("n") - F.col("largest.n")) / TILE).cast("int").alias("few"),
+        F.ceil(F.col("largest.n") / TILE).cast("int").alias("many"))
+    largest, draw = F.col("component") == F.col("largest"), F.xxhash64("doc_id")
+    own = F.when(largest, F.col("few") + F.pmod(draw, F.col("many"))).otherwise(F.pmod(draw, F.col("few")))
+    meets = F.when(largest, F.col("few")).otherwise(F.col("few") + F.col("many"))
+    members = named.join(apart, "band").withColumns({"own": own.cast("int"), "meets": meets})
+    members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("meets") - 1)))
+    return members.select("band", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
+                          "own", "doc_id", "component")
+
+
 def cross(buckets: DataFrame, classes: DataFrame, known: DataFrame, parts: DataFrame, k: int,
           percent: int) -> DataFrame:
     """Verified links (a, b) between components that still share a bucket.
@@ -145,21 +178,14 @@ def cross(buckets: DataFrame, classes: DataFrame, known: DataFrame, parts: DataF
     joins: pairs are never rows.
     """
     least = least_matches(percent / 100)
-    named = buckets.join(parts.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn(
-        "component", F.coalesce("component", "doc_id"))
-    apart = named.groupBy("band").agg(F.count("*").alias("n"), F.min("component").alias("low"),
-                                      F.max("component").alias("high")).where("low < high")
-    apart = apart.select("band", F.ceil(F.col("n") / TILE).cast("int").alias("tiles"))
-    members = named.join(apart, "band").withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("tiles")).cast("int"))
-    members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    members = members.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
+    members = tiled(buckets, parts)
     members = members.join(classes.select("doc_id", "signature", "bands"), "doc_id").join(known, "doc_id").select(
         "band", "low", "high", "own", "doc_id", "component", "signature", "bands", "text")
 
     def tile(rows: pa.Table) -> pa.Table:
         own, low, high = (rows[c].to_numpy() for c in ("own", "low", "high"))
         ids, part, sig = rows["doc_id"].to_numpy(), rows["component"].to_numpy(), signed(rows["signature"])
-        bands = np.array(rows["bands"].to_pylist(), np.int64).reshape(-1, BANDS)
+        bands = np.array(rows["bands"].to_pylist(), np.int64).reshape(len(rows), -1)
         here = (bands == rows["band"].to_numpy()[:, None]).argmax(axis=1)
         lefts, rights = np.flatnonzero(own == low), np.flatnonzero(own == high)
         a, b, sure = [], [], []
@@ -241,7 +267,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     def written(df: DataFrame, name: str) -> DataFrame:
         return write_work_table(df, fresh_folder(spark, f"near-{name}"))
 
-    every = written(sets(docs, k), "sets")
+    every = written(sets(docs, k, bands_for(threshold)), "sets")
     own = ["n_shingles", "set_a", "set_b"]
     filled = every.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = written(filled.groupBy(*own).agg(

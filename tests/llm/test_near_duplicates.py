@@ -64,6 +64,26 @@ def test_tiles_find_what_stars_miss(spark, corpus, monkeypatch):
     assert made == brute(rows, 3, 85)
 
 
+def test_few_strays_cost_one_sending_of_a_large_component(spark, monkeypatch):
+    monkeypatch.setattr(near, "TILE", 8)
+    copies, strays = range(1, 801), range(1000, 1003)
+    buckets = spark.createDataFrame([(7, d, 1) for d in (*copies, *strays)], "band long, doc_id long, least long")
+    parts = spark.createDataFrame([(d, 1) for d in copies], "id long, component long")
+    rows = near.tiled(buckets, parts).collect()
+    assert len(rows) == 800 + 3 * 101
+    met = {}
+    for r in rows:
+        met.setdefault((r.low, r.high), []).append(r)
+    pairs = [(min(a.doc_id, b.doc_id), max(a.doc_id, b.doc_id)) for m in met.values() for a in m for b in m
+             if a.own == a.low and b.own == b.high and a.component != b.component and (a.low < a.high or a.doc_id < b.doc_id)]
+    assert len(pairs) == len(set(pairs)) == 3 * 800 + 3
+
+
+def test_bands_follow_the_threshold():
+    for threshold, bands in ((0.85, 18), (0.8, 25)):
+        assert near.bands_for(threshold) == bands and (1 - threshold ** near.ROWS) ** bands < 5e-5
+
+
 def test_sizes_of_sets(spark, corpus):
     made = near.near_duplicates(corpus([(1, "a b a b a"), (2, "A b"), (3, None), (4, "")]), 3, 85).collect()
     assert {r.doc_id: r.n_shingles for r in made} == {1: 2, 2: 1, 3: 0, 4: 0}
