@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from chartfold.llm.grams import U, Words, mixed
-from chartfold.llm.repeats import Judge, Kind, judged
+from chartfold.llm.repeats import Judge, Kind, by_place, judged
 from chartfold.llm.text import table
 
 WINDOW = 20
@@ -99,7 +99,6 @@ def digest(judge: Judge) -> pa.Table:
 
 def remove(docs: DataFrame) -> DataFrame:
     """docs with repeated words taken out of `text`; untouched texts stay as they are."""
-    schema = docs.schema
 
     def finish(judge: Judge) -> pa.Table:
         rows = judge.chunk.rows
@@ -107,7 +106,8 @@ def remove(docs: DataFrame) -> DataFrame:
         new = [old[row] if len(left) == len(raw) else b" ".join(left).decode() for row, raw, left in kept_words(judge)]
         return rows.set_column(rows.schema.get_field_index("text"), "text", pa.array(new, pa.string()))
 
-    return judged(docs, WORDS, finish, schema)
+    named = by_place(docs)
+    return judged(named, WORDS, finish, named.schema).toDF(*docs.columns)
 
 
 def op5_recompression(spark, sf_dir: str) -> DataFrame:

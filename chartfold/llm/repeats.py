@@ -331,6 +331,11 @@ def even_splitters(ranges: int) -> np.ndarray:
     return (np.arange(1, ranges, dtype=object) * (1 << 64) // ranges).astype(U)
 
 
+def by_place(docs: DataFrame) -> DataFrame:
+    """docs with its columns but id and text named by their places, so that no name is in the way."""
+    return docs.toDF(*(c if c in ("doc_id", "text") else f"_{i}" for i, c in enumerate(docs.columns)))
+
+
 def judged(docs: DataFrame, kind: Kind, finish: Callable[[Judge], pa.Table], schema: str,
            splitters: Callable[[int], np.ndarray] = even_splitters) -> DataFrame:
     """Runs the passes over docs (doc_id, text, others) and gives finish(judge) of each chunk.

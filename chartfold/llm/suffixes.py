@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chartfold.llm.grams import BYTE_VALUES, U, texts, window_hash
-from chartfold.llm.repeats import Judge, Kind, Records, even_splitters, judged, records
+from chartfold.llm.repeats import Judge, Kind, Records, by_place, even_splitters, judged, records
 from chartfold.llm.text import table
 
 WINDOW = 50
@@ -110,7 +110,8 @@ def remove(docs: DataFrame) -> DataFrame:
                     new[row] = raw[~cut].tobytes().decode("utf-8", "ignore")
         return rows.set_column(rows.schema.get_field_index("text"), "text", pa.array(new, pa.string()))
 
-    return judged(docs, BYTES, finish, docs.schema, sampled_splitters(docs))
+    named = by_place(docs)
+    return judged(named, BYTES, finish, named.schema, sampled_splitters(docs)).toDF(*docs.columns)
 
 
 def op8_suffix_array(spark, sf_dir: str) -> DataFrame:

@@ -154,3 +154,15 @@ def test_words_equal_sql(spark):
 def test_empty_table(spark, corpus):
     for module in (recompression, suffixes):
         assert module.remove(corpus([])).count() == 0
+
+
+@pytest.mark.parametrize("module", [recompression, suffixes])
+def test_columns_may_have_any_names(spark, module):
+    passage = " ".join(f"w{i}" for i in range(40))
+    docs = spark.createDataFrame([(1, passage, 5, "a", "b"), (2, f"new {passage}", 6, "c", "d"), (None, passage, 7, "e", "f")],
+                                 "doc_id long, text string, __chunk int, __SIZE string, _1 string")
+    left = module.remove(docs)
+    assert left.columns == docs.columns
+    rows = {r["__chunk"]: (r["__SIZE"], r["_1"], r.text) for r in left.collect()}
+    assert rows[5] == ("a", "b", passage) and rows[7] == ("e", "f", passage)
+    assert rows[6][:2] == ("c", "d") and rows[6][2].strip() == "new"
