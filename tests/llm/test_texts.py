@@ -193,7 +193,7 @@ def edited(rng, words, edits, vocabulary):
     return words
 
 
-@pytest.mark.parametrize("n", [5, 15, 50, 150])
+@pytest.mark.parametrize("n", [5, 15, 50, 100, 150])
 def test_walks_keep_passages_at_the_limit_and_reject_other_words(n):
     rng = random.Random(n)
     vocabulary = [f"v{i}" for i in range(5000)]
@@ -201,7 +201,8 @@ def test_walks_keep_passages_at_the_limit_and_reject_other_words(n):
     near = [edited(rng, item, n // 5, vocabulary) for _ in range(200)]
     far = [[rng.choice(vocabulary) for _ in range(n)] for _ in range(200)]
     items = decontamination.Items([1], *grams.texts(pa.array([" ".join(item)])))
-    for windows, low, high in ((near, 198, 200), (far, 0, 4)):
+    grams3 = [(item[a:a + 3] * n)[:n] for a in range(n - 2) for _ in range(200)][::n - 2]
+    for windows, low, high in ((near, 198, 200), (far, 0, 2), (grams3, 0, 10 if n == 50 else 200)):
         words = decontamination.words_of(*grams.texts(pa.array([" ".join(w) for w in windows])))
         begin, end = words.first[:-1], words.first[1:]
         passed = decontamination.agree(words, items, np.zeros(200, np.int64), begin, np.minimum(end, begin + n))
