@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -105,30 +107,41 @@ def scd2_rebuild(
     return ended.select(*version_columns(contract, F.col("_ended")))
 
 
-def chain_every_arrival(
-    staging: DataFrame, slot: str = "hour", contract: Contract = VITALS
-) -> DataFrame:
+# A slot of times, in bits of microseconds: about 66 ms, 72 minutes and 9 years.
+SLOT_BITS = (16, 32, 48)
+
+
+def _with_next(rows: DataFrame, keys: list[str], slot_bits: tuple[int, ...] = SLOT_BITS) -> DataFrame:
+    """Rows of distinct (keys, ingested_at) with the next such time of their keys, ``_next``.
+
+    A window spans one slot of a key. For the last row of a slot the next time is the
+    beginning of the key's next slot, which is found the same way in coarser slots.
+    """
+    if not slot_bits:
+        later = Window.partitionBy(*keys).orderBy("ingested_at")
+        return rows.withColumn("_next", F.lead("ingested_at").over(later))
+    slot, bits = f"_slot{slot_bits[0]}", slot_bits[0]
+    slotted = rows.withColumn(slot, F.shiftright(F.unix_micros(F.col("ingested_at").cast("timestamp")), bits))
+    inside = Window.partitionBy(*keys, slot).orderBy("ingested_at")
+    linked = slotted.withColumn("_inside", F.lead("ingested_at").over(inside))
+    starts = slotted.groupBy(*keys, slot).agg(F.min("ingested_at").alias("ingested_at"))
+    following = _with_next(starts, keys, slot_bits[1:]).select(
+        *[F.col(c).alias(f"_of_{c}") for c in [*keys, slot]], F.col("_next").alias("_outside")
+    )
+    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in [*keys, slot]]
+    chained = linked.join(following, reduce(Column.__and__, same), "left")
+    return chained.select(*rows.columns, F.coalesce("_inside", "_outside").alias("_next"))
+
+
+def chain_every_arrival(staging: DataFrame, contract: Contract = VITALS) -> DataFrame:
     """History in which every arrival opens a version, so that batch cuts do not matter.
 
-    Nothing bounds the arrivals of a key, so the end of a version is looked up in two
-    steps: within one time slot of a key, and, for the last one of a slot, from the start
-    of the key's next slot. The second step sees one row per key and slot.
+    Nothing bounds the arrivals of a key, but those of one slot of time are bounded: no window
+    and no group of the joins has more than 65,536 rows, however hot a key or an hour is.
     """
     keys = list(contract.key)
-    slotted = staging.withColumn("_slot", F.date_trunc(slot, "ingested_at"))
-    distinct = dedup_latest(slotted, [*keys, "ingested_at"])
-    inside = Window.partitionBy(*keys, "_slot").orderBy("ingested_at")
-    linked = distinct.withColumn("_next", F.lead("ingested_at").over(inside))
-    across = Window.partitionBy(*keys).orderBy("_slot")
-    starts = slotted.groupBy(*keys, "_slot").agg(F.min("ingested_at").alias("_start"))
-    following = starts.select(
-        *[F.col(k).alias(f"_key_{k}") for k in keys],
-        F.col("_slot").alias("_key__slot"),
-        F.lead("_start").over(across).alias("_next_slot"),
-    )
-    same = [F.col(c) == F.col(f"_key_{c}") for c in [*keys, "_slot"]]
-    chained = linked.join(following, same, "left")
-    return chained.select(*version_columns(contract, F.coalesce("_next", "_next_slot")))
+    distinct = dedup_latest(staging, [*keys, "ingested_at"])
+    return _with_next(distinct, keys).select(*version_columns(contract, F.col("_next")))
 
 
 def current_state(history: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chartfold.contracts import VITALS
-from chartfold.operators.history import dedup_latest, scd2_delta_rows, scd2_rebuild
+from chartfold.operators.history import chain_every_arrival, dedup_latest, scd2_delta_rows, scd2_rebuild
 from chartfold.plans.views import day_batch, staged_vitals
 from chartfold.streaming.fold import HistoryTable
 
@@ -260,3 +260,35 @@ def test_a_base_without_rows(spark, tmp_path):
     table.fold(spark, frame(spark, []), 0, "s")
     table.fold(spark, frame(spark, BATCHES[0]), 1, "s")
     assert table.current(spark).count() == 2
+
+
+def test_chain_of_a_hot_key_spreads_over_tasks(spark):
+    """One key with 40,000 arrivals within 20 minutes, others that lie years apart, and ties."""
+    micros = F.when(F.col("id") < 40_000, F.col("id") * 30_011).otherwise(F.col("id") * 123_456_789_012 - (1 << 52))
+    arrivals = spark.range(50_000).select(
+        F.when(F.col("id") < 40_000, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 700)).alias("encounter_id"),
+        F.timestamp_micros(micros).cast("timestamp_ntz").alias("ingested_at"))
+    rows = arrivals.select(*[
+        F.col(f.name) if f.name in arrivals.columns else F.lit("1").cast(f.dataType).alias(f.name)
+        for f in VITALS.staging_schema()])
+    made = chain_every_arrival(rows.unionByName(rows.where("ingested_at > '1970-01-01'").limit(500)))
+    kept = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = made.withColumn("task", F.spark_partition_id()).toPandas()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", kept)
+    found = found.sort_values(["encounter_id", "start_time"])
+    expected = found.groupby("encounter_id")["start_time"].shift(-1)
+    assert len(found) == 50_000 and found["end_time"].equals(expected.rename("end_time"))
+    assert (found["is_current"] == expected.isna()).all() and found["is_current"].sum() == 701
+    hot = found[found["encounter_id"] == "hot"].groupby("task").size()
+    assert len(hot) == int(spark.conf.get("spark.sql.shuffle.partitions")) and hot.max() < 2 * hot.min()
+
+
+def test_chain_takes_rows_without_key_as_one_key(spark):
+    rows = [reading(None, "v", 1, at(m)) for m in (0, 59)] + [reading("E", "v", 1, at(5))]
+    ends = {(r.encounter_id, r.start_time): r.end_time for r in chain_every_arrival(
+        spark.createDataFrame(rows, "encounter_id string, hashed_patient_id string, heart_rate int, blood_pressure string, "
+                              "temperature double, source_vendor string, lineage_file_uuid string, ingested_at timestamp_ntz")).collect()}
+    assert ends == {(None, at(0)): at(59), (None, at(59)): None, ("E", at(5)): None}
