@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from chartfold.contracts import ENROLLMENT, VITALS
 from chartfold.functions.paths import object_name
 from chartfold.operators.cleaning import clean_rows
+from chartfold.operators.history import scd2_rebuild
 from chartfold.operators.quality import reject_empty_files, survivor_count
 from chartfold.operators.routing import flatten_notifications, route_files
 from chartfold.plans.ingest import Lake, ingest_batch
@@ -422,8 +423,8 @@ def q_staging_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def q_stream_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same history from streams: each slice arrives as silver files, is staged and folded."""
+def _streamed(spark: SparkSession, sf_dir: str) -> tuple[HistoryTable, str]:
+    """Each slice arrives as silver files, is staged and folded: the history and the staging folder."""
     lake = fresh_folder(spark, "lake")
     rows = staged_vitals(spark, sf_dir)
     history = HistoryTable(f"{lake}/history")
@@ -432,7 +433,18 @@ def q_stream_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
         silver = stream_silver_parquet(spark, f"{lake}/silver", VITALS, rows.schema)
         append_staging(silver, f"{lake}/staging", f"{lake}/staging-checkpoint", VITALS).awaitTermination()
         fold_new_rows(spark, f"{lake}/staging", history, f"{lake}/fold-checkpoint").awaitTermination()
-    return history.history(spark)
+    return history, f"{lake}/staging"
+
+
+def q_stream_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same history from streams."""
+    return _streamed(spark, sf_dir)[0].history(spark)
+
+
+def q_rebuild_from_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history of these streams once more, from staging alone and the fold's own cuts."""
+    history, staging = _streamed(spark, sf_dir)
+    return scd2_rebuild(history.folded_staging(spark, staging), "batch_id")
 
 
 def q_read_current(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -466,6 +478,7 @@ QUERIES = {
     "merge_lanes": q_merge_lanes,
     "scd2_apply": q_scd2_apply,
     "stream_fold": q_stream_fold,
+    "rebuild_from_staging": q_rebuild_from_staging,
     "fold_every_arrival": q_fold_every_arrival,
     "replayed_batches": q_replayed_batches,
     "late_rows": q_late_rows,

@@ -196,6 +196,7 @@ SELECT count(*) AS rows_seen, count(*) FILTER (WHERE {_GOOD_ROW}) AS rows_writte
     "stream_notifications": _ROUTES,
     "scd2_apply": f"WITH {_CUTS}, {_SLICED} SELECT * FROM history",
     "stream_fold": f"WITH {_CUTS}, {_SLICED} SELECT * FROM history",
+    "rebuild_from_staging": f"WITH {_CUTS}, {_SLICED} SELECT * FROM history",
     "replayed_batches": f"WITH {_CUTS}, {_SLICED} SELECT * FROM history",
     "late_rows": f"""
 WITH {_CUTS}, {_SLICED}

@@ -6,6 +6,7 @@ Below the root of a history table::
     base/version=N/bucket=B      active versions after batch N of the keys that hash to B
     buckets/version=N            which version of base holds which bucket as of base N
     settled/version=N/kind=…     closed and late rows of the deltas that base N replaces
+    cuts/batch_id=N              staging files whose rows batch N took
     unusable/batch_id=N          rows without key or load time
     commits/batch_id=N           written last; what it does not name does not count
 
@@ -35,7 +36,7 @@ from chartfold.operators.history import (
 )
 from chartfold.sinks.history import history_layout
 from chartfold.storage import child_names, complete, delete, is_complete, write_work_table
-from chartfold.streaming.staging import staging_changes
+from chartfold.streaming.staging import STAGED_IN, read_staging, staged_in, staging_changes
 
 _BUCKETS = "bucket int, version bigint, modulus int"
 _COMMIT = "stream_id string, base_version bigint, base_rows bigint, delta_rows bigint"
@@ -154,8 +155,23 @@ class HistoryTable:
         """Rows that were older than the active version of their key when they came."""
         return self._ended(spark, "late")
 
+    def folded_staging(self, spark: SparkSession, staging: str) -> DataFrame:
+        """Usable staging rows that committed batches took, each with the ``batch_id`` of its batch.
+
+        With it, ``scd2_rebuild`` cuts the log as the fold did, whatever the size of its batches.
+        """
+        rows = read_staging(spark, staging, self.contract, staged_in()).where(self._usable())
+        if not child_names(spark, f"{self.root}/cuts"):
+            return rows.where("false").drop(STAGED_IN).withColumn("batch_id", F.lit(None).cast("bigint"))
+        cuts = spark.read.schema(f"{STAGED_IN} string, batch_id bigint").parquet(f"{self.root}/cuts")
+        _, upto = self._state(spark)
+        return rows.join(cuts.where(F.col("batch_id") <= upto), STAGED_IN).drop(STAGED_IN)
+
     # Folding
 
+    def _usable(self) -> Column:
+        return reduce(Column.__and__, [F.col(c).isNotNull() for c in [*self.contract.key, "ingested_at"]])
+
     def _check(self, spark: SparkSession, batch_id: int, stream_id: str) -> Row | None:
         """Commit to fold onto, or None if the batch is committed already."""
         commit = self._commit(spark, batch_id)
@@ -248,7 +264,10 @@ class HistoryTable:
         keys = list(self.contract.key)
         schema = self.contract.staging_schema()
         rows = batch.select(*schema.names)
-        usable = reduce(Column.__and__, [F.col(c).isNotNull() for c in [*keys, "ingested_at"]])
+        usable = self._usable()
+        if STAGED_IN in batch.columns:
+            files = batch.select(STAGED_IN).distinct().coalesce(1)
+            files.write.mode("overwrite").parquet(f"{self.root}/cuts/batch_id={batch_id}")
         rows.where(~usable).write.mode("overwrite").parquet(
             f"{self.root}/unusable/batch_id={batch_id}"
         )

@@ -11,6 +11,8 @@ from chartfold.contracts import Contract
 from chartfold.operators.cleaning import typed_columns
 from chartfold.sources.silver import silver_csv_rows
 
+STAGED_IN = "staged_in"
+
 
 def stream_silver_csv(
     spark: SparkSession, folder: str, contract: Contract, max_files: int = 10_000
@@ -52,6 +54,11 @@ def merge_lanes(*lanes: DataFrame) -> DataFrame:
     return merged
 
 
+def staged_in() -> Column:
+    """The staging file of a row: files are never changed, and one batch of a stream takes all of one."""
+    return F.col("_metadata.file_path").alias(STAGED_IN)
+
+
 def load_time() -> Column:
     """Start of the micro-batch, in UTC. Spark logs it, so a repeated batch has the same."""
     return F.convert_timezone(None, F.lit("UTC"), F.localtimestamp())
@@ -90,9 +97,9 @@ def _stored_schema(contract: Contract) -> T.StructType:
     )
 
 
-def read_staging(spark: SparkSession, staging: str, contract: Contract) -> DataFrame:
+def read_staging(spark: SparkSession, staging: str, contract: Contract, *more: Column) -> DataFrame:
     rows = spark.read.schema(_stored_schema(contract)).parquet(staging).where("not rejected")
-    return rows.select(*contract.silver_columns, "ingested_at")
+    return rows.select(*contract.silver_columns, "ingested_at", *more)
 
 
 def read_staging_rejects(spark: SparkSession, staging: str, contract: Contract) -> DataFrame:
@@ -102,11 +109,12 @@ def read_staging_rejects(spark: SparkSession, staging: str, contract: Contract)
 def staging_changes(
     spark: SparkSession, staging: str, contract: Contract, max_files: int = 10_000
 ) -> DataFrame:
-    """Appends to staging since the last one a query consumed; its checkpoint remembers."""
+    """Appends to staging since the last one a query consumed, each row with its file; the
+    checkpoint of the query remembers."""
     rows = (
         spark.readStream.schema(_stored_schema(contract))
         .option("maxFilesPerTrigger", max_files)
         .parquet(staging)
         .where("not rejected")
     )
-    return rows.select(*contract.silver_columns, "ingested_at")
+    return rows.select(*contract.silver_columns, "ingested_at", staged_in())

@@ -5,10 +5,13 @@ from __future__ import annotations
 import contextlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from chartfold import storage
-from chartfold.contracts import ENROLLMENT
+from chartfold.contracts import ENROLLMENT, VITALS
+from chartfold.operators.history import scd2_rebuild
 from chartfold.plans.ingest import Lake, ingest_batch
+from chartfold.plans.views import staged_vitals
 from chartfold.sinks.silver import write_silver_csv, write_silver_parquet
 from chartfold.sources.landing import Landing
 from chartfold.streaming.fold import HistoryTable, fold_new_rows
@@ -171,3 +174,24 @@ def test_two_batches_over_one_object_write_it_once(spark, tmp_path):
     assert [(r.status, r.redelivered) for r in again] == [("success", True)]
     assert staged_so_far(spark, lake) == ["E1"]
     assert not storage.exists(spark, lake.open_batch)
+
+
+@pytest.mark.parametrize("max_files", [1, 3, 10_000])
+def test_a_rebuild_from_staging_cuts_the_log_as_the_fold_did(spark, tmp_path, max_files):
+    silver, staging = str(tmp_path / "silver"), str(tmp_path / "staging")
+    history = HistoryTable(str(tmp_path / "history"), compact_every=2)
+    rows = staged_vitals(spark, "/root/testdata/sf0.001").limit(600).withColumn(
+        "encounter_id", F.when(F.col("heart_rate") % 50 != 0, F.concat(F.lit("E"), F.col("heart_rate") % 7)))
+    for number in range(2):
+        part = rows.where(F.pmod(F.xxhash64("ingested_at"), F.lit(2)) == number)
+        part.repartition(2).write.parquet(f"{silver}/batch_id={number}")
+        stream = stream_silver_parquet(spark, silver, VITALS, rows.schema)
+        append_staging(stream, staging, str(tmp_path / "c1"), VITALS).awaitTermination()
+        fold_new_rows(spark, staging, history, str(tmp_path / "c2"), max_files).awaitTermination()
+    batches = history.committed_batches(spark)
+    assert len(batches) > 2 if max_files == 1 else len(batches) >= 2
+    staged = history.folded_staging(spark, staging)
+    assert sorted(r.batch_id for r in staged.select("batch_id").distinct().collect()) == batches
+    rebuilt = scd2_rebuild(staged, "batch_id")
+    assert rebuilt.count() > 0 and history.late(spark).count() > 0
+    assert sorted(map(repr, rebuilt.collect())) == sorted(map(repr, history.history(spark).collect()))
