@@ -306,3 +306,29 @@ def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
 
 def op7_minhash_bayes(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
+
+
+ORACLE = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(words[i:i + 2], ' ') AS shingle
+  FROM (SELECT doc_id, words, unnest(generate_series(1, greatest(len(words) - 2, 1))) AS i
+        FROM w WHERE len(words) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+  FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT x, y FROM shared JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y
+  WHERE 100 * c >= 85 * (p.n + q.n - c)),
+edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (
+  SELECT x AS doc_id, y AS other FROM edges
+  UNION SELECT r.doc_id, e.y FROM reach r JOIN edges e ON e.x = r.other),
+least_one AS (SELECT doc_id, min(other) AS other FROM reach GROUP BY doc_id)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, least(w.doc_id, coalesce(l.other, w.doc_id)) AS component_id,
+  w.doc_id <= coalesce(l.other, w.doc_id) AS kept
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN least_one l ON l.doc_id = w.doc_id
+"""

@@ -2,7 +2,15 @@
 
 from __future__ import annotations
 
-from chartfold.llm import chat_format, fixity, hard_negatives, prefix_trie, recompression
+from chartfold.llm import (
+    chat_format,
+    fixity,
+    hard_negatives,
+    near_duplicates,
+    prefix_trie,
+    recompression,
+    suffixes,
+)
 from chartfold.llm.chat_format import op13_chat_format
 from chartfold.llm.decontamination import op9_decontamination
 from chartfold.llm.fixity import op4_merkle_audit
@@ -35,6 +43,8 @@ QUERIES = {
 ORACLES = {
     "op4_merkle_audit": fixity.ORACLE,
     "op5_recompression": recompression.ORACLE,
+    "op7_minhash_bayes": near_duplicates.ORACLE,
+    "op8_suffix_array": suffixes.ORACLE,
     "op11_hard_negatives": hard_negatives.ORACLE,
     "op12_prefix_trie": prefix_trie.ORACLE,
     "op13_chat_format": chat_format.ORACLE,

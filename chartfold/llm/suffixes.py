@@ -119,3 +119,31 @@ def op8_suffix_array(spark, sf_dir: str) -> DataFrame:
     return judged(docs, BYTES, digest,
                   "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string",
                   sampled_splitters(docs))
+
+
+ORACLE = r"""
+WITH b AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, length(x) // 2 AS n FROM documents),
+pieces AS (
+  SELECT doc_id, n, p, substr(x, 2000 * p + 1, 2098) AS x
+  FROM (SELECT doc_id, x, n, unnest(generate_series(0, n // 1000)) AS p FROM b)),
+places AS (
+  SELECT doc_id, 1000 * p + i AS i, substr(x, 2 * i - 1, 2) AS byte,
+    CASE WHEN 1000 * p + i + 49 <= n THEN substr(x, 2 * i - 1, 100) END AS h
+  FROM (SELECT *, unnest(generate_series(1, least(1000, n - 1000 * p))) AS i FROM pieces)),
+marked AS (
+  SELECT doc_id, i, byte, h IS NOT NULL AND min(doc_id) OVER (PARTITION BY h) < doc_id AS seen FROM places),
+covered AS (
+  SELECT doc_id, i, byte,
+    coalesce(i - max(CASE WHEN seen THEN i END) OVER (PARTITION BY doc_id ORDER BY i) < 50, false) AS gone
+  FROM marked),
+runs AS (
+  SELECT *, gone AND NOT lag(gone, 1, false) OVER (PARTITION BY doc_id ORDER BY i) AS first_one FROM covered),
+summed AS (
+  SELECT doc_id, count(*) FILTER (WHERE gone) AS n_removed, count(*) FILTER (WHERE first_one) AS n_spans,
+    string_agg(byte, '' ORDER BY i) FILTER (WHERE NOT gone) AS kept
+  FROM runs GROUP BY doc_id)
+SELECT b.doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM b LEFT JOIN summed s ON s.doc_id = b.doc_id
+"""

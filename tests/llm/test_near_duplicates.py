@@ -6,6 +6,7 @@ import numpy as np
 
 from chartfold.llm import near_duplicates as near
 from chartfold.llm.components import components
+from oracle import compare, connect
 
 
 def brute(rows, k, percent):
@@ -115,3 +116,8 @@ def test_components_of_chains_and_stars(spark):
     made = {r.id: r.component for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert all(made[i] == 0 for i in range(61)) and all(made[100 + i] == 100 for i in range(30))
     assert made[130] == made[99] == 99
+
+
+def test_op7_equals_its_sql(spark):
+    sf = "/root/testdata/sf0.001"
+    assert compare(near.op7_minhash_bayes(spark, sf), near.ORACLE, connect(sf)) == 200

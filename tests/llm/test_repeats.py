@@ -146,9 +146,10 @@ def test_rows_without_id_and_of_one_id_are_dealt_out(spark, corpus, monkeypatch)
     assert len(set(few.tolist())) == 7
 
 
-def test_words_equal_sql(spark):
+def test_words_and_bytes_equal_sql(spark):
     sf = "/root/testdata/sf0.001"
     assert compare(recompression.op5_recompression(spark, sf), recompression.ORACLE, connect(sf)) == 200
+    assert compare(suffixes.op8_suffix_array(spark, sf), suffixes.ORACLE, connect(sf)) == 200
 
 
 def test_empty_table(spark, corpus):
