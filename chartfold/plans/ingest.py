@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 from chartfold.contracts import Contract
 from chartfold.operators.cleaning import clean_rows
 from chartfold.operators.quality import HEADER_CONTRACT, MALFORMED, MISSING, verdict
+from chartfold.plans.ledger import STATE, Ledger
 from chartfold.session import hide_secrets
 from chartfold.sinks.quarantine import quarantine_files
 from chartfold.sinks.silver import write_silver_csv, write_silver_parquet
 from chartfold.sources.landing import Landing, list_files, read_landing
-from chartfold.storage import child_names, claim, complete, delete, is_complete, qualified, write_once, write_work_table
+from chartfold.storage import claim, complete, delete, is_complete, qualified, write_once, write_work_table
 
 # Up to this many notified objects are looked up by name; beyond it, the folder is listed.
 # Both give the same table of files.
@@ -30,9 +31,13 @@ OUTCOMES = (
 
 @dataclass(frozen=True)
 class Lake:
-    """Folders of one data lake, below one root that all executors reach."""
+    """Folders of one data lake, below one root that all executors reach.
+
+    Its ledger of ingested objects is merged every ``merge_every`` batches at most.
+    """
 
     root: str
+    merge_every: int = 64
 
     def silver(self, kind: str) -> str:
         return f"{self.root}/silver/{kind}"
@@ -46,6 +51,10 @@ class Lake:
     def identity(self, batch_id: int) -> str:
         return f"{self.root}/batches/batch_id={batch_id}"
 
+    @property
+    def ledger(self) -> Ledger:
+        return Ledger(f"{self.root}/ledger", merge_every=self.merge_every)
+
     @property
     def open_batch(self) -> str:
         return f"{self.root}/batches/_open"
@@ -94,15 +103,6 @@ def _listing(spark: SparkSession, landing: Landing, keys: DataFrame | None) -> D
     return landing.files(spark).join(keys, "object_key", "left_semi")
 
 
-def ledger(spark: SparkSession, lake: Lake, batch_id: int) -> DataFrame:
-    """Objects that other batches ingested, in the state in which they did."""
-    schema = f"{OUTCOMES}, batch_id bigint"
-    if not child_names(spark, f"{lake.root}/outcomes"):
-        return spark.createDataFrame([], schema)
-    rows = spark.read.schema(schema).parquet(f"{lake.root}/outcomes")
-    return rows.where((F.col("batch_id") != batch_id) & (F.col("status") == "success") & ~F.col("redelivered"))
-
-
 def _with_presence(rows: DataFrame, contract: Contract) -> DataFrame:
     """Bit mask of the contract columns a row has, for files without a header."""
     bits = [
@@ -184,15 +184,8 @@ def ingest_batch(
         return made
 
     listing = kept("listing", lambda: _listing(spark, landing, keys))
-    state = ["object_key", "object_version"]
-    known = kept(
-        "known",
-        lambda: ledger(spark, lake, batch_id)
-        .join(listing.select(*state).distinct(), state, "left_semi")
-        .groupBy(*state)
-        .agg(*[F.min(c).alias(c) for c in ("rows_seen", "rows_written", "target")]),
-    )
-    fresh = listing.join(known, state, "left_anti")
+    known = kept("known", lambda: lake.ledger.lookup(spark, listing, batch_id))
+    fresh = listing.join(known, STATE, "left_anti")
     files = kept("files", lambda: list_files(spark, landing, contract, fresh, f"{work}/records"))
 
     def cleaned() -> DataFrame:
@@ -206,7 +199,7 @@ def ingest_batch(
         if keys is None:
             return found
         again = known.select(
-            *state, F.lit("success").alias("status"), "rows_seen", "rows_written",
+            *STATE, F.lit("success").alias("status"), "rows_seen", "rows_written",
             F.lit(0).cast("bigint").alias("rows_malformed"), "target", F.lit(True).alias("redelivered"),
         )
         gone = keys.join(listing.select("object_key").distinct(), "object_key", "left_anti").select(
@@ -225,7 +218,9 @@ def ingest_batch(
     quarantine_files(spark, landing, rejected, lake.quarantine(batch_id))
     on_step("quarantine")
 
+    lake.ledger.record(outcomes, batch_id)
     write_once(spark, done, lambda path: outcomes.write.mode("overwrite").parquet(path), on_step)
+    lake.ledger.merge(spark)
     delete(spark, work)
     delete(spark, lake.open_batch)
     return spark.read.parquet(done)

@@ -107,7 +107,15 @@ def q_ingest_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_redelivered_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Current versions after the same objects were notified in three batches, staged and folded each time."""
-    lake = Lake(fresh_folder(spark, "lake"))
+    return _redelivered(spark, sf_dir, Lake(fresh_folder(spark, "lake")))
+
+
+def q_merged_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, where each batch merges the ledger, so that later ones look objects up in buckets."""
+    return _redelivered(spark, sf_dir, Lake(fresh_folder(spark, "lake"), merge_every=1))
+
+
+def _redelivered(spark: SparkSession, sf_dir: str, lake: Lake) -> DataFrame:
     landing = land_csv(spark, sf_dir)
     named = landing.files(spark).select("object_key").distinct()
     history = HistoryTable(f"{lake.root}/history", ENROLLMENT)
@@ -462,6 +470,7 @@ QUERIES = {
     "ingest_outcomes": q_ingest_outcomes,
     "ingest_silver": q_ingest_silver,
     "redelivered_objects": q_redelivered_objects,
+    "merged_ledger": q_merged_ledger,
     "interrupted_batch": q_interrupted_batch,
     "bulk_csv": q_bulk_csv,
     "mixed_line_ends": q_mixed_line_ends,

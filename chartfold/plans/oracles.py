@@ -129,6 +129,9 @@ WITH {_ENROLLMENT} {_SILVER} AND source_vendor <> 'vendor_P'""",
 WITH {_ENROLLMENT} {_SILVER} AND source_vendor <> 'vendor_P'""",
     "redelivered_objects": f"""
 WITH {_ENROLLMENT}
+SELECT DISTINCT * EXCLUDE (lineage_file_uuid), TRUE AS is_current FROM ({_SILVER} AND source_vendor <> 'vendor_P')""",
+    "merged_ledger": f"""
+WITH {_ENROLLMENT}
 SELECT DISTINCT * EXCLUDE (lineage_file_uuid), TRUE AS is_current FROM ({_SILVER} AND source_vendor <> 'vendor_P')""",
     "interrupted_batch": f"""
 WITH {_ENROLLMENT}
