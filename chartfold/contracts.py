@@ -18,13 +18,16 @@ class Field:
     """One contract column.
 
     ``type`` is a Spark SQL type name, ``non_blank`` drops rows without a value, and
-    ``default`` replaces a blank value.
+    ``default`` replaces a blank value. ``xml_path`` says where an XML record holds the value, if not
+    in a child of the column's name: ``patient/@id`` is an attribute, and ``scores/score[]`` are
+    repeated children, whose texts, but blank ones, are joined by commas in their order.
     """
 
     name: str
     type: str = "string"
     non_blank: bool = False
     default: str | None = None
+    xml_path: str | None = None
 
 
 @dataclass(frozen=True)

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartfold.contracts import ENROLLMENT, VITALS
+from chartfold.contracts import ENROLLMENT, VITALS, Contract
 from chartfold.functions.paths import object_name
 from chartfold.operators.cleaning import clean_rows
 from chartfold.operators.history import scd2_rebuild
@@ -82,12 +82,12 @@ def land_xml(spark: SparkSession, sf_dir: str) -> Landing:
     return Landing(root, parts="object")
 
 
-def _read_and_clean(spark: SparkSession, landing: Landing) -> DataFrame:
-    listed = list_files(spark, landing, ENROLLMENT)
+def _read_and_clean(spark: SparkSession, landing: Landing, contract: Contract = ENROLLMENT) -> DataFrame:
+    listed = list_files(spark, landing, contract)
     files = write_work_table(listed, fresh_folder(spark, "files"))
-    rows = read_landing(spark, landing, files, ENROLLMENT)
-    cleaned = reject_empty_files(clean_rows(rows, ENROLLMENT, FIXTURE_KEY))
-    return cleaned.select(*ENROLLMENT.silver_columns)
+    rows = read_landing(spark, landing, files, contract)
+    cleaned = reject_empty_files(clean_rows(rows, contract, FIXTURE_KEY))
+    return cleaned.select(*contract.silver_columns)
 
 
 def q_contract_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -209,6 +209,31 @@ def q_split_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read_and_clean(spark, replace(land_xml(spark, sf_dir), xml_split_bytes=1))
 
 
+NESTED = replace(ENROLLMENT, fields=tuple(
+    replace(f, xml_path={"patient_id": "patient/@id", "enrollment_date": "patient/stay/since",
+                         "gpa": "patient/stay/score[]"}.get(f.name)) for f in ENROLLMENT.fields))
+
+
+def land_nested_xml(spark: SparkSession, sf_dir: str) -> Landing:
+    """Enrolments with the patient's id as an attribute and scores as repeated children of a child."""
+    root = fresh_folder(spark, "landing")
+    rows = enrollment(spark, sf_dir).withColumn("object", _object(".xml"))
+    stay = F.struct(F.col("enrollment_date").alias("since"), F.array_compact(F.array("gpa", "gpa")).alias("score"))
+    patient = F.struct(F.col("patient_id").alias("_id"), stay.alias("stay")).alias("patient")
+    gathered = rows.select("encounter_id", patient, "object").hint("rebalance", "object")
+    writer = gathered.write.partitionBy("object").format("xml")
+    writer.options(rootTag="records", rowTag="record").save(root)
+    return Landing(root, parts="object")
+
+
+def q_nested_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of records with nested fields, read whole and cut at record ends."""
+    landing = land_nested_xml(spark, sf_dir)
+    lanes = {"whole": landing, "split": replace(landing, xml_split_bytes=1)}
+    read = [_read_and_clean(spark, of, NESTED).withColumn("lane", F.lit(lane)) for lane, of in lanes.items()]
+    return read[0].unionByName(read[1])
+
+
 def q_acknowledged_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two messages a month: one names the objects of two vendors, one that of vendor P, which fails."""
     landing = land_csv(spark, sf_dir)
@@ -475,6 +500,7 @@ QUERIES = {
     "bulk_csv": q_bulk_csv,
     "mixed_line_ends": q_mixed_line_ends,
     "split_xml": q_split_xml,
+    "nested_xml": q_nested_xml,
     "acknowledged_messages": q_acknowledged_messages,
     "quarantine": q_quarantine,
     "raw_text": q_raw_text,

@@ -145,6 +145,10 @@ SELECT * REPLACE (CASE WHEN CAST(encounter_id AS BIGINT) % 5 = 0 THEN enrollment
 FROM ({_SILVER}), (VALUES ('small'), ('bulk')) AS lanes(lane)""",
     "split_xml": f"""
 WITH {_ENROLLMENT} {_SILVER}""",
+    "nested_xml": f"""
+WITH {_ENROLLMENT}
+SELECT * REPLACE (CASE WHEN gpa = '0.00' THEN gpa ELSE gpa || ',' || gpa END AS gpa)
+FROM ({_SILVER}), (VALUES ('whole'), ('split')) AS lanes(lane)""",
     "acknowledged_messages": f"""
 WITH {_ENROLLMENT}, objects AS (
   SELECT source_vendor = 'vendor_P' AS bad, strftime(landed_on, '%Y%m') AS month,

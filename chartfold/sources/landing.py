@@ -19,6 +19,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chartfold.contracts import Contract
 from chartfold.functions.paths import (
@@ -37,6 +38,7 @@ from chartfold.storage import listed, literal_path, qualified
 
 # A larger XML file is cut at its record ends, so that several tasks can read it.
 XML_SPLIT_BYTES = 128 * 1024 * 1024
+_BROKEN = "_malformed"
 LISTING = "file_path string, file_size bigint, modified bigint"
 
 
@@ -246,12 +248,52 @@ def read_landing_csv(spark: SparkSession, files: DataFrame, contract: Contract,
     )
 
 
-def _whole_xml(spark: SparkSession, paths: list[str], schema: str, options: dict) -> DataFrame:
+def _steps(path: str) -> list[tuple[str, bool]]:
+    """Names along a path of an XML record, as Spark's reader names them, and whether they repeat."""
+    return [(step.removesuffix("[]").replace("@", "_"), step.endswith("[]")) for step in path.split("/")]
+
+
+def _xml_schema(paths: list[str]) -> T.StructType:
+    """Schema of a record that holds text at some paths, and a column for broken ones."""
+
+    def of(places: list[list[tuple[str, bool]]]) -> T.StructType:
+        below = defaultdict(list)
+        for (name, repeated), *rest in places:
+            below[name, repeated].append(rest)
+        fields = []
+        for (name, repeated), rests in below.items():
+            nested = [rest or [("_VALUE", False)] for rest in rests]
+            kind = of(nested) if any(rests) else T.StringType()
+            fields.append(T.StructField(name, T.ArrayType(kind) if repeated else kind))
+        return T.StructType(fields)
+
+    return of([_steps(path) for path in dict.fromkeys(paths)]).add(_BROKEN, T.StringType())
+
+
+def _at_path(schema: T.StructType, path: str) -> Column:
+    """The text at a path, NULL where there is none; texts of repeated children joined, without blank ones."""
+
+    def inside(value: Column | None, kind: T.DataType, steps: list[tuple[str, bool]]) -> tuple[Column, bool]:
+        if not steps:
+            return (value["_VALUE"] if isinstance(kind, T.StructType) else value), False
+        (name, repeated), *rest = steps
+        child, below = F.col(f"`{name}`") if value is None else value[name], kind[name].dataType
+        if not repeated:
+            return inside(child, below, rest)
+        many = inside(F.element_at(child, 1), below.elementType, rest)[1]
+        texts = F.transform(child, lambda each: inside(each, below.elementType, rest)[0])
+        return F.flatten(F.array_compact(texts)) if many else texts, True
+
+    found, many = inside(None, schema, _steps(path))
+    return F.array_join(F.filter(found, lambda text: F.trim(text) != ""), ",") if many else found
+
+
+def _whole_xml(spark: SparkSession, paths: list[str], schema: T.StructType, options: dict) -> DataFrame:
     rows = spark.read.format("xml").options(**options).schema(schema).load(_opened(paths))
     return rows.select("*", scan_path().alias("file_path"))
 
 
-def _split_xml(spark: SparkSession, paths: list[str], schema: str, options: dict) -> DataFrame:
+def _split_xml(spark: SparkSession, paths: list[str], schema: T.StructType, options: dict) -> DataFrame:
     """Large files as text that ends with each record, which Spark can split."""
     tag = options["rowTag"]
     fragment = F.regexp_extract("value", rf"(?s)(<{tag}[\s>/].*)$", 1)
@@ -274,15 +316,14 @@ def read_landing_xml(
     tag: str = "record",
 ) -> DataFrame:
     """Contract columns, as text, of each ``<record>``; a broken record is all NULL and flagged."""
-    schema = ", ".join(f"{c} string" for c in contract.columns) + ", _malformed string"
-    options = {"rowTag": tag, "columnNameOfCorruptRecord": "_malformed"}
-    rows = (_whole_xml if whole else _split_xml)(spark, paths, schema, options)
+    places = [f.xml_path or f.name for f in contract.fields]
+    schema = _xml_schema(places)
+    options = {"rowTag": tag, "columnNameOfCorruptRecord": _BROKEN}
+    read = (_whole_xml if whole else _split_xml)(spark, paths, schema, options)
+    values = [_at_path(schema, place).alias(c) for place, c in zip(places, contract.columns)]
+    rows = read.select(*values, F.col(_BROKEN).isNotNull().alias("is_malformed"), "file_path")
     return _with_file(rows, files, _FILE_COLUMNS).select(
-        *contract.columns,
-        *_FILE_COLUMNS,
-        F.lit("bulk").alias("lane"),
-        F.col("_malformed").isNotNull().alias("is_malformed"),
-    )
+        *contract.columns, *_FILE_COLUMNS, F.lit("bulk").alias("lane"), "is_malformed")
 
 
 def read_landing(

@@ -3,6 +3,7 @@ from __future__ import annotations
 import csv
 import hashlib
 import hmac
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -334,3 +335,32 @@ def test_many_rejected_files_take_several_writes(spark, root, monkeypatch):
     assert quarantine.quarantine_files(spark, landing, rejected, target) == 4
     kept = {r.file_name for r in spark.read.text(target).select("file_name").distinct().collect()}
     assert kept == {"novitals.csv", "D/D__vitals__2026__open.csv", "south/south__vitals__20260302__bad.csv", "south/south__vitals__20260302__latin.csv"}
+
+
+@pytest.mark.parametrize("split", [1, 1 << 30])
+def test_fields_of_xml_records_by_path(spark, tmp_path, split):
+    paths = {"encounter_id": "@nr", "patient_id": "patient/@id", "enrollment_date": "patient/since",
+             "gpa": "terms/term[]/score[]"}
+    contract = replace(ENROLLMENT, fields=tuple(replace(f, xml_path=paths[f.name]) for f in ENROLLMENT.fields))
+    records = [
+        '<record nr="X1"><patient id="007"><since>2026-01-02</since></patient>'
+        "<terms><term><score>1</score><score> </score></term><term/><term><score>2.50</score></term></terms></record>",
+        '<record nr="X2"><patient id="8"/><terms><term><score>3</score></term></terms></record>',
+        '<record nr="X3"><patient><since>2026-01-04</since></patient></record>',
+        '<record nr="X4"/>',
+    ]
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    (landing / "v__vitals__1__a.xml").write_text("<all>" + "\n".join(records) + "</all>")
+    (landing / "v__vitals__2__flat.xml").write_text(
+        "<all><record><encounter_id>X9</encounter_id><gpa>1</gpa></record></all>")
+    where = Landing(str(landing), xml_split_bytes=split)
+    files = list_files(spark, where, contract)
+    rows = read_landing(spark, where, files, contract).collect()
+    found = sorted((r.encounter_id, r.patient_id, r.enrollment_date, r.gpa, r.is_malformed) for r in rows if r.encounter_id)
+    assert found == [
+        ("X1", "007", "2026-01-02", "1,2.50", False),
+        ("X2", "8", None, "3", False),
+        ("X3", None, "2026-01-04", None, False),
+        ("X4", None, None, None, False),
+    ]
