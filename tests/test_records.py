@@ -9,6 +9,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from chartfold.sources import records
 from chartfold.sources.records import cut_records, ends_inside, read_records, record_heads
 
 
@@ -119,3 +120,23 @@ def test_one_large_quoted_file_takes_many_tasks(spark, tmp_path):
     assert lines.groupBy("at.block").count().agg(F.max("count")).first()[0] < 10_000
     texts = {r.text for r in read_records(spark, work).collect()}
     assert texts == {"a,b,c"} | {row.format(i)[:-1] for i in range(20_000)}
+
+
+def test_records_cross_the_chunks_of_a_window(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(records, "CHUNK_BITS", 2)
+    row = '{0},"first\nsecond\nthird\nfourth\nfifth, ""{0}""",x\n'
+    text = "a,b,c\n" + "".join(row.format(i) if i % 3 else f"{i},y,z\n" for i in range(200))
+    (tmp_path / "f.csv").write_text(text)
+    work = cut_records(spark, [], [f"file:{tmp_path}/f.csv"], str(tmp_path / "cut"))
+    assert spark.read.parquet(f"{work}/chunks").count() > 100
+    found = [r.text for r in read_records(spark, work).where("text <> ''").orderBy("at").collect()]
+    assert found == records_of(text)[0]
+
+
+def test_a_small_file_needs_no_lines(spark, tmp_path):
+    cell = '""' * 200_000  # a pattern that keeps a stack would overflow
+    text = f'a,b\n"{cell}",x\n"1\n2",y\n'
+    (tmp_path / "f.csv").write_text(text)
+    work = cut_records(spark, [f"file:{tmp_path}/f.csv"], [], str(tmp_path / "cut"))
+    assert not (tmp_path / "cut" / "lines").exists()
+    assert [r.text for r in read_records(spark, work).orderBy("at").collect()] == records_of(text)[0]
