@@ -239,7 +239,9 @@ def read_landing_csv(spark: SparkSession, files: DataFrame, contract: Contract,
     placed = _with_file(read_records(spark, records), files, [*_FILE_COLUMNS, "positions", "header_at", "lane"])
     rows = placed.where((F.col("at") > F.col("header_at")) & (F.col("text") != ""))
     cells = F.array(*[F.col(f"row.c{i}") for i in range(width)])
-    rows = rows.withColumn("row", F.from_csv("text", schema, {"escape": '"'})).withColumn("cells", cells)
+    # Behind an explode, a later filter is not pushed down to parse every record once more.
+    row = F.explode(F.array(F.from_csv("text", schema, {"escape": '"'})))
+    rows = rows.withColumn("row", row).withColumn("cells", cells)
     return rows.select(
         *[F.get("cells", F.col(f"positions.{c}")).alias(c) for c in contract.columns],
         *_FILE_COLUMNS,
@@ -297,12 +299,14 @@ def _split_xml(spark: SparkSession, paths: list[str], schema: T.StructType, opti
     """Large files as text that ends with each record, which Spark can split."""
     tag = options["rowTag"]
     fragment = F.regexp_extract("value", rf"(?s)(<{tag}[\s>/].*)$", 1)
+    # Behind an explode, a later filter is not pushed down to cut and to parse every record once more.
+    parsed = F.explode(F.array(F.from_xml(F.concat("fragment", F.lit(f"</{tag}>")), schema, options)))
     return (
         spark.read.option("lineSep", f"</{tag}>")
         .text(_opened(paths))
-        .select(scan_path().alias("file_path"), fragment.alias("fragment"))
+        .select(scan_path().alias("file_path"), F.explode(F.array(fragment)).alias("fragment"))
         .where("fragment <> ''")
-        .withColumn("r", F.from_xml(F.concat("fragment", F.lit(f"</{tag}>")), schema, options))
+        .withColumn("r", parsed)
         .select("r.*", "file_path")
     )
 

@@ -364,3 +364,17 @@ def test_fields_of_xml_records_by_path(spark, tmp_path, split):
         ("X3", None, "2026-01-04", None, False),
         ("X4", None, None, None, False),
     ]
+
+
+def test_a_filter_on_rows_parses_no_record_twice(spark, tmp_path):
+    (tmp_path / "A__vitals__x__u.csv").write_text("gpa,encounter_id,patient_id,enrollment_date\n1,E1,P1,2024-01-01\n,E2,,\n")
+    (tmp_path / "A__vitals__y__u.xml").write_text(
+        "<records>" + "".join(f"<record><encounter_id>E{i}</encounter_id><patient_id>P{i}</patient_id>"
+                              "<enrollment_date>d</enrollment_date><gpa>1</gpa></record>" for i in (3, 4)) + "</records>")
+    landing = Landing(str(tmp_path), xml_split_bytes=1)
+    files = list_files(spark, landing, ENROLLMENT)
+    rows = read_landing(spark, landing, files, ENROLLMENT).where("trim(encounter_id) <> '' and trim(patient_id) <> ''")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r.encounter_id for r in rows.collect()) == ["E1", "E3", "E4"]
+    filters = [line for line in plan.splitlines() if "Filter" in line]
+    assert not [line for line in filters if "from_csv" in line or "from_xml" in line or "regexp_extract(value" in line]
