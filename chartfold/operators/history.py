@@ -133,15 +133,29 @@ def _with_next(rows: DataFrame, keys: list[str], slot_bits: tuple[int, ...] = SL
     return chained.select(*rows.columns, F.coalesce("_inside", "_outside").alias("_next"))
 
 
+# A key with more arrivals is chained slot by slot; all others in one window each.
+HOT_ARRIVALS = 65_536
+
+
+def chain_distinct(distinct: DataFrame, contract: Contract = VITALS, hot_arrivals: int = HOT_ARRIVALS) -> DataFrame:
+    """The same of rows of which no two share key and time."""
+    keys = list(contract.key)
+    counts = distinct.groupBy(*keys).agg(F.count("*").alias("_arrivals"))
+    # Few: at most one in so many rows of the table.
+    hot = F.broadcast(counts.where(F.col("_arrivals") > hot_arrivals).select(*[F.col(k).alias(f"_hot_{k}") for k in keys]))
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
+    chained = [_with_next(distinct.join(hot, same, "left_anti"), keys, ()),
+               _with_next(distinct.join(hot, same, "left_semi"), keys)]
+    return chained[0].unionByName(chained[1]).select(*version_columns(contract, F.col("_next")))
+
+
 def chain_every_arrival(staging: DataFrame, contract: Contract = VITALS) -> DataFrame:
     """History in which every arrival opens a version, so that batch cuts do not matter.
 
     Nothing bounds the arrivals of a key, but those of one slot of time are bounded: no window
     and no group of the joins has more than 65,536 rows, however hot a key or an hour is.
     """
-    keys = list(contract.key)
-    distinct = dedup_latest(staging, [*keys, "ingested_at"])
-    return _with_next(distinct, keys).select(*version_columns(contract, F.col("_next")))
+    return chain_distinct(dedup_latest(staging, [*contract.key, "ingested_at"]), contract)
 
 
 def current_state(history: DataFrame) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from chartfold.contracts import VITALS, Contract
 from chartfold.operators.history import (
-    chain_every_arrival,
+    chain_distinct,
     closed_version,
     dedup_latest,
     join_active,
@@ -133,7 +133,8 @@ class HistoryTable:
         the base, for other keys of some buckets."""
         keys = list(self.contract.key)
         opened = self._delta(spark, base, upto).where("kind = 'open'").drop("kind")
-        newest = dedup_latest(opened, keys, "start_time")
+        # One batch opens one version of a key that stays active.
+        newest = opened if upto - base == 1 else dedup_latest(opened, keys, "start_time")
         if base < 0:
             return newest
         kept = self._base(spark, base, only).join(opened.select(*keys), keys, "left_anti")
@@ -244,7 +245,7 @@ class HistoryTable:
         newer = F.col("ingested_at") > F.col("target.start_time")
         fresh = rows.where(F.col("target").isNull() | newer)
         names = self.contract.staging_schema().names
-        chained = chain_every_arrival(fresh.select(*names), contract=self.contract)
+        chained = chain_distinct(fresh.select(*names), contract=self.contract)
         chained = chained.withColumn("kind", F.when(F.col("is_current"), "open").otherwise("closed"))
         ends = fresh.where("target IS NOT NULL").groupBy(*self.contract.key).agg(
             F.min("ingested_at").alias("ingested_at"), F.first("target").alias("target")
@@ -272,6 +273,7 @@ class HistoryTable:
             f"{self.root}/unusable/batch_id={batch_id}"
         )
         latest_path = f"{self.root}/work/batch_id={batch_id}"
+        joined_path = f"{self.root}/work/joined/batch_id={batch_id}"
         one_per = [*keys, "ingested_at"] if self.keep_all else keys
         write_work_table(dedup_latest(rows.where(usable), one_per), latest_path)
         # Read in the session of the caller: a micro-batch has a session of its own,
@@ -280,6 +282,9 @@ class HistoryTable:
         joined = join_active(
             latest, self._touched(spark, latest, base, batch_id - 1), self.contract
         )
+        if self.keep_all:
+            # Several steps read it.
+            joined = write_work_table(joined, joined_path)
         changes = self._every_arrival(joined) if self.keep_all else self._changes(joined)
         changes.write.mode("overwrite").partitionBy("kind").parquet(
             f"{self.root}/delta/batch_id={batch_id}"
@@ -298,7 +303,8 @@ class HistoryTable:
         commit = spark.range(0, 1, 1, 1).select(*[F.lit(v).alias(k) for k, v in state.items()])
         commit.write.mode("overwrite").json(self._commit_path(batch_id))
         complete(spark, self._commit_path(batch_id))
-        delete(spark, latest_path)
+        for path in (latest_path, joined_path):
+            delete(spark, path)
 
     def _is_due(self, deltas: int, base_rows: int, delta_rows: int) -> bool:
         grown = delta_rows > 0 and delta_rows >= base_rows * self.compact_share
