@@ -78,12 +78,15 @@ def clear_identities(df: DataFrame, identities: DataFrame) -> DataFrame:
     """Distinct clear identifiers that still occur anywhere in ``df``: as a value of any column
     or nested field, number or text, or as a word of a longer text.
 
-    ``identities`` has one column ``identity``. Values are matched before they are made
-    distinct, so only leaks are shuffled.
+    ``identities`` has one column ``identity``. Words and identities meet in one aggregate, which each
+    task begins before the shuffle: a word that most rows hold, as a vendor or a blank, comes once
+    per task, and no task has to sort its copies.
     """
-    known = identities.select("identity").distinct()
+    known = identities.select(F.col("identity").cast("string").alias("identity"), F.lit(True).alias("is_known"))
     values = F.concat(*[_texts(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields])
-    each = df.select(F.explode(values).alias("value")).where("value IS NOT NULL")
+    each = df.select(F.explode(F.array_distinct(values)).alias("value")).where("value IS NOT NULL")
     words = F.array_union(F.array("value"), F.split("value", r"[^\p{L}\p{N}_-]+"))
-    found = each.select(F.explode(words).alias("identity"))
-    return found.join(known, "identity", "left_semi").distinct()
+    found = each.select(F.explode(words).alias("identity"), F.lit(False).alias("is_known"))
+    both = found.unionByName(known).groupBy("identity").agg(
+        F.bool_or("is_known").alias("is_known"), F.bool_or(~F.col("is_known")).alias("is_found"))
+    return both.where("is_known AND is_found").select("identity")

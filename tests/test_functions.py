@@ -260,3 +260,17 @@ def test_file_outcomes(spark):
         ("b.csv", "failed", "NO_VALID_ROWS", 1, 0, None),
         ("c.csv", "failed", "HEADER_CONTRACT", 0, 0, None),
     ]
+
+
+def test_a_frequent_word_reaches_the_shuffle_once_per_task(spark):
+    rows = spark.range(0, 20_000, 1, 4).selectExpr("'everywhere' AS c", "CAST(id AS string) AS d")
+    ids = spark.sql("SELECT 'everywhere' AS identity UNION ALL SELECT '7' UNION ALL SELECT 'nowhere' UNION ALL SELECT NULL")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = clear_identities(rows, ids)
+        assert sorted(r.identity for r in found.collect()) == ["7", "everywhere"]
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" not in plan and "partial_bool_or" in plan.replace("partial_max", "partial_bool_or")
