@@ -81,7 +81,8 @@ def _small_records(spark: SparkSession, paths: list[str]) -> DataFrame:
 
     def cut(ends: str) -> Column:
         cell, end = _cells(ends), r"\r\n|\r|\n" if ends == r"\r\n" else ends
-        return F.regexp_extract_all("text", F.lit(rf"({cell}(?:,{cell})*+)(?:{end}|\z)"), F.lit(1))
+        quoted = F.regexp_extract_all("text", F.lit(rf"({cell}(?:,{cell})*+)(?:{end}|\z)"), F.lit(1))
+        return F.when(F.contains("text", F.lit('"')), quoted).otherwise(F.split("text", end))
 
     text = F.col("content").cast("string")
     files = spark.read.format("binaryFile").load(_opened(paths)).select(
@@ -91,8 +92,9 @@ def _small_records(spark: SparkSession, paths: list[str]) -> DataFrame:
     files = files.withColumn("text", F.when(marked, by_ends(unmarked)).otherwise(F.col("text")))
     files = files.withColumn("records", by_ends(cut))
     # The pattern finds an empty record at the end of every text, behind the last one.
+    last, size = F.element_at("records", -1), F.size("records")
     is_open = F.exists(F.slice("records", -2, 2), lambda record: ends_inside(record, False))
-    found = F.slice("records", 1, F.size("records") - 1)
+    found = F.when(last == "", F.slice("records", 1, size - 1)).otherwise(F.col("records"))
     files = files.select("file_path", "is_text", is_open.alias("is_open"), found.alias("records"))
     # Beside the explode stand plain columns only: what it needs of the array would be copied with every record.
     records = files.select("file_path", "is_text", "is_open", F.posexplode("records").alias("line", "text"))
