@@ -134,7 +134,7 @@ def _with_next(rows: DataFrame, keys: list[str], slot_bits: tuple[int, ...] = SL
 
 
 # A key with more arrivals is chained slot by slot; all others in one window each.
-HOT_ARRIVALS = 65_536
+HOT_ARRIVALS = 4_096
 
 
 def chain_distinct(distinct: DataFrame, contract: Contract = VITALS, hot_arrivals: int = HOT_ARRIVALS) -> DataFrame:
