@@ -20,7 +20,7 @@ from chartfold.sources.landing import Landing, list_files, read_landing
 from chartfold.storage import claim, complete, delete, is_complete, qualified, write_once, write_work_table
 
 # Up to this many notified objects are looked up by name; beyond it, the folder is listed.
-# Both give the same table of files.
+# Both give the same table of files, whatever the keys look like.
 NAMED_OBJECTS = 1_000
 
 OUTCOMES = (
@@ -95,12 +95,16 @@ def _claim(spark: SparkSession, lake: Lake, batch_id: int) -> None:
 
 
 def _listing(spark: SparkSession, landing: Landing, keys: DataFrame | None) -> DataFrame:
-    """Files of the batch; of notified objects only, if there are any."""
+    """Files of the batch; of notified objects only, if there are any.
+
+    A file is taken if its own key was notified, however it was found: a name may also lead to a
+    folder, or to another object's file by a detour.
+    """
     if keys is None:
         return landing.files(spark)
-    if keys.count() <= NAMED_OBJECTS:
-        return landing.files(spark, [row.object_key for row in keys.collect()])
-    return landing.files(spark).join(keys, "object_key", "left_semi")
+    by_name = keys.count() <= NAMED_OBJECTS
+    files = landing.files(spark, [row.object_key for row in keys.collect()] if by_name else None)
+    return files.join(keys, "object_key", "left_semi")
 
 
 def _with_presence(rows: DataFrame, contract: Contract) -> DataFrame:
@@ -161,7 +165,8 @@ def ingest_batch(
     marked ``redelivered``. A batch id belongs to its folder and its objects; another use of
     it is an error, and so is a batch while another one is unfinished.
     The raw files are parsed once, into a work table; counts and both silver folders come
-    from there. A repeated call picks up where a lost one stopped, and changes nothing
+    from there. The size of a file decides which silver folder takes its rows: all rows are those of
+    both. A repeated call picks up where a lost one stopped, and changes nothing
     once the outcomes are written. Silver and outcomes are written once: what a stream has
     read of them while a call was lost stays as it was. ``on_step`` hears of each step done.
     """

@@ -121,8 +121,12 @@ def _redelivered(spark: SparkSession, sf_dir: str, lake: Lake) -> DataFrame:
     history = HistoryTable(f"{lake.root}/history", ENROLLMENT)
     for batch_id in range(3):
         ingest_batch(spark, landing, lake, batch_id, ENROLLMENT, FIXTURE_KEY, named)
-        silver = stream_silver_csv(spark, lake.silver("csv"), ENROLLMENT)
-        append_staging(silver, f"{lake.root}/staging", f"{lake.root}/c1", ENROLLMENT).awaitTermination()
+        # Objects of any size: the rows of large files are in the other silver folder.
+        lanes = merge_lanes(
+            stream_silver_csv(spark, lake.silver("csv"), ENROLLMENT),
+            stream_silver_parquet(spark, lake.silver("parquet"), ENROLLMENT),
+        )
+        append_staging(lanes, f"{lake.root}/staging", f"{lake.root}/c1", ENROLLMENT).awaitTermination()
         fold_new_rows(spark, f"{lake.root}/staging", history, f"{lake.root}/c2").awaitTermination()
     columns = [c for c in ENROLLMENT.silver_columns if c != "lineage_file_uuid"]
     return history.history(spark).select(*columns, "is_current")

@@ -34,7 +34,7 @@ from chartfold.operators.quality import EMPTY, ENCODING, HEADER_CONTRACT, MALFOR
 from chartfold.operators.routing import BULK_BYTES, lane
 from chartfold.session import fresh_folder
 from chartfold.sources.records import POSITION, cut_records, read_records, record_heads
-from chartfold.storage import listed, literal_path, qualified
+from chartfold.storage import is_hidden, listed, literal_path, qualified
 
 # A larger XML file is cut at its record ends, so that several tasks can read it.
 XML_SPLIT_BYTES = 128 * 1024 * 1024
@@ -72,7 +72,8 @@ class Landing:
 
     def files(self, spark: SparkSession, keys: Iterable[str] | None = None) -> DataFrame:
         """``file_path, file_size, modified, object_key, object_version`` of all files, or of
-        those of some objects. The version names the state of an object: sizes and times.
+        those that the keys of some objects lead to. The version names the state of an object:
+        sizes and times. What a listing of the root leaves out, no key leads to.
         """
         root = qualified(spark, self.root)
         if keys is None:
@@ -83,6 +84,7 @@ class Landing:
                 folder, _, name = f"{root}/{key}".rpartition("/")
                 places = [f"{folder}/{name}", *([f"{folder}/{self.parts}={name}"] if self.parts else [])]
                 found += [file for place in places for file in listed(spark, place)]
+            found = [f for f in found if f[0].startswith(f"{root}/") and not is_hidden(f[0][len(root):])]
         found = sorted({file for file in found if self._wanted(file[0], file[2])})
         table = spark.createDataFrame(found, LISTING)
         state = F.concat_ws(":", "file_path", "file_size", "modified")

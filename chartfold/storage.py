@@ -26,6 +26,11 @@ def qualified(spark: SparkSession, path: str) -> str:
     return fs.makeQualified(hadoop_path).toString().rstrip("/")
 
 
+def is_hidden(below: str) -> bool:
+    """Whether a path below a folder has a name that begins with `_` or `.`."""
+    return re.search(r"/[._]", below) is not None
+
+
 def listed(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
     """(path, bytes, modification time in ms) of a file, or of all files below a folder.
 
@@ -40,7 +45,7 @@ def listed(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
     while files.hasNext():
         status = files.next()
         name = status.getPath().toString()
-        if not re.search(r"/[._]", name[len(top):]):
+        if not is_hidden(name[len(top):]):
             found.append((name, status.getLen(), status.getModificationTime()))
     return sorted(found)
 

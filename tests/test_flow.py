@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import contextlib
+from dataclasses import replace
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from chartfold import storage
 from chartfold.contracts import ENROLLMENT, VITALS
 from chartfold.operators.history import scd2_rebuild
+from chartfold.plans import landed
 from chartfold.plans.ingest import Lake, ingest_batch
+from chartfold.plans.oracles import ORACLES
 from chartfold.plans.views import staged_vitals
 from chartfold.sinks.silver import write_silver_csv, write_silver_parquet
 from chartfold.sources.landing import Landing
@@ -22,6 +26,7 @@ from chartfold.streaming.staging import (
     stream_silver_csv,
     stream_silver_parquet,
 )
+from oracle import compare, connect
 
 HEADER = "encounter_id,patient_id,enrollment_date,gpa\n"
 XML = (
@@ -176,6 +181,26 @@ def test_two_batches_over_one_object_write_it_once(spark, tmp_path):
     assert not storage.exists(spark, lake.open_batch)
 
 
+@pytest.mark.parametrize("bulk_bytes", [1, 2_000])
+def test_redelivered_objects_has_the_rows_of_files_of_any_size(spark, tmp_path, monkeypatch, bulk_bytes):
+    """All files large, and some: small ones go to one silver folder, large ones to the other."""
+    duckdb.sql(f"""COPY (
+        SELECT i AS o_orderkey, i % 50 AS o_custkey, substr('OFP', CAST(i % 3 AS INT) + 1, 1) AS o_orderstatus,
+               TIMESTAMP '1997-01-05' + to_days(CAST(i % 40 * (i % 2) AS INT)) AS o_orderdate
+        FROM range(1, 900) AS numbers(i)) TO '{tmp_path}/orders.parquet' (FORMAT parquet)""")
+    land, lanes = landed.land_csv, []
+
+    def land_large(spark, sf_dir):
+        landing = replace(land(spark, sf_dir), bulk_bytes=bulk_bytes)
+        lanes.extend(r.file_size >= bulk_bytes for r in landing.files(spark).collect())
+        return landing
+
+    monkeypatch.setattr(landed, "land_csv", land_large)
+    found = landed.q_redelivered_objects(spark, str(tmp_path))
+    assert set(lanes) == ({True} if bulk_bytes == 1 else {True, False})
+    assert compare(found, ORACLES["redelivered_objects"], connect(str(tmp_path))) > 400
+
+
 @pytest.mark.parametrize("max_files", [1, 3, 10_000])
 def test_a_rebuild_from_staging_cuts_the_log_as_the_fold_did(spark, tmp_path, max_files):
     silver, staging = str(tmp_path / "silver"), str(tmp_path / "staging")

@@ -312,6 +312,25 @@ def test_many_notified_objects_are_found_by_listing(spark, root, ingested, tmp_p
     assert sorted(map(str, again.collect())) == sorted(map(str, outcomes.collect()))
 
 
+def test_few_and_many_notified_objects_are_the_same_files(spark, tmp_path, monkeypatch):
+    """Keys that name folders, hidden files, files outside or by a detour, parts, and none at all."""
+    names = ("a/v__vitals__1__u.csv", "a/b/v__vitals__2__u.csv", "a/_tmp/v__vitals__3__u.csv", "a/.v__vitals__4__u.csv",
+             "None", "object=q/v__vitals__5__u.csv", "object=q/v__vitals__6__u.csv", "q", "a/object=_p/v__vitals__7__u.csv")
+    for name in (*(f"in/{name}" for name in names), "out/v__vitals__8__u.csv"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(HEADER)
+    keys = ["a", "", "a/", "a//v__vitals__1__u.csv", "b/../a/v__vitals__1__u.csv", "../out/v__vitals__8__u.csv", None,
+            *names[1:4], names[5], "q", "a/_p", "gone"]
+    notified = spark.createDataFrame([(k,) for k in keys], "object_key string")
+    landing, found = Landing(str(tmp_path / "in"), parts="object"), []
+    for most in (len(keys), 0):
+        monkeypatch.setattr(ingest, "NAMED_OBJECTS", most)
+        found.append(ingest._listing(spark, landing, notified).select(
+            "object_key", "file_path", "file_size", "modified", "object_version").orderBy("file_path").collect())
+    assert found[0] == found[1]
+    assert sorted(r.object_key for r in found[0]) == ["a/_p", names[1], "q", "q", "q"]
+
+
 def test_only_notified_objects_are_ingested(spark, root, tmp_path):
     keys = ["X/X__vitals__2026__u1.CSV", "a b/a__b__vitals__2026__u+1.csv", "gone/x__vitals__1__u.csv"]
     notified = spark.createDataFrame([(k,) for k in keys], "object_key string")
